@@ -47,8 +47,13 @@ def keep_latest(
     return ranked.unionByName(df.where(has_null))
 
 
-def _first_row(df: DataFrame, partition: list[Column], order: list[Column]) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
+def _first_row(df: DataFrame, group: list[Column], order: list[Column]) -> DataFrame:
+    # The group is one struct value, so rows that a join already partitioned by the bare key
+    # are exchanged again - after the rank limit, hence only one row per task and key. Reusing
+    # the join's partitioning would leave a hot key's rows in one task. The hash in front is
+    # what the sort compares.
+    whole = F.struct(*group)
+    rank = F.row_number().over(Window.partitionBy(F.xxhash64(*group), whole).orderBy(*order))
     return df.withColumn(_RANK, rank).where(F.col(_RANK) == 1).drop(_RANK)
 
 

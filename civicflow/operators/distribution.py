@@ -31,7 +31,7 @@ def resolution_stats(hours: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("closed_rows"),
         F.coalesce(F.sum(F.when(F.col(VALUE) == 0, F.col("n"))), F.lit(0)).alias("zero_hour_rows"),
     )
-    median = exact_median(counts.where(F.col(VALUE) > 0))
+    median = exact_median(counts, F.col(VALUE) > 0)
     rate = F.coalesce(F.try_divide(F.col("zero_hour_rows"), F.col("closed_rows")), F.lit(0.0))
     return totals.select(
         "closed_rows",
@@ -41,29 +41,40 @@ def resolution_stats(hours: DataFrame) -> DataFrame:
     )
 
 
-def exact_median(counts: DataFrame, width: float = MEDIAN_BUCKET_HOURS) -> DataFrame:
+def exact_median(
+    counts: DataFrame, wanted: Column | None = None, width: float = MEDIAN_BUCKET_HOURS
+) -> DataFrame:
     """Exact median of a (value, count) table, the mean of the middle two if even (one row).
 
     Bucket totals locate the bucket or two that hold the middle ranks; only their values
     are ranked. Neither the rows nor all different values ever meet in one task.
+
+    Unwanted values weigh nothing instead of being filtered out, and the join is null-safe:
+    a filter (or the one an equality join implies) would move below the counting and cost
+    a scan of its own, where now all uses share the one counting exchange.
     """
-    bucketed = counts.withColumn("bucket", F.floor(F.col(VALUE).cast("double") / width))
-    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("size"))
-    whole = Window.partitionBy()
+    weight = F.col("n") if wanted is None else F.when(wanted, F.col("n")).otherwise(0)
+    bucketed = counts.select(
+        F.col(VALUE).cast("double").alias("v"),
+        weight.alias("w"),
+        F.floor(F.col(VALUE).cast("double") / width).alias("bucket"),
+    )
+    totals = bucketed.groupBy(F.col("bucket").alias("place")).agg(F.sum("w").alias("size"))
     # One row per bucket of the value range goes through these two windows.
     placed = totals.select(
-        "bucket",
-        (F.sum("size").over(Window.orderBy("bucket")) - F.col("size")).alias("before"),
+        "place",
         "size",
-        F.sum("size").over(whole).alias("total"),
+        (F.sum("size").over(Window.orderBy("place")) - F.col("size")).alias("before"),
+        F.sum("size").over(Window.partitionBy()).alias("total"),
     )
     low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
     middle = placed.where(_holds(low, "before", "size") | _holds(high, "before", "size"))
-    running = F.sum("n").over(Window.partitionBy("bucket").orderBy(VALUE))
-    ranked = bucketed.join(middle, "bucket").withColumn("first", F.col("before") + running - F.col("n"))
-    weight = _holds(low, "first", "n").cast("int") + _holds(high, "first", "n").cast("int")
-    value = F.col(VALUE).cast("double")
-    return ranked.agg((F.sum(value * weight) / 2.0).alias("median_hours"))
+    running = F.sum("w").over(Window.partitionBy("bucket").orderBy("v"))
+    ranked = bucketed.join(middle, F.col("bucket").eqNullSafe(F.col("place"))).withColumn(
+        "first", F.col("before") + running - F.col("w")
+    )
+    hits = _holds(low, "first", "w").cast("int") + _holds(high, "first", "w").cast("int")
+    return ranked.agg((F.sum(F.when(hits > 0, F.col("v") * hits)) / 2.0).alias("median_hours"))
 
 
 def _holds(rank: Column, before: str, size: str) -> Column:
@@ -79,7 +90,11 @@ def histogram(counts: DataFrame, bins: int = contracts.HISTOGRAM_BINS) -> DataFr
     table has no bins.
     """
     value = F.col(VALUE).cast("double")
-    edges = counts.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).where("lo is not null")
+    # The row total keeps this an aggregate of the counted values; the bounds alone would be
+    # taken from the facts in a second scan.
+    edges = counts.agg(
+        F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("n").alias("rows")
+    ).where(F.col("rows") > 0)
     flat = F.col("lo") == F.col("hi")
     stretch = F.when(F.col("lo") == 0, 0.001).otherwise(F.abs("lo") * 0.001)
     spread = edges.select(

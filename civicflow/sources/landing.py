@@ -42,8 +42,14 @@ def run_directory(run_id: str, run_at: datetime) -> str:
 
 
 def in_key_order(df: DataFrame, key: str) -> DataFrame:
-    """Rows range-partitioned and sorted by ``key``: every landed file holds one key range."""
-    return df.repartitionByRange(key).sortWithinPartitions(key)
+    """Rows range-partitioned and sorted by ``key``: every landed file holds one key range.
+
+    Content and source partition extend the range key, so one key with a large share of
+    the rows, exact copies included, is spread over several tasks.
+    """
+    spread = df.withColumns({"_content": F.xxhash64(*df.columns), "_part": F.spark_partition_id()})
+    ranged = spread.repartitionByRange(key, "_content", "_part").drop("_content", "_part")
+    return ranged.sortWithinPartitions(key)
 
 
 def write_landing(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
