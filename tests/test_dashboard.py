@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from civicflow import contracts
+from civicflow.operators import distribution, drift, metrics
+from civicflow.plans.dashboard import dashboard
+
+FACT = contracts.STAR_TABLES["fact_service_request"]
+BASE = {
+    "object_id": 1,
+    "agency_key": 1,
+    "neighborhood_key": 1,
+    "created_date_key": 20240301,
+    "created_at": datetime(2024, 3, 1),
+    "is_closed": False,
+    "is_likely_internal": False,
+    "has_valid_coordinates": True,
+    "latitude": 39.7,
+    "longitude": -104.9,
+}
+
+
+@pytest.fixture
+def star(spark):
+    def build(*changes):
+        names = contracts.names(FACT)
+        rows = [tuple({**BASE, "object_id": i, **c}.get(n) for n in names) for i, c in enumerate(changes)]
+        agency = [(1, "Parks"), (2, "Water")]
+        hood = [(k, f"N{k:02d}") for k in range(1, 21)]
+        day = [(20240301, date(2024, 3, 1), 2024, 3, 1, 5, False), (20230301, date(2023, 3, 1), 2023, 3, 1, 3, False)]
+        return {
+            "fact_service_request": spark.createDataFrame(rows, contracts.ddl(FACT)),
+            "dim_agency": spark.createDataFrame(agency, "agency_key int, agency_name string"),
+            "dim_neighborhood": spark.createDataFrame(hood, "neighborhood_key int, neighborhood_name string"),
+            "dim_date": spark.createDataFrame(day, contracts.ddl(contracts.STAR_TABLES["dim_date"])),
+        }
+
+    return build
+
+
+def closed(hours, **more):
+    return {"is_closed": True, "resolution_hours": Decimal(str(hours)), **more}
+
+
+def test_agencies_count_average_and_leave_out_internal_and_unknown(star):
+    tables = star(
+        closed(1), closed(2.5), {}, {"agency_key": 2}, {"agency_key": None}, closed(99, is_likely_internal=True)
+    )
+    rows = [tuple(r) for r in dashboard(tables)["requests_by_agency"].collect()]
+    assert rows == [("Parks", 3, 2, 1.8), ("Water", 1, 0, None)]
+    assert dashboard(tables)["agencies_represented"].first()[0] == 2
+    assert dashboard(tables)["total_requests"].first()[0] == 5
+
+
+def test_days_are_in_order(star):
+    tables = star({}, {"created_date_key": 20230301}, {})
+    assert [tuple(r) for r in dashboard(tables)["requests_by_day"].collect()] == [
+        (date(2023, 3, 1), 1),
+        (date(2024, 3, 1), 2),
+    ]
+
+
+def test_only_the_largest_neighborhoods_are_listed(star):
+    tables = star(*[{"neighborhood_key": k} for k in range(1, 21) for _ in range(1 + (k == 20))])
+    rows = dashboard(tables)["requests_by_neighborhood"].collect()
+    assert [r["neighborhood_name"] for r in rows] == ["N20", *(f"N{k:02d}" for k in range(1, 15))]
+
+
+def test_map_points_are_located_public_and_limited(star):
+    tables = star({}, {"has_valid_coordinates": False}, {"is_likely_internal": True}, {}, {})
+    df = metrics.map_points(tables["fact_service_request"], limit=2)
+    assert df.columns == ["lat", "lon", "case_status", "incident_address"]
+    assert df.count() == 2
+
+
+def test_stats_of_mixed_cases(star):
+    tables = star(closed(0), closed(0), closed(2), closed(5), {}, closed(7, is_likely_internal=True))
+    row = dashboard(tables)["resolution_stats"].first()
+    assert tuple(row) == (4, 2, 0.5, 3.5)
+
+
+def test_stats_without_closed_cases(star):
+    tables = star({})
+    assert tuple(dashboard(tables)["resolution_stats"].first()) == (0, 0, 0.0, None)
+    assert dashboard(tables)["resolution_histogram"].count() == 0
+
+
+def test_stats_with_same_day_cases_only(star):
+    assert tuple(dashboard(star(closed(0), closed(0)))["resolution_stats"].first()) == (2, 2, 1.0, None)
+
+
+values = st.lists(st.integers(1, 400_000).map(lambda i: Decimal(i) / 100), min_size=1, max_size=60)
+quiet = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@quiet
+@given(hours=values)
+def test_median_and_histogram_equal_pandas(spark, hours):
+    df = spark.createDataFrame([(h,) for h in hours], "resolution_hours decimal(10,2)")
+    series = pd.Series([float(h) for h in hours])
+    counts = distribution.value_counts(df)
+    assert distribution.exact_median(counts).first()[0] == pytest.approx(series.median())
+    expected = pd.cut(series, bins=20).value_counts().sort_index().tolist()
+    rows = distribution.histogram(counts).collect()
+    assert [r["bin"] for r in rows] == list(range(1, 21))
+    assert [r["request_count"] for r in rows] == expected
+
+
+def test_a_single_value_falls_into_the_middle_bin(spark):
+    df = spark.createDataFrame([(Decimal("5.00"),)] * 3, "resolution_hours decimal(10,2)")
+    rows = distribution.histogram(distribution.value_counts(df)).collect()
+    assert [r["request_count"] for r in rows] == [0] * 9 + [3] + [0] * 10
+
+
+def test_a_third_of_all_rows_on_one_value(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 24).otherwise(F.col("id") / 10).cast("decimal(10,2)").alias("resolution_hours")
+    )
+    exact = df.agg(F.median(F.col("resolution_hours").cast("double"))).first()[0]
+    assert distribution.exact_median(distribution.value_counts(df)).first()[0] == exact
+
+
+def test_slowest_come_first_and_unmeasured_last(star):
+    tables = star(closed(1), closed(9, agency_key=2), {"agency_key": 1})
+    rows = metrics.slowest(tables["fact_service_request"], tables["dim_agency"], "agency_key", "agency_name")
+    assert [r["agency_name"] for r in rows.collect()] == ["Water", "Parks"]
+
+
+def test_years_are_compared_with_the_one_before(star):
+    tables = star(closed(4, created_date_key=20230301), closed(10), {})
+    rows = metrics.by_year(tables["fact_service_request"], tables["dim_date"]).collect()
+    assert [tuple(r) for r in rows] == [(2023, 1, 4.0, None), (2024, 2, 10.0, 6.0)]
+
+
+def test_a_restarted_key_range_is_noticed(spark):
+    df = spark.createDataFrame([("1", 100), ("1", 110), ("2", 115), ("3", 1), ("3", 5)], "run string, OBJECTID bigint")
+    rows = {r["run"]: (r["restarted"], r["gap"]) for r in drift.key_ranges(df, ["run"]).collect()}
+    assert rows == {"1": (False, 0), "2": (False, 4), "3": (True, 0)}
+
+
+def test_an_unusual_volume_is_noticed(spark):
+    history = spark.createDataFrame([(i, 100 + i % 3) for i in range(10)] + [(10, 500)], "day int, n bigint")
+    rows = drift.volume_anomalies(history, "day", "n").where("unusual").collect()
+    assert [r["day"] for r in rows] == [10]
