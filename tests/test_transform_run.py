@@ -1,0 +1,151 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+from civicflow import contracts
+from civicflow.operators import clean, quality, summaries
+from civicflow.plans.load import read_star
+from civicflow.plans.transform import quarantined_rows, read_clean, transform
+from civicflow.sources import landing, snapshots, tables
+from civicflow.streaming import incremental
+
+START = 1_710_000_000_000
+DAY = 86_400_000
+
+
+@pytest.fixture
+def land(cases, tmp_path):
+    """Land one run of the given cases; returns the root."""
+
+    def write(run, *changes):
+        target = tmp_path / "raw" / f"ingest_year=2024/ingest_month=03/ingest_day={run:02d}/run_id=r{run}"
+        landing.write_landing(cases(*changes), str(target))
+        return str(tmp_path / "raw")
+
+    return write
+
+
+def numbered(count, change=lambda i: {}):
+    return [{"OBJECTID": i, **change(i)} for i in range(count)]
+
+
+def test_nothing_landed_means_no_run(spark, tmp_path):
+    assert transform(spark, str(tmp_path / "raw"), str(tmp_path / "out"), batch_id="b") is None
+    assert not (tmp_path / "out").exists()
+
+
+def test_summary_and_published_rows(spark, land, tmp_path):
+    internal = {"Case_Source": "Email", "Latitude": 1.0}
+    land(1, *numbered(6, lambda i: internal if i == 0 else {}))
+    root = land(2, *numbered(3, lambda i: {"Case_Status": "Again", **(internal if i == 0 else {})}))
+    out = str(tmp_path / "out")
+    summary = transform(spark, root, out, batch_id="b", preview_path=str(tmp_path / "csv"), preview_rows=4)
+    assert summary == {
+        "raw_rows": 9,
+        "clean_rows": 6,
+        "duplicates_removed": 3,
+        "quarantined_rows": 0,
+        "internal_flagged": 1,
+        "invalid_coordinates": 1,
+        "quality_gate": "passed",
+        "quality_warnings": 1,
+        "warnings": ["only 83% of located rows are inside the area"],
+    }
+    rows = {r["OBJECTID"]: r["Case_Status"] for r in read_clean(spark, out).collect()}
+    assert rows == {0: "Again", 1: "Again", 2: "Again", 3: "Open", 4: "Open", 5: "Open"}
+    parts = list(Path(tmp_path, "csv").glob("*.csv"))
+    lines = parts[0].read_text().splitlines()
+    assert len(parts) == 1 and len(lines) == 5
+    assert lines[0].split(",") == contracts.PREVIEW_COLUMNS
+
+
+def test_published_rows_equal_the_plain_composition(spark, land, tmp_path):
+    root = land(1, *numbered(20, lambda i: {"OBJECTID": i % 7, "Agency": f" A{i}"}))
+    out = str(tmp_path / "out")
+    transform(spark, root, out, batch_id="b")
+    direct = clean.clean_requests(landing.read_landed(spark, root)).select(*tables.PROCESSED_COLUMNS)
+    assert sorted(read_clean(spark, out).collect(), key=str) == sorted(direct.collect(), key=str)
+
+
+@pytest.mark.parametrize(
+    "bad", [{"OBJECTID": None}, {"Case_Created_Date": None}, {"Case_Closed_Date": START - DAY}]
+)
+def test_a_hard_failure_publishes_nothing(spark, land, tmp_path, bad):
+    out = str(tmp_path / "out")
+    transform(spark, land(1, *numbered(3)), out, batch_id="good")
+    root = land(2, {"OBJECTID": 50}, {"OBJECTID": 51, **bad})
+    with pytest.raises(quality.QualityGateError):
+        transform(spark, root, out, batch_id="bad")
+    assert snapshots.current_version(spark, out) == 1
+    assert read_clean(spark, out).count() == 3
+
+
+def test_with_quarantine_the_bad_rows_stay_out_and_the_rest_goes_on(spark, land, tmp_path):
+    out = str(tmp_path / "out")
+    root = land(1, *numbered(3), {"OBJECTID": None}, {"OBJECTID": None}, {"OBJECTID": 9, "Case_Closed_Date": 0})
+    summary = transform(spark, root, out, batch_id="b", quarantine=True)
+    assert (summary["clean_rows"], summary["quarantined_rows"], summary["duplicates_removed"]) == (3, 3, 0)
+    bad = quarantined_rows(spark, snapshots.version_path(out, 1, "requests"))
+    assert sorted(r["problems"] for r in bad.collect()) == [["closed_before_created"]] + [["key_not_null"]] * 2
+
+
+def test_damaged_lines_reach_the_gate(spark, land, tmp_path):
+    root = land(1, *numbered(3))
+    folder = Path(root, "ingest_year=2024/ingest_month=03/ingest_day=01/run_id=r1")
+    import gzip
+
+    with gzip.open(folder / "extra.json.gz", "wt") as out:
+        out.write("{oops\n" * 2)
+    with pytest.raises(quality.QualityGateError, match="2 rows have a null OBJECTID"):
+        transform(spark, root, str(tmp_path / "out"), batch_id="b")
+
+
+def test_summary_operators_agree(spark, cases):
+    raw = cases(*numbered(9, lambda i: {"OBJECTID": i % 4 or None}))
+    row = summaries.transform_summary(raw, clean.clean_requests(raw, null_keys="collapse")).first()
+    count = summaries.duplicate_count(raw).first()
+    assert (row["raw_rows"], row["clean_rows"], row["duplicates_removed"]) == tuple(count) == (9, 4, 5)
+
+
+def stream(spark, root, base, **options):
+    query = incremental.start(spark, root, f"{base}/star", f"{base}/work", **options)
+    query.awaitTermination()
+    return read_star(spark, f"{base}/star")["fact_service_request"]
+
+
+def test_the_stream_takes_each_file_once_and_updates_known_cases(spark, land, tmp_path):
+    root = land(1, *numbered(4))
+    assert stream(spark, root, tmp_path).count() == 4
+    land(2, {"OBJECTID": 2, "Case_Status": "Closed", "Case_Closed_Date": START + DAY}, {"OBJECTID": 8})
+    fact = stream(spark, root, tmp_path)
+    rows = {r["object_id"]: r["case_status"] for r in fact.collect()}
+    assert rows == {0: "Open", 1: "Open", 2: "Closed", 3: "Open", 8: "Open"}
+    assert snapshots.current_version(spark, f"{tmp_path}/star") == 2
+    stream(spark, root, tmp_path)
+    assert snapshots.current_version(spark, f"{tmp_path}/star") == 2
+
+
+def test_a_replayed_batch_changes_nothing(spark, land, tmp_path):
+    root = land(1, *numbered(4), {"OBJECTID": 1, "Case_Status": "twice"})
+    batch = landing.read_landed(spark, root)
+    for _ in range(2):
+        incremental.process_batch(batch, 0, f"{tmp_path}/work", f"{tmp_path}/star")
+    assert snapshots.current_version(spark, f"{tmp_path}/star") == 1
+    assert read_star(spark, f"{tmp_path}/star")["fact_service_request"].count() == 4
+
+
+def test_a_bad_batch_stops_the_stream_and_is_read_again(spark, land, tmp_path):
+    root = land(1, *numbered(2), {"OBJECTID": 5, "Case_Closed_Date": START - DAY})
+    with pytest.raises(Exception, match="closed_at before created_at"):
+        stream(spark, root, tmp_path)
+    assert snapshots.current_version(spark, f"{tmp_path}/star") == 0
+    assert stream(spark, root, tmp_path, quarantine=True).count() == 2
+
+
+def test_one_file_per_trigger_gives_the_same_keys(spark, land, tmp_path):
+    land(1, *numbered(5))
+    root = land(2, *numbered(8))
+    fact = stream(spark, root, tmp_path, max_files=1)
+    assert sorted(r["object_id"] for r in fact.collect()) == list(range(8))
