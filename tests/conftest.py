@@ -73,7 +73,14 @@ def cases(spark):
 
 
 def executed_plan(df) -> str:
-    """The plan after running, with adaptive changes; an earlier plan is cut off."""
+    """The plan after running, subqueries included, without the plans AQE started from."""
     df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
+    kept, initial = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-|"))
+        if initial is not None and depth >= initial:
+            continue
+        initial = depth if "== Initial Plan ==" in line else None
+        if initial is None:
+            kept.append(line)
+    return "\n".join(kept)
