@@ -23,9 +23,15 @@ def run(
     run_id: str,
     run_at: datetime,
     quarantine: bool = False,
+    incremental: bool = False,
     **ingest_options,
 ) -> dict:
-    """One full run below ``root`` (``raw/``, ``processed/``, ``warehouse/``)."""
+    """One full run below ``root`` (``raw/``, ``processed/``, ``warehouse/``).
+
+    By default the transform covers everything that ever landed. ``incremental`` limits it
+    to this run's directory, so the work follows the new data; the warehouse merge brings
+    known cases up to date either way.
+    """
     manifest = ingest(spark, source, f"{root}/raw", run_id=run_id, run_at=run_at, **ingest_options)
     if manifest["status"] != "ok":
         raise ShortReadError(
@@ -33,7 +39,12 @@ def run(
             f"landed {manifest['actual_record_count']}"
         )
     summary = transform(
-        spark, f"{root}/raw", f"{root}/processed", batch_id=run_id, quarantine=quarantine
+        spark,
+        f"{root}/raw",
+        f"{root}/processed",
+        batch_id=run_id,
+        quarantine=quarantine,
+        directories=manifest["files"] if incremental else None,
     )
     if summary is None:
         return {"manifest": manifest, "summary": None, "version": None}

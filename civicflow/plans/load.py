@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow import contracts
@@ -94,6 +94,38 @@ def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {table: read_table(spark, root, table, version) for table in contracts.STAR_TABLES}
 
 
+def load_report(spark: SparkSession, root: str, batch: DataFrame, version: int) -> DataFrame:
+    """Per table: rows of the batch that attempted an upsert, and rows the version gained."""
+    attempted = facts.load_counts(batch).select(
+        F.explode(
+            F.array(
+                *(
+                    F.struct(F.lit(table).alias("table_name"), F.col(count).alias("attempted"))
+                    for table, count in _ATTEMPTS.items()
+                )
+            )
+        ).alias("r")
+    )
+
+    def rows(table: str, at: int) -> Column:
+        return read_table(spark, root, table, at).agg(F.count(F.lit(1))).scalar()
+
+    inserted = F.lit(None).cast("long")
+    for table in _ATTEMPTS:
+        gained = rows(table, version) - rows(table, version - 1)
+        inserted = F.when(F.col("table_name") == table, gained).otherwise(inserted)
+    return attempted.select("r.*").withColumn("inserted", inserted)
+
+
+_ATTEMPTS = {
+    "dim_agency": "dim_agency_upserted",
+    "dim_service_type": "dim_service_type_upserted",
+    "dim_neighborhood": "dim_neighborhood_upserted",
+    "dim_date": "dim_date_upserted",
+    "fact_service_request": "facts_upserted",
+}
+
+
 def bucketed_fact(spark: SparkSession, root: str, version: int, buckets: int) -> DataFrame:
     """The stored fact with its bucketing declared, whichever session wrote it."""
     path = snapshots.version_path(root, version, facts.FACT)

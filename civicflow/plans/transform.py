@@ -46,11 +46,15 @@ def transform(
     batch_id: str,
     checks: Sequence[quality.Check] | None = None,
     quarantine: bool = False,
+    directories: Sequence[str] | None = None,
     preview_path: str | None = None,
     preview_rows: int = contracts.PREVIEW_ROWS,
 ) -> dict | None:
     """One transform run; returns its summary, or ``None`` when nothing has landed.
 
+    ``directories`` (as a manifest lists them) restricts the run to newly landed data; the
+    default reads the whole zone.
+
     Three Spark actions: the write, one aggregate for gate and summary over the written
     columns, and the preview. A hard failure raises :class:`quality.QualityGateError`
     before the version is committed, so readers keep the previous one. With
@@ -58,15 +62,16 @@ def transform(
     table and of the gate instead of failing the batch.
     """
     configure(spark)
-    if not landing.has_files(spark, raw_root):
+    paths = None if directories is None else [f"{raw_root}/{d}" for d in directories]
+    if not any(landing.has_files(spark, p) for p in (paths if paths is not None else [raw_root])):
         return None
     version = snapshots.current_version(spark, out_root) + 1
     path = snapshots.version_path(out_root, version, REQUESTS)
-    stage_clean(landing.read_landed(spark, raw_root, row_id=True), path, landing.ROW_ID)
+    stage_clean(landing.read_landed(spark, raw_root, row_id=True, paths=paths), path, landing.ROW_ID)
 
     staged = spark.read.parquet(path)
     judged = staged.where(F.col("disposition") == ACCEPTED) if quarantine else staged
-    raw_rows = landing.count_lines(spark, raw_root).scalar()
+    raw_rows = landing.count_lines(spark, raw_root, paths).scalar()
     all_checks = [
         *(checks if checks is not None else [*quality.default_checks(), quality.corrupt_rate()]),
         *summary_measures(raw_rows),

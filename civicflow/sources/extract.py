@@ -67,11 +67,6 @@ def high_water(df: DataFrame, column: str, previous: datetime | None) -> list[Co
     return [F.count(F.lit(1)).alias("rows"), newest.alias("mark_ms")]
 
 
-def run_status(expected: Column, landed: Column) -> Column:
-    """``short_read`` when fewer rows landed than the source announced, else ``ok``."""
-    return F.when(landed < expected, "short_read").otherwise("ok")
-
-
 def partition_marks(df: DataFrame, column: str, partition: Column) -> DataFrame:
     """High-water mark and row count per partition, for state kept per slice of a source."""
     newest = F.max(as_epoch_ms(df, column)).alias("mark_ms")

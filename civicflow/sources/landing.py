@@ -13,6 +13,7 @@ of another run.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +37,11 @@ STATE_SCHEMA = "slice string, watermark string, updated_by_run string, updated_a
 FILE_SCHEMA = "run_id string, path string, length bigint"
 
 
+def new_run_id(run_at: datetime) -> str:
+    """UTC time of the run and eight random hexadecimal digits."""
+    return f"{run_at.astimezone(timezone.utc):%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:8]}"
+
+
 def run_directory(run_id: str, run_at: datetime) -> str:
     day = run_at.astimezone(timezone.utc)
     return f"ingest_year={day:%Y}/ingest_month={day:%m}/ingest_day={day:%d}/run_id={run_id}"
@@ -118,9 +124,9 @@ def empty_landing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], landing_schema())
 
 
-def count_lines(spark: SparkSession, root: str) -> DataFrame:
+def count_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
     """Number of landed rows, without parsing them (one row, ``n``)."""
-    lines = spark.read.option("pathGlobFilter", RAW_FILES).text(root)
+    lines = spark.read.option("pathGlobFilter", RAW_FILES).text(paths if paths is not None else root)
     return lines.where(F.trim("value") != "").agg(F.count(F.lit(1)).alias("n"))
 
 

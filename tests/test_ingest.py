@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicflow import contracts
+from civicflow.operators import clean
 from civicflow.plans.end_to_end import ShortReadError, run
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import read_star
@@ -255,6 +256,28 @@ def test_all_stages_in_order(spark, source, tmp_path):
     assert read_star(spark, f"{root}/warehouse")["fact_service_request"].count() == 4
 
 
+def test_an_incremental_run_transforms_only_its_own_files(spark, source, tmp_path):
+    root = str(tmp_path / "all")
+    run(spark, source(5, 3, 1), root, run_id="r1", run_at=NOW, incremental=True)
+    again = run(spark, source(5, 3, 1, 0), root, run_id="r2", run_at=NOW, incremental=True)
+    assert (again["summary"]["raw_rows"], again["version"]) == (1, 2)
+    assert read_star(spark, f"{root}/warehouse")["fact_service_request"].count() == 4
+
+
+def test_run_ids_sort_by_time_and_differ(spark):
+    first, second = landing.new_run_id(NOW), landing.new_run_id(NOW)
+    assert first != second and first.startswith("20240704T093000Z-") and len(first) == 25
+
+
+def test_overwriting_a_table_removes_stale_parts(spark, cases, tmp_path):
+    path = str(tmp_path / "t")
+    for count in (8, 2):
+        rows = clean.clean_requests(cases(*[{"OBJECTID": i} for i in range(count)])).repartition(count)
+        tables.write_parquet(rows, path)
+    read = tables.read_processed(spark, path)
+    assert (read.count(), read.columns) == (2, tables.PROCESSED_COLUMNS)
+
+
 def test_a_short_read_keeps_later_stages_from_running(spark, source, tmp_path):
     with pytest.raises(ShortReadError):
         run(spark, source(1), str(tmp_path / "all"), run_id="r1", run_at=NOW, expected=50)

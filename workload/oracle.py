@@ -108,7 +108,7 @@ NEIGHBORHOODS = (
     "select Neighborhood as neighborhood_name, arg_min(Council_District, (created_ms, OBJECTID)) as council_district, "
     "arg_min(Police_District, (created_ms, OBJECTID)) as police_district from {0} where Neighborhood is not null group by 1"
 )
-DATES = """select distinct cast(strftime(d,'%Y%m%d') as integer) as date_key, d as full_date,
+DATES = """select distinct cast(strftime(d,'%Y%m%d') as integer) as date_key, cast(d as varchar) as full_date,
   cast(year(d) as integer) as year, cast(month(d) as integer) as month, cast(day(d) as integer) as day,
   cast(dayofweek(d) as integer) as day_of_week, dayofweek(d) in (0,6) as is_weekend
   from (select cast(make_timestamp(created_ms*1000) as date) as d from {0})"""
@@ -263,10 +263,23 @@ def oracle() -> dict[str, str]:
           count(*) filter (Type is not null or Topic is not null) as dim_service_type_upserted,
           count(Neighborhood) as dim_neighborhood_upserted, count(created_ms) as dim_date_upserted,
           count(*) as facts_upserted from valid""",
+        "load_report": f"""{TWO}
+          select 'dim_agency' as table_name, (select count(Agency) from two) as attempted,
+            (select count(*) from (select distinct Agency from two where Agency is not null
+              and Agency not in (select Agency from one where Agency is not null))) as inserted
+          union all select 'dim_service_type', (select count(*) from two where Type is not null or Topic is not null),
+            (select count(*) from ({SERVICE_TYPES.format("two")} except {SERVICE_TYPES.format("one")}))
+          union all select 'dim_neighborhood', (select count(Neighborhood) from two),
+            (select count(*) from (select Neighborhood from two where Neighborhood is not null
+              except select Neighborhood from one))
+          union all select 'dim_date', (select count(created_ms) from two),
+            (select count(*) from (select created_ms//86400000 from two except select created_ms//86400000 from one))
+          union all select 'fact_service_request', (select count(*) from two),
+            (select count(*) from (select OBJECTID from two except select OBJECTID from one))""",
         "total_requests": f"{STAR} select count(*) as total_requests from public",
         "agencies_represented": f"{STAR} select count(distinct agency_name) as agencies from public",
         "requests_by_agency": f"{STAR} {volume('agency_name')}",
-        "requests_by_day": f"""{STAR} select cast(make_timestamp(created_ms*1000) as date) as full_date,
+        "requests_by_day": f"""{STAR} select cast(cast(make_timestamp(created_ms*1000) as date) as varchar) as full_date,
           count(*) as request_count from public group by 1""",
         "requests_by_neighborhood": f"""{STAR} {volume("neighborhood_name", closed=False)}
           order by total_requests desc, neighborhood_name limit {contracts.TOP_NEIGHBORHOODS}""",
@@ -347,7 +360,7 @@ def oracle() -> dict[str, str]:
           select date_key, n_rows, round(m,6) as expected_rows, round(score0,6) as score,
             coalesce(abs(score0) > 1.5, false) as unusual from z""",
         "date_attributes": """select event_id, cast(strftime(ts,'%Y%m%d') as integer) as date_key,
-            cast(ts as date) as full_date, cast(year(ts) as integer) as year, cast(month(ts) as integer) as month,
+            cast(cast(ts as date) as varchar) as full_date, cast(year(ts) as integer) as year, cast(month(ts) as integer) as month,
             cast(day(ts) as integer) as day, cast(dayofweek(ts) as integer) as day_of_week,
             dayofweek(ts) in (0,6) as is_weekend from events""",
         "utc_texts": """select event_id, strftime(ts,'%Y') as ingest_year, strftime(ts,'%m') as ingest_month,

@@ -1,7 +1,7 @@
 """One function per registered query: (session, data folder) to DataFrame.
 
-Instants are returned as epoch milliseconds, so results compare independently of how a
-client renders time zones.
+Instants are returned as epoch milliseconds and calendar days as ISO text, so results compare
+independently of how a client renders them.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from civicflow.operators import (
     quality,
     summaries,
 )
+from civicflow.plans import load
 from civicflow.plans.ingest import ingest
 from civicflow.plans.transform import quarantined_rows, read_clean
 from civicflow.session import scratch_dir
@@ -43,6 +44,10 @@ def as_numbers(df: DataFrame) -> DataFrame:
     ).withColumnsRenamed({"created_at": "created_ms", "closed_at": "closed_ms"})
 
 
+def day_as_text(df: DataFrame, column: str = "full_date") -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("string"))
+
+
 # --- cleaning ----------------------------------------------------------------------
 
 
@@ -204,7 +209,7 @@ def dim_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored.warehouse(spark, sf_dir)["dim_date"]
+    return day_as_text(stored.warehouse(spark, sf_dir)["dim_date"])
 
 
 def dim_neighborhood_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +226,7 @@ def dim_neighborhood_after_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date_after_two(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored.warehouse_after_two(spark, sf_dir)["dim_date"]
+    return day_as_text(stored.warehouse_after_two(spark, sf_dir)["dim_date"])
 
 
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,6 +241,12 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.load_counts(feed.valid_requests(spark, sf_dir))
 
 
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempted and inserted rows per table of the second of two loads."""
+    root, batch = stored.second_load(spark, sf_dir)
+    return load.load_report(spark, root, batch, 2)
+
+
 # --- dashboard ---------------------------------------------------------------------
 
 
@@ -255,7 +266,7 @@ def requests_by_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = stored.warehouse(spark, sf_dir)
-    return metrics.by_day(star["fact_service_request"], star["dim_date"])
+    return day_as_text(metrics.by_day(star["fact_service_request"], star["dim_date"]))
 
 
 def requests_by_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +472,8 @@ def volume_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = feed.table(spark, sf_dir, "events")
     day = F.to_date("ts")
-    return events.select("event_id", *(c.alias(n) for n, c in time.date_attributes(day).items()))
+    attributes = time.date_attributes(day).items()
+    return day_as_text(events.select("event_id", *(c.alias(n) for n, c in attributes)))
 
 
 def utc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -541,6 +553,7 @@ def registered() -> dict:
             fact_load,
             fact_upsert,
             load_counts,
+            load_report,
             total_requests,
             agencies_represented,
             requests_by_agency,

@@ -47,16 +47,26 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return read_star(spark, once(spark, sf_dir, "warehouse", build))
 
 
-def warehouse_after_two(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star schema after two overlapping deliveries were loaded in turn."""
+def two_loads(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a warehouse into which two overlapping deliveries were loaded in turn."""
 
     def build(path: str) -> str:
         for number, day in ((1, FIRST_DAY), (2, SECOND_DAY)):
             cases = feed.valid(feed.delivery(spark, sf_dir, number)).drop(*feed.EXTRA_COLUMNS)
             load_batch(spark, cases, path, f"delivery-{number}", day)
-        return f"{path}/star"
+        return path
+
+    return once(spark, sf_dir, "two_loads", build)
+
+
+def warehouse_after_two(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return read_star(spark, f"{two_loads(spark, sf_dir)}/star")
+
 
-    return read_star(spark, once(spark, sf_dir, "warehouse_after_two", build))
+def second_load(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Warehouse root and the batch of its second load."""
+    path = two_loads(spark, sf_dir)
+    return f"{path}/star", spark.read.parquet(f"{path}/batch-delivery-2")
 
 
 def load_batch(spark: SparkSession, cases: DataFrame, path: str, name: str, day: datetime) -> None:
