@@ -208,6 +208,18 @@ def test_partition_values_stay_text(spark, root):
     assert (row["ingest_year"], row["ingest_month"], row["ingest_day"], row["run_id"]) == ("2024", "07", "04", "r1")
 
 
+def test_a_zone_without_run_directories_is_read_too(spark, root):
+    folder = Path(root, "ingest_year=2024/ingest_month=07/ingest_day=04")
+    folder.mkdir(parents=True)
+    for run in ("a", "b"):
+        with gzip.open(folder / f"{run}_part-00000.jsonl.gz", "wt") as out:
+            out.write('{"OBJECTID": 1, "Agency": " %s "}\n' % run)
+    rows = landing.read_landed(spark, root).collect()
+    assert [(r["ingest_day"], r["run_id"]) for r in rows] == [("04", None)] * 2
+    kept = clean.clean_requests(landing.read_landed(spark, root, row_id=True), row_id=landing.ROW_ID)
+    assert [r["Agency"] for r in kept.collect()] == ["b"]
+
+
 def test_a_day_filter_prunes_directories(spark, root):
     write_lines(root, '{"OBJECTID": 1}\n')
     df = landing.read_landed(spark, root).where("ingest_day = '04'")
