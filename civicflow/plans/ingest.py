@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,6 +21,7 @@ def ingest(
     run_id: str,
     run_at: datetime,
     mark_column: str = "Case_Created_Date",
+    update_columns: Sequence[str] = (),
     full_refresh: bool = False,
     dry_run: bool = False,
     lookback_days: int = contracts.COLD_START_DAYS,
@@ -32,23 +34,29 @@ def ingest(
 ) -> dict:
     """One ingestion run; returns its manifest.
 
+    ``update_columns`` (a closing or modification time) add rows that changed after their
+    creation was passed; each column has a mark of its own.
+
     ``expected`` is the source's own row count if it reports one, otherwise the extract is
     counted first. A run that lands less is a ``short_read``: its files stay, its manifest
     says so, and the mark does not move, so the next run reads the window again.
     """
     configure(spark)
-    since = None
-    if not full_refresh:
-        stored = None if dry_run else landing.read_mark(spark, root, slice_name)
-        since = stored or extract.cold_start_mark(run_at, lookback_days)
+    columns = {mark_column: slice_name, **{c: f"{slice_name}/{c}" for c in update_columns}}
+    since: dict[str, datetime | None] = {}
+    for column, state in columns.items():
+        stored = None if full_refresh or dry_run else landing.read_mark(spark, root, state)
+        cold = None if full_refresh else extract.cold_start_mark(run_at, lookback_days)
+        since[column] = stored or cold
 
-    predicate = extract.newer_than(source, mark_column, since, overlap)
-    wanted = source.where(predicate)
+    wanted = extract.extract(source, since, overlap)
     if expected is None:
         expected = wanted.count()
 
     directory = landing.run_directory(run_id, run_at)
-    totals = extract.high_water(wanted, mark_column, since)
+    totals = [F.count(F.lit(1)).alias("rows")]
+    for column, mark in since.items():
+        totals.append(extract.high_water(wanted, column, mark).alias(f"mark_{column}"))
     if dry_run:
         seen = wanted.agg(*totals).first().asDict()
         written = {"file_count": 0, "bytes": 0}
@@ -66,29 +74,30 @@ def ingest(
         listed = landing.read_file_lists(spark, root).where(F.col("run_id") == run_id)
         written = landing.inventory_totals(listed).first().asDict()
 
-    mark_ms = seen["mark_ms"]
+    marks = {column: seen[f"mark_{column}"] for column in columns}
     status = "short_read" if seen["rows"] < expected else "ok"
     manifest = {
         "run_id": run_id,
         "run_started_at": run_at.astimezone(timezone.utc).isoformat(),
         "run_finished_at": datetime.now(timezone.utc).isoformat(),
         "source": source_name,
-        "where_clause": _predicate_text(mark_column, since, overlap),
+        "where_clause": " OR ".join(_predicate_text(c, m, overlap) for c, m in since.items()),
         "expected_record_count": expected,
         "actual_record_count": seen["rows"],
         "file_count": written["file_count"],
         "bytes_written": written["bytes"],
         "files": [] if dry_run else [directory],
-        "watermark_before": since.astimezone(timezone.utc).isoformat() if since else None,
-        "watermark_after": _iso(mark_ms),
+        "watermark_before": _iso(since[mark_column]),
+        "watermark_after": _iso(_from_ms(marks[mark_column])),
         "full_refresh": full_refresh,
         "dry_run": dry_run,
         "status": status,
     }
     if not dry_run:
         landing.write_manifest(spark, root, run_id, manifest)
-        if status == "ok" and mark_ms is not None:
-            landing.append_mark(spark, root, mark_ms, run_id, slice_name)
+        for column, state in columns.items():
+            if status == "ok" and marks[column] is not None:
+                landing.append_mark(spark, root, marks[column], run_id, state)
     return manifest
 
 
@@ -100,8 +109,11 @@ def _predicate_text(column: str, since: datetime | None, overlap: timedelta) ->
     return f"{column} > TIMESTAMP '{bound:%Y-%m-%d %H:%M:%S}'"
 
 
-def _iso(mark_ms: int | None) -> str | None:
+def _from_ms(mark_ms: int | None) -> datetime | None:
     if mark_ms is None:
         return None
-    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-    return (epoch + timedelta(milliseconds=mark_ms)).isoformat()
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=mark_ms)
+
+
+def _iso(mark: datetime | None) -> str | None:
+    return mark.astimezone(timezone.utc).isoformat() if mark else None

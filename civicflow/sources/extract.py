@@ -58,13 +58,12 @@ def as_epoch_ms(df: DataFrame, column: str) -> Column:
     return F.col(column) if kind == "bigint" else time.to_epoch_ms(F.col(column))
 
 
-def high_water(df: DataFrame, column: str, previous: datetime | None) -> list[Column]:
-    """Aggregates of an extract: row count, and the mark in epoch ms that never moves back."""
+def high_water(df: DataFrame, column: str, previous: datetime | None) -> Column:
+    """Aggregate: the newest mark of an extract in epoch ms, never before the previous one."""
     newest = F.max(as_epoch_ms(df, column))
-    if previous is not None:
-        floor = int(previous.astimezone(timezone.utc).timestamp() * 1000)
-        newest = F.greatest(F.lit(floor), newest)
-    return [F.count(F.lit(1)).alias("rows"), newest.alias("mark_ms")]
+    if previous is None:
+        return newest
+    return F.greatest(F.lit(int(previous.astimezone(timezone.utc).timestamp() * 1000)), newest)
 
 
 def partition_marks(df: DataFrame, column: str, partition: Column) -> DataFrame:

@@ -146,6 +146,33 @@ def test_the_mark_never_moves_back(spark, source, root):
     assert landing.read_mark(spark, root) == NOW - timedelta(hours=1)
 
 
+def test_a_second_mark_fetches_cases_closed_since(spark, cases, root):
+    def feed(closed_age):
+        closed = None if closed_age is None else NOW_MS - closed_age * HOUR
+        return cases(
+            {"OBJECTID": 1, "Case_Created_Date": NOW_MS - 9 * HOUR, "Case_Closed_Date": closed},
+            {"OBJECTID": 2, "Case_Created_Date": NOW_MS - 8 * HOUR},
+        )
+
+    options = {"run_at": NOW, "update_columns": ["Case_Closed_Date"]}
+    assert ingest(spark, feed(None), root, run_id="r1", **options)["actual_record_count"] == 2
+    second = ingest(spark, feed(2), root, run_id="r2", **options)
+    assert (second["actual_record_count"], second["status"]) == (1, "ok")
+    assert ingest(spark, feed(2), root, run_id="r3", **options)["actual_record_count"] == 0
+    assert landing.read_mark(spark, root) == NOW - timedelta(hours=8)
+    assert landing.read_mark(spark, root, "/Case_Closed_Date") == NOW - timedelta(hours=2)
+
+
+def test_a_run_without_new_rows_in_key_order(spark, source, root, tmp_path):
+    source(3, 1).write.parquet(str(tmp_path / "src"))
+    stored = spark.read.parquet(str(tmp_path / "src"))
+    for run_id, rows in (("r1", 2), ("r2", 0)):
+        manifest = ingest(spark, stored, root, run_id=run_id, run_at=NOW, sort_key="OBJECTID")
+        assert (manifest["actual_record_count"], manifest["status"]) == (rows, "ok")
+    assert landing.read_mark(spark, root) == NOW - timedelta(hours=1)
+    assert landing.read_landed(spark, root).count() == 2
+
+
 def test_marks_of_slices_are_separate(spark, source, root):
     ingest(spark, source(1), root, run_id="r1", run_at=NOW, slice_name="march")
     assert landing.read_mark(spark, root, "march") == NOW - timedelta(hours=1)
