@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -202,3 +203,116 @@ def test_all_rows_of_every_table_reach_the_warehouse(warehouse, spark):
     )
     pairs = {(r["object_id"], r["agency_name"], r["full_date"]) for r in joined.collect()}
     assert len(pairs) == 25 and all(name == f"A{key}" for key, name, _ in pairs)
+
+
+def one_by_one(batches, stamps):
+    """What loading row after row must give: fact rows by key with member names, and districts."""
+    fact, hoods, members = {}, {}, {"agency": set(), "type": set(), "date": set()}
+    for rows, stamp in zip(batches, stamps):
+        for row in sorted(rows, key=lambda r: (r["Case_Created_Date"], r["OBJECTID"])):
+            if row["Agency"]:
+                members["agency"].add(row["Agency"])
+            kind = (row["Type"], row["Topic"]) if row["Type"] and row["Topic"] else None
+            if kind:
+                members["type"].add(kind)
+            if row["Neighborhood"]:
+                hoods.setdefault(row["Neighborhood"], (row["Council_District"], row["Police_District"]))
+            day = datetime.fromtimestamp(row["Case_Created_Date"] / 1000, tz=timezone.utc)
+            members["date"].add(int(day.strftime("%Y%m%d")))
+            closed = row["Case_Closed_Date"]
+            hours = None if closed is None else round((closed - row["Case_Created_Date"]) / 3_600_000, 2)
+            state = {"status": row["Case_Status"], "closed": closed, "hours": hours, "loaded": stamp}
+            known = fact.setdefault(
+                row["OBJECTID"],
+                {"agency": row["Agency"], "kind": kind, "hood": row["Neighborhood"], "created": row["Case_Created_Date"]},
+            )
+            known.update(state)
+    return fact, hoods, members
+
+
+def random_batch(rng):
+    rows = []
+    for key in rng.sample(range(40), 25):
+        created = START + rng.randrange(4) * DAY
+        rows.append(
+            {
+                "OBJECTID": key,
+                "Case_Created_Date": created,
+                "Case_Closed_Date": rng.choice([None, created + rng.randrange(50) * 1_800_000]),
+                "Case_Status": rng.choice(["New", "Closed", None]),
+                "Agency": rng.choice(["A", "B", "C", None]),
+                "Type": rng.choice(["t1", "t2", None]),
+                "Topic": rng.choice(["x", "y", None]),
+                "Neighborhood": rng.choice(["n1", "n2", "n3", None]),
+                "Council_District": rng.choice([1, 2, None]),
+                "Police_District": rng.choice([5, 6]),
+            }
+        )
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_loads_equal_inserting_row_by_row(warehouse, spark, seed):
+    rng = random.Random(seed)
+    batches, stamps = [random_batch(rng) for _ in range(3)], [MONDAY, TUESDAY, TUESDAY.replace(day=3)]
+    for number, (rows, stamp) in enumerate(zip(batches, stamps)):
+        warehouse(f"b{number}", stamp, *rows)
+    expected, hoods, members = one_by_one(batches, stamps)
+
+    star = load.read_star(spark, warehouse.root)
+    found_hoods = {r["neighborhood_name"]: (r["council_district"], r["police_district"]) for r in star["dim_neighborhood"].collect()}
+    assert found_hoods == hoods
+    assert {r["agency_name"] for r in star["dim_agency"].collect()} == members["agency"]
+    assert {(r["type_name"], r["topic_name"]) for r in star["dim_service_type"].collect()} == members["type"]
+    assert {r["date_key"] for r in star["dim_date"].collect()} == members["date"]
+
+    named = (
+        star["fact_service_request"]
+        .join(star["dim_agency"], "agency_key", "left")
+        .join(star["dim_service_type"], "service_type_key", "left")
+        .join(star["dim_neighborhood"], "neighborhood_key", "left")
+    )
+    found = {
+        r["object_id"]: {
+            "agency": r["agency_name"],
+            "kind": (r["type_name"], r["topic_name"]) if r["type_name"] else None,
+            "hood": r["neighborhood_name"],
+            "created": r["created_ms"],
+            "status": r["case_status"],
+            "closed": r["closed_ms"],
+            "hours": None if r["resolution_hours"] is None else float(r["resolution_hours"]),
+            "loaded": datetime.fromtimestamp(r["loaded_ms"] / 1000, tz=timezone.utc),
+        }
+        for r in named.withColumns(
+            {
+                "created_ms": F.unix_millis("created_at"),
+                "closed_ms": F.unix_millis("closed_at"),
+                "loaded_ms": F.unix_millis("loaded_at"),
+            }
+        ).collect()
+    }
+    assert found == expected
+
+
+def test_a_fresh_session_continues_a_warehouse(warehouse, spark):
+    """The bucketed fact is declared again when the catalog does not know it."""
+    warehouse("a", MONDAY, {"OBJECTID": 1}, {"OBJECTID": 2})
+    for table in spark.catalog.listTables():
+        if table.name.startswith("fact_"):
+            spark.sql(f"DROP TABLE {table.name}")
+    _, after = warehouse("b", TUESDAY, {"OBJECTID": 2, "Case_Status": "Closed"}, {"OBJECTID": 3})
+    assert {k: r["case_status"] for k, r in after.items()} == {1: "Open", 2: "Closed", 3: "Open"}
+
+
+def test_the_load_report_separates_attempts_from_new_rows(warehouse, spark, tmp_path):
+    warehouse("a", MONDAY, {"OBJECTID": 1}, {"OBJECTID": 2})
+    warehouse("b", TUESDAY, {"OBJECTID": 2}, {"OBJECTID": 3, "Agency": "Water", "Topic": None})
+    batch = spark.read.parquet(str(tmp_path / "batch-b"))
+    rows = load.load_report(spark, warehouse.root, batch, 2).collect()
+    assert {r["table_name"]: (r["attempted"], r["inserted"]) for r in rows} == {
+        "dim_agency": (2, 1),
+        "dim_service_type": (2, 0),
+        "dim_neighborhood": (2, 0),
+        "dim_date": (2, 0),
+        "fact_service_request": (2, 1),
+    }
