@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow import contracts
-from civicflow.session import configure
+from civicflow.session import configure, sized_shuffles
 from civicflow.sources import extract, landing
 
 
@@ -65,9 +65,10 @@ def ingest(
         # counts a finished result task once even if an executor is lost.
         figures = Observation()
         ordered = landing.in_key_order(wanted, sort_key) if sort_key else wanted
-        landing.write_landing(
-            ordered.observe(figures, *totals), f"{root}/{directory}", rows_per_file
-        )
+        with sized_shuffles(wanted):
+            landing.write_landing(
+                ordered.observe(figures, *totals), f"{root}/{directory}", rows_per_file
+            )
         seen = figures.get
         files = landing.inventory(spark, f"{root}/{directory}", landing.RAW_FILES)
         landing.write_file_list(files, root, run_id)

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from civicflow import contracts
 from civicflow.operators import dimensions, facts
-from civicflow.session import configure
+from civicflow.session import configure, partitions_for, sized_shuffles
 from civicflow.sources import snapshots
 
+# Rows in a shuffle against the Parquet files they come from.
+EXPANSION = 4.0
+
 DIMENSIONS = {
     "dim_agency": dimensions.agencies,
     "dim_service_type": dimensions.service_types,
@@ -29,6 +32,7 @@ def load_star(
     batch_id: str,
     loaded_at: datetime | None = None,
     buckets: int | None = None,
+    keep_versions: int | None = None,
 ) -> int:
     """Merge ``batch`` (clean cases, keys unique) and return the version that holds it.
 
@@ -37,7 +41,9 @@ def load_star(
 
     The fact is bucketed and sorted by ``object_id``, so a merge shuffles the batch into
     the stored buckets and reads the much larger stored side in place. ``buckets`` is
-    fixed by the first load (default: the session's shuffle partitions).
+    fixed by the first load; the default suits the first batch, so give a number when later
+    loads will make the fact much larger. Every load writes the whole star; with
+    ``keep_versions`` older ones are deleted after the commit.
     """
     configure(spark)
     log = snapshots.commits(spark, root)
@@ -47,8 +53,26 @@ def load_star(
     last = log.agg(F.max_by(F.struct("version", "buckets"), "version").alias("c")).first()["c"]
     previous = last["version"] if last else 0
     version = previous + 1
-    buckets = last["buckets"] if last else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = last["buckets"] if last else buckets or partitions_for(batch, EXPANSION)
+
+    with sized_shuffles(batch, EXPANSION):
+        _write_version(spark, batch, root, previous, buckets, loaded_at)
+    snapshots.commit(spark, root, version, batch_id, buckets)
+    if keep_versions is not None:
+        snapshots.expire(spark, root, keep_versions)
+    return version
+
 
+def _write_version(
+    spark: SparkSession,
+    batch: DataFrame,
+    root: str,
+    previous: int,
+    buckets: int,
+    loaded_at: datetime | None,
+) -> None:
+    """Write the star that follows version ``previous`` (0: none) under the next number."""
+    version = previous + 1
     stored = {}
     for table, build in DIMENSIONS.items():
         existing = read_table(spark, root, table, previous) if previous else None
@@ -74,8 +98,6 @@ def load_star(
         .option("path", path)
         .saveAsTable(_table_name(path))
     )
-    snapshots.commit(spark, root, version, batch_id, buckets)
-    return version
 
 
 def read_table(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from civicflow import contracts
 from civicflow.operators import quality
 from civicflow.operators.clean import clean_requests
-from civicflow.session import configure
+from civicflow.session import configure, sized_shuffles
 from civicflow.sources import landing, snapshots, tables
 
+# Rows in a shuffle against the gzip JSON they come from.
+EXPANSION = 10.0
+
 REQUESTS = "requests"
 ACCEPTED = "accepted"
 QUARANTINED = "quarantined"
@@ -26,7 +29,8 @@ def stage_clean(raw: DataFrame, path: str, row_id: str | None = None) -> None:
     marked = clean_requests(raw, row_id=row_id).withColumn("problems", quality.row_problems())
     disposition = F.when(F.size("problems") > 0, QUARANTINED).otherwise(ACCEPTED)
     staged = marked.withColumn("disposition", disposition)
-    staged.write.mode("overwrite").partitionBy("disposition").parquet(path)
+    with sized_shuffles(raw, EXPANSION):
+        staged.write.mode("overwrite").partitionBy("disposition").parquet(path)
 
 
 def summary_measures(raw_rows: Column) -> list[quality.Check]:
@@ -49,11 +53,13 @@ def transform(
     directories: Sequence[str] | None = None,
     preview_path: str | None = None,
     preview_rows: int = contracts.PREVIEW_ROWS,
+    keep_versions: int | None = None,
 ) -> dict | None:
     """One transform run; returns its summary, or ``None`` when nothing has landed.
 
     ``directories`` (as a manifest lists them) restricts the run to newly landed data; the
-    default reads the whole zone.
+    default reads the whole zone. With ``keep_versions`` older published versions are
+    deleted after the commit.
 
     Three Spark actions: the write, one aggregate for gate and summary over the written
     columns, and the preview. A hard failure raises :class:`quality.QualityGateError`
@@ -77,8 +83,12 @@ def transform(
         *summary_measures(raw_rows),
         quality.info("staged_rows", staged.agg(F.count(F.lit(1))).scalar()),
     ]
-    result = quality.require_pass(quality.gate_result(quality.quality_report(judged, all_checks)))
+    with sized_shuffles(staged):
+        result = quality.gate_result(quality.quality_report(judged, all_checks))
+    quality.require_pass(result)
     snapshots.commit(spark, out_root, version, batch_id)
+    if keep_versions is not None:
+        snapshots.expire(spark, out_root, keep_versions)
 
     clean = read_clean(spark, out_root)
     if preview_path is not None:

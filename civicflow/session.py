@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Set at run time, so a session somebody else built gives the same results.
 # forceOptimizeSkewedJoin lets AQE split a hot join key even where that costs the
@@ -17,6 +20,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# A shuffle partition of this size sorts in an executor's memory share without much spilling.
+PARTITION_BYTES = 128 * 1024 * 1024
+# With more of them, the blocks between map and reduce tasks cost more than spilling does.
+MAX_PARTITIONS = 32_768
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _scratch: dict[str, str] = {}
 
 
@@ -26,6 +35,38 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def partitions_for(df: DataFrame, expansion: float = 1.0) -> int:
+    """Shuffle partitions for work on ``df``: by its size, at least the session's own number.
+
+    The size is that of the stored tables ``df`` reads; inputs of unknown size do not count.
+    ``expansion`` says how much larger rows are than the files (compressed text, columnar
+    encoding).
+    """
+    spark = df.sparkSession
+    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(size for size in sizes if size < unknown)
+    wanted = math.ceil(known * expansion / PARTITION_BYTES)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, MAX_PARTITIONS))
+
+
+@contextlib.contextmanager
+def sized_shuffles(df: DataFrame, expansion: float = 1.0) -> Iterator[None]:
+    """Let shuffles of the enclosed jobs start with enough partitions for ``df``.
+
+    AQE merges what turns out small, but it cannot make partitions smaller than the number
+    a shuffle starts with.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_INITIAL_PARTITIONS, None)
+    conf.set(_INITIAL_PARTITIONS, str(partitions_for(df, expansion)))
+    try:
+        yield
+    finally:
+        conf.unset(_INITIAL_PARTITIONS) if before is None else conf.set(_INITIAL_PARTITIONS, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table, below the folder all executors share.
 

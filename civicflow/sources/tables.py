@@ -28,11 +28,21 @@ def write_preview(df: DataFrame, path: str, rows: int = contracts.PREVIEW_ROWS)
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whichever file system it names."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    file_system, hadoop_path = _located(spark, path)
     return file_system.exists(hadoop_path)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a path with everything below it; false when there was nothing."""
+    file_system, hadoop_path = _located(spark, path)
+    return file_system.delete(hadoop_path, True)
+
+
+def _located(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def read_json_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON rows appended at ``path``; an empty table when nothing was written yet."""
     if not path_exists(spark, path):

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import re
 
 import pytest
 from conftest import SF_DIR, executed_plan
 from pyspark.sql import functions as F
 
+from civicflow import session
 from civicflow.operators import dedup, distribution, metrics
 from workload import feed, spark_queries, stored
 
@@ -81,6 +83,28 @@ def test_a_key_with_a_third_of_the_rows(spark, tmp_path):
     assert top == {1: 59_997, 2: 2}
 
 
+def test_shuffles_start_with_partitions_for_the_input(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(50_000).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert session.partitions_for(df) == 4
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1024)
+    wanted = session.partitions_for(df)
+    assert wanted > 100
+    assert session.partitions_for(df.join(df.withColumnRenamed("id", "other"), F.col("id") == F.col("other"))) < 3 * wanted
+    assert session.partitions_for(spark.createDataFrame([(1,)], "id bigint")) == 4
+    counted = df.groupBy("id").count()
+    with session.sized_shuffles(df):
+        inside = counted._jdf.queryExecution().executedPlan().toString()
+    outside = df.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert f"hashpartitioning(id#{_number(inside)}, {wanted})" in inside
+    assert f"hashpartitioning(id#{_number(outside)}, 4)" in outside
+
+
+def _number(plan: str) -> str:
+    return re.search(r"hashpartitioning\(id#(\w+),", plan).group(1)
+
+
 def test_feed_rows_are_shuffled_once_for_the_join(spark):
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plan = executed_plan(feed.raw_requests(spark, SF_DIR))

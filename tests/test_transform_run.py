@@ -21,7 +21,7 @@ def land(cases, tmp_path):
 
     def write(run, *changes):
         target = tmp_path / "raw" / f"ingest_year=2024/ingest_month=03/ingest_day={run:02d}/run_id=r{run}"
-        landing.write_landing(cases(*changes), str(target))
+        landing.write_landing(cases(*changes).coalesce(1), str(target))
         return str(tmp_path / "raw")
 
     return write
@@ -102,6 +102,16 @@ def test_damaged_lines_reach_the_gate(spark, land, tmp_path):
         transform(spark, root, str(tmp_path / "out"), batch_id="b")
 
 
+def test_old_versions_are_deleted_on_request(spark, land, tmp_path):
+    root, out = land(1, *numbered(3)), str(tmp_path / "out")
+    for batch in ("a", "b", "c"):
+        transform(spark, root, out, batch_id=batch, keep_versions=2)
+    assert sorted(p.name for p in (tmp_path / "out").glob("v=*")) == ["v=000002", "v=000003"]
+    assert read_clean(spark, out).count() == 3
+    with pytest.raises(ValueError):
+        snapshots.expire(spark, out, 0)
+
+
 def test_summary_operators_agree(spark, cases):
     raw = cases(*numbered(9, lambda i: {"OBJECTID": i % 4 or None}))
     row = summaries.transform_summary(raw, clean.clean_requests(raw, null_keys="collapse")).first()
