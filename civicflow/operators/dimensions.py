@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicflow.functions import text, time
+from civicflow.functions import numbers, text, time
 
 # Surrogate keys are handed out per bucket of the natural key's hash, see assign_keys.
 KEY_BUCKETS = 256
@@ -81,8 +81,8 @@ def neighborhoods(batch: DataFrame, existing: DataFrame | None = None) -> DataFr
     # hash aggregate with map-side combine; the second sees a handful of rows per member.
     per_district = found.groupBy(
         F.col("Neighborhood").alias("neighborhood_name"),
-        F.col("Council_District").alias("council_district"),
-        F.col("Police_District").alias("police_district"),
+        numbers.int_or_null(F.col("Council_District")).alias("council_district"),
+        numbers.int_or_null(F.col("Police_District")).alias("police_district"),
     ).agg(F.min(arrival(F.col("created_at"), F.col("OBJECTID"))).alias("_arrival"))
     districts = F.struct("council_district", "police_district")
     incoming = (

@@ -71,7 +71,7 @@ def test_hours_between_uses_whole_seconds_and_may_be_negative(spark):
 
 
 def test_texts_do_not_depend_on_the_session_zone(spark):
-    spark.conf.set("spark.sql.session.timeZone", "America/Denver")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         at = F.timestamp_millis(F.lit(1_710_000_000_000))
         row = one(spark, iso=time.utc_iso(at), seconds=time.utc_seconds_text(at))

@@ -238,6 +238,9 @@ def oracle() -> dict[str, str]:
         "contract_diff": """select * from (values
           ('Council_District','retyped','int','bigint'), ('Police_District','retyped','int','bigint'))
           t(name, change, declared_type, actual_type)""",
+        "schema_describe": f"""select cast(row_number() over (order by name) as integer) as position, name,
+            case declared_type when 'int' then 'bigint' else declared_type end as type, true as nullable
+          from (values {declared}) t(i, name, declared_type)""",
         "freshness": f"""{BASE} select max(created_ms) as newest_ms,
           (epoch_ms(timestamp '2002-01-01')//1000 - max(created_ms)//1000)/3600.0e0 as age_hours from valid""",
         "dim_agency": f"""{BASE} select {surrogate(["agency_name"])} as agency_key, agency_name

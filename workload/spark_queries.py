@@ -28,7 +28,7 @@ from civicflow.plans import load
 from civicflow.plans.ingest import ingest
 from civicflow.plans.transform import quarantined_rows, read_clean
 from civicflow.session import scratch_dir
-from civicflow.sources import extract, landing, snapshots
+from civicflow.sources import extract, landing, snapshots, tables
 from workload import feed, stored
 
 UTC = timezone.utc
@@ -187,6 +187,13 @@ def contract_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.contract_diff(inferred.drop(*contracts.names(contracts.LANDING_PARTITIONS)))
 
 
+def schema_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and types found in the landed lines, in the order JSON inference gives them."""
+    root, _ = stored.landed(spark, sf_dir)
+    inferred = spark.read.option("pathGlobFilter", landing.RAW_FILES).json(root)
+    return tables.describe_schema(inferred.drop(*contracts.names(contracts.LANDING_PARTITIONS)))
+
+
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = feed.valid_requests(spark, sf_dir)
     found = metrics.freshness(cases, F.lit("2002-01-01").cast("timestamp"))
@@ -541,6 +548,7 @@ def registered() -> dict:
             quarantine_counts,
             contract_profile,
             contract_diff,
+            schema_describe,
             freshness,
             dim_agency,
             dim_service_type,
