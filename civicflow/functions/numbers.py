@@ -27,5 +27,9 @@ def stored_hours(hours: Column) -> Column:
 
 
 def rounded_average(column: Column) -> Column:
-    """Average ignoring NULLs, to one decimal, as double."""
-    return F.round(F.avg(column), 1).cast("double")
+    """Average of decimals ignoring NULLs, to one decimal, as double.
+
+    Sum by count keeps 20 decimals until the only rounding; the built-in average of a
+    decimal would round to six first and could lift a value just below a half over it.
+    """
+    return F.round(F.try_divide(F.sum(column), F.count(column)), 1).cast("double")

@@ -46,11 +46,9 @@ def load_star(
     ``keep_versions`` older ones are deleted after the commit.
     """
     configure(spark)
-    log = snapshots.commits(spark, root)
-    done = log.where(F.col("batch_id") == batch_id).agg(F.max("version").alias("v")).first()["v"]
+    last, done = snapshots.progress(spark, root, batch_id)
     if done is not None:
         return done
-    last = log.agg(F.max_by(F.struct("version", "buckets"), "version").alias("c")).first()["c"]
     previous = last["version"] if last else 0
     version = previous + 1
     buckets = last["buckets"] if last else buckets or partitions_for(batch, EXPANSION)

@@ -113,6 +113,13 @@ def test_stored_hours_round_half_away_from_zero(spark):
     assert got == ["1.01", "0.13", "-0.13", None]
 
 
+def test_an_average_just_below_a_half_is_rounded_once(spark):
+    hours = F.when(F.col("id") == 0, 1.04).otherwise(1.05).cast("decimal(10,2)")
+    df = spark.range(100_000).select(hours.alias("h"))
+    assert df.agg(numbers.rounded_average(F.col("h"))).first()[0] == 1.0
+    assert df.where("h < 0").agg(numbers.rounded_average(F.col("h"))).first()[0] is None
+
+
 def test_internal_flag_has_three_values(spark):
     df = spark.createDataFrame(
         [("EMAIL desk", None), (None, "re: End USER Digest"), ("Phone", "Pothole"), ("Phone", None), (None, None)],

@@ -229,6 +229,15 @@ def test_reading_tolerates_drift_and_keeps_damaged_lines(spark, root):
     assert landing.count_lines(spark, root).first()["n"] == 3
 
 
+def test_row_numbers_of_a_scan_repeat(spark, source, root):
+    ingest(spark, source(*range(1, 40)), root, run_id="r1", run_at=NOW, rows_per_file=3)
+    runs = [
+        {r["OBJECTID"]: r[landing.ROW_ID] for r in landing.read_landed(spark, root, row_id=True).collect()}
+        for _ in range(2)
+    ]
+    assert runs[0] == runs[1] and len(set(runs[0].values())) == 39
+
+
 def test_partition_values_stay_text(spark, root):
     write_lines(root, '{"OBJECTID": 1}\n')
     row = landing.read_landed(spark, root).first()
