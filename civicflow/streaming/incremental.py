@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from civicflow import contracts
 from civicflow.operators import quality
 from civicflow.plans.load import load_star
 from civicflow.plans.transform import accepted_rows, stage_clean
@@ -12,16 +13,24 @@ from civicflow.session import configure
 from civicflow.sources import landing, snapshots
 
 
-def landed_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    """The landing zone as a streaming source; the checkpoint remembers which files were read."""
+def landed_stream(
+    spark: SparkSession, root: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """The landing zone as a streaming source; the checkpoint remembers which files were read.
+
+    One micro-batch takes everything new, unless ``max_files`` or ``max_bytes`` splits a
+    backlog.
+    """
     reader = (
         spark.readStream.schema(landing.landing_schema())
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("columnNameOfCorruptRecord", contracts.CORRUPT_COLUMN)
         .option("pathGlobFilter", landing.RAW_FILES)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.json(root)
 
 
@@ -55,6 +64,7 @@ def start(
     *,
     quarantine: bool = False,
     max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Process everything landed since the last start, then stop (``availableNow``).
 
@@ -67,7 +77,7 @@ def start(
         process_batch(batch, batch_id, f"{work_root}/staged", warehouse_root, quarantine)
 
     return (
-        landed_stream(spark, raw_root, max_files)
+        landed_stream(spark, raw_root, max_files, max_bytes)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", f"{work_root}/checkpoint")
         .trigger(availableNow=True)

@@ -87,8 +87,14 @@ def test_stats_of_mixed_cases(star):
     assert tuple(row) == (4, 2, 0.5, 3.5)
 
 
+def test_headline_texts(star):
+    tables = star(closed(0), closed(2.25), closed(2.25), *[{}] * 1000)
+    assert tuple(dashboard(tables)["headline"].first()) == ("1,003", 1, "33%", "2.2 hrs")
+
+
 def test_stats_without_closed_cases(star):
     tables = star({})
+    assert tuple(dashboard(tables)["headline"].first()) == ("1", 1, "0%", "N/A")
     assert tuple(dashboard(tables)["resolution_stats"].first()) == (0, 0, 0.0, None)
     assert dashboard(tables)["resolution_histogram"].count() == 0
 

@@ -154,8 +154,10 @@ def test_a_bad_batch_stops_the_stream_and_is_read_again(spark, land, tmp_path):
     assert stream(spark, root, tmp_path, quarantine=True).count() == 2
 
 
-def test_one_file_per_trigger_gives_the_same_keys(spark, land, tmp_path):
+@pytest.mark.parametrize("limit", [{"max_files": 1}, {"max_bytes": 1}])
+def test_a_split_backlog_gives_the_same_keys(spark, land, tmp_path, limit):
     land(1, *numbered(5))
     root = land(2, *numbered(8))
-    fact = stream(spark, root, tmp_path, max_files=1)
+    fact = stream(spark, root, tmp_path, **limit)
+    assert snapshots.current_version(spark, f"{tmp_path}/star") == 2
     assert sorted(r["object_id"] for r in fact.collect()) == list(range(8))

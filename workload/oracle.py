@@ -279,6 +279,11 @@ def oracle() -> dict[str, str]:
             (select count(*) from (select created_ms//86400000 from two except select created_ms//86400000 from one))
           union all select 'fact_service_request', (select count(*) from two),
             (select count(*) from (select OBJECTID from two except select OBJECTID from one))""",
+        "headline_figures": f"""{STAR}, h as ({HOURS})
+          select format('{{:,}}', (select count(*) from public)) as total_requests,
+            (select count(distinct agency_name) from public) as agencies,
+            printf('%.0f%%', 100*coalesce(count(*) filter (h=0)/cast(nullif(count(*),0) as double), 0.0e0)) as same_call_share,
+            coalesce(printf('%.1f hrs', (select median(h) from h where h>0)), 'N/A') as median_time from h""",
         "total_requests": f"{STAR} select count(*) as total_requests from public",
         "agencies_represented": f"{STAR} select count(distinct agency_name) as agencies from public",
         "requests_by_agency": f"{STAR} {volume('agency_name')}",

@@ -24,7 +24,7 @@ from civicflow.operators import (
     quality,
     summaries,
 )
-from civicflow.plans import load
+from civicflow.plans import dashboard, load
 from civicflow.plans.ingest import ingest
 from civicflow.plans.transform import quarantined_rows, read_clean
 from civicflow.session import scratch_dir
@@ -257,6 +257,10 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- dashboard ---------------------------------------------------------------------
 
 
+def headline_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.headline(stored.warehouse(spark, sf_dir))
+
+
 def total_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.total_requests(stored.warehouse(spark, sf_dir)["fact_service_request"])
 
@@ -562,6 +566,7 @@ def registered() -> dict:
             fact_upsert,
             load_counts,
             load_report,
+            headline_figures,
             total_requests,
             agencies_represented,
             requests_by_agency,
