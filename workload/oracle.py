@@ -262,6 +262,8 @@ def oracle() -> dict[str, str]:
         "dim_date_after_two": f"{TWO} {DATES.format('(select created_ms from one union all select created_ms from two)')}",
         "fact_load": f"{BASE} {fact_rows('valid', FIRST_MS)}",
         "fact_upsert": upsert(TWO),
+        "fact_reload": f"{BASE} {fact_rows('valid', FIRST_MS)}",
+        "end_to_end_runs": upsert(TWO_LANDED),
         "load_counts": f"""{BASE} select count(Agency) as dim_agency_upserted,
           count(*) filter (Type is not null or Topic is not null) as dim_service_type_upserted,
           count(Neighborhood) as dim_neighborhood_upserted, count(created_ms) as dim_date_upserted,

@@ -244,6 +244,15 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.named_facts(stored.warehouse_after_two(spark, sf_dir))
 
 
+def fact_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loading the same cases again leaves the fact as it was."""
+    return stored.named_facts(stored.reloaded(spark, sf_dir))
+
+
+def end_to_end_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored.named_facts(stored.run_twice(spark, sf_dir))
+
+
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.load_counts(feed.valid_requests(spark, sf_dir))
 
@@ -564,6 +573,8 @@ def registered() -> dict:
             dim_date_after_two,
             fact_load,
             fact_upsert,
+            fact_reload,
+            end_to_end_runs,
             load_counts,
             load_report,
             headline_figures,

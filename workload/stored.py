@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow import contracts
+from civicflow.plans import end_to_end
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import load_star, read_star
 from civicflow.plans.transform import transform
@@ -63,6 +64,38 @@ def warehouse_after_two(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
     return read_star(spark, f"{two_loads(spark, sf_dir)}/star")
 
 
+def reloaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema after the same valid cases were loaded under two batch names."""
+
+    def build(path: str) -> str:
+        cases = feed.valid_requests(spark, sf_dir)
+        for name in ("first", "again"):
+            load_batch(spark, cases, path, name, FIRST_DAY)
+        return f"{path}/star"
+
+    return read_star(spark, once(spark, sf_dir, "reloaded", build))
+
+
+def run_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema after two whole runs (ingest, transform, load), one per delivery."""
+
+    def build(path: str) -> str:
+        for number, day in ((1, FIRST_DAY), (2, SECOND_DAY)):
+            end_to_end.run(
+                spark,
+                feed.delivery(spark, sf_dir, number).select(*RAW_COLUMNS),
+                path,
+                run_id=f"run-{number}",
+                run_at=day,
+                full_refresh=True,
+                quarantine=True,
+                incremental=True,
+            )
+        return f"{path}/warehouse"
+
+    return read_star(spark, once(spark, sf_dir, "run_twice", build))
+
+
 def second_load(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Warehouse root and the batch of its second load."""
     path = two_loads(spark, sf_dir)
