@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import packing
+from civicflow.llm import packing, token_files
+from civicflow.session import scratch_dir
 
 
 def _path(name: str) -> str:
@@ -16,10 +21,30 @@ def _path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=8)
+def _ship(app: str) -> None:
+    """Send this package to the Python workers, as ``--py-files`` would."""
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in root.rglob("*.py"):
+            out.write(source, source.relative_to(root.parent))
+    SparkSession.active().sparkContext.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _ship(spark.sparkContext.applicationId)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    token_files.write_ids(table(spark, sf_dir, "documents"), path, _path("byte_bpe_50k.json"), 2)
+    return token_files.read_ids(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), _path("word_bpe_49k.json"), 2048, 1)
     return pieces.select(
