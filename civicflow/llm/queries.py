@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import packing, token_files
+from civicflow.llm import near_dup, packing, token_files
 from civicflow.session import scratch_dir
 
 
@@ -52,6 +52,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

@@ -12,12 +12,10 @@ from functools import lru_cache
 
 import numpy as np
 
-# White space other than the blank and the line feed; superset of what the pre-tokenizers know.
-_RARE = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _RUNS = re.compile(r"\s*\S+|\s+")
-# One pre-token, and at most one mark behind it: the model alone can encode these.
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-_MARKS = ("  ", " \n", "\n ", "\n\n")
+# A word, with a line feed before and marks behind it: three pre-tokens at most, of which the
+# word needs the model alone and the others are few.
+_WORD = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]{0,4})")
 CACHED_PIECES = 400_000
 
 
@@ -32,11 +30,34 @@ def _shown_bytes() -> dict[int, str]:
 _SHOWN = _shown_bytes()
 
 
+class _Odd(Exception):
+    """White space that may belong to the same token as the white space in front of it."""
+
+
+class _Cache(dict):
+    """Ids of pieces, in two generations: the older one goes when the younger is full."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self._encode = encode
+        self._old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._old.get(piece)
+        self[piece] = ids = self._encode(piece) if ids is None else ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > CACHED_PIECES:
+            self._old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of texts by a ``tokenizers`` file, as little-endian bytes of ``dtype``.
 
-    Strings of special tokens in a text are ordinary text. A cache of two generations holds at
-    most twice ``CACHED_PIECES`` pieces: the older one is dropped when the younger is full.
+    Strings of special tokens in a text are ordinary text. The caches hold at most twice
+    ``CACHED_PIECES`` pieces each.
     """
 
     def __init__(self, path: str):
@@ -50,52 +71,47 @@ class Encoder:
         self._lower = normalizer is not None and normalizer.normalize_str("A") == "a"
         self._blank = self._plain.pre_tokenizer.pre_tokenize_str(" a")[0][0] != "a"
         self._model = self._plain.model
-        self._marks = {mark: self._ids(mark) for mark in ".,"} | {"": b""}
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._marks = {"": b"", "\n": self._ids("\n")}
+        self._behind_blank = _Cache(self._piece)
+        self._as_it_is = _Cache(self._ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; a missing text has no ids."""
-        split = [self._pieces(text) if text else [] for text in texts]
-        if len(self._young) > CACHED_PIECES:
-            self._old, self._young = self._young, {}
-        young, old = self._young, self._old
-        for piece in set().union(*split).difference(young):
-            if (ids := old.get(piece)) is None:
-                self._add(piece)
-            else:
-                young[piece] = ids
-        find = young.__getitem__
-        return [b"".join(map(find, pieces)) for pieces in split]
-
-    def _pieces(self, text: str) -> list[str]:
-        """Pieces in order. One without leading white space stands behind a single blank, the
-        first one, and any that the pattern cuts, as it is behind a NUL."""
-        if any(mark in text for mark in _MARKS) or text[-1] in " \n" or _RARE.search(text):
-            return ["\0" + piece for piece in _RUNS.findall(text)]
+        self._behind_blank.age()
+        self._as_it_is.age()
+        return [self._text(text) if text else b"" for text in texts]
+
+    def _text(self, text: str) -> bytes:
         pieces = text.replace("\n", " \n").split(" ")
-        if pieces[0] == "":
-            del pieces[0]
-            return pieces
-        pieces[0] = "\0" + pieces[0]
-        return pieces
+        try:
+            rest = b"".join(map(self._behind_blank.__getitem__, pieces[1:]))
+        except _Odd:
+            return b"".join(map(self._as_it_is.__getitem__, _RUNS.findall(text)))
+        return self._as_it_is[pieces[0]] + rest if pieces[0] else rest
 
     def _ids(self, text: str) -> bytes:
         ids = self._plain.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, self.dtype).tobytes()
 
-    def _add(self, piece: str) -> bytes:
-        """Encode one piece and keep it."""
-        word, width = _WORD.fullmatch(piece), self.dtype.itemsize
-        if word:
-            text = word[1].lower() if self._lower else word[1]
-            shaped = text if text.isascii() else text.encode().decode("latin-1").translate(_SHOWN)
-            found = self._model.tokenize("Ġ" + shaped if self._blank else shaped)
-            ids = b"".join([token.id.to_bytes(width, "little") for token in found]) + self._marks[word[2]]
-        else:
-            ids = self._ids(piece[1:] if piece[:1] == "\0" else piece if piece[:1] == "\n" else " " + piece)
-        self._young[piece] = ids
-        return ids
+    def _piece(self, piece: str) -> bytes:
+        """A piece behind one blank, or one that starts with its line feed."""
+        if word := _WORD.fullmatch(piece):
+            line, text, marks = word.groups()
+            if self._lower:
+                text = text.lower()
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(_SHOWN)
+            found = self._model.tokenize("Ġ" + text if self._blank and not line else text)
+            if marks not in self._marks:
+                self._marks[marks] = self._ids(marks)
+            width = self.dtype.itemsize
+            ids = b"".join([token.id.to_bytes(width, "little") for token in found])
+            return self._marks[line] + ids + self._marks[marks]
+        if piece[:1] == "\n" and len(piece) > 1:
+            return self._ids(piece)
+        if piece[:1].isspace() or not piece:
+            raise _Odd
+        return self._ids(" " + piece)
 
 
 @lru_cache(maxsize=4)
