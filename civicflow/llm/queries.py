@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import near_dup, packing, token_files
+from civicflow.llm import near_dup, packing, substring_dedup, token_files
 from civicflow.session import scratch_dir
 
 
@@ -37,6 +37,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return substring_dedup.remove_repeats(docs).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        n_removed.alias("n_removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     token_files.write_ids(table(spark, sf_dir, "documents"), path, _path("byte_bpe_50k.json"), 2)
