@@ -10,6 +10,7 @@ are topped up with pieces cut from the emptiest ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.tokens import encoder
+from civicflow.llm.tokens import encoded
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -116,51 +117,44 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, b
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        end = np.array([end_id], enc.dtype).tobytes()
         number = TaskContext.get().partitionId() << 33
         keys: list[int | None] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
         size = 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [x + end for x in enc.encode(part.column(1).to_pylist())]
-                keys += part.column(0).to_pylist()
-                held += ids
-                size += sum(map(len, ids))
-                if size >= batch_tokens * enc.dtype.itemsize:
-                    out, used = flush(keys, held, enc.dtype, number)
-                    yield from out
-                    number += used
-                    keys, held, size = [], [], 0
+        for doc_ids, ids, count in encoded(batches, tokenizer, end_id):
+            keys += doc_ids
+            held.append(ids)
+            counts.append(count)
+            size += len(ids)
+            if size >= batch_tokens:
+                out, used = flush(keys, np.concatenate(held), np.concatenate(counts), number)
+                yield from out
+                number += used
+                keys, held, counts, size = [], [], [], 0
         if keys:
-            yield from flush(keys, held, enc.dtype, number)[0]
+            yield from flush(keys, np.concatenate(held), np.concatenate(counts), number)[0]
 
-    def flush(keys, held, dtype, number):
-        width = dtype.itemsize
-        lengths = [len(x) // width for x in held]
+    def flush(keys: list, held: np.ndarray, counts: np.ndarray, number: int) -> tuple[list, int]:
+        lengths, begin = counts.tolist(), (np.cumsum(counts) - counts).tolist()
         windows = place(lengths, window)
         rows = [
             (doc, start, length, number + w, offset)
             for w, pieces in enumerate(windows)
-            for (doc, start, length), offset in zip(pieces, np.cumsum([0, *(p[2] for p in pieces)]).tolist())
+            for (doc, start, length), offset in zip(pieces, accumulate((p[2] for p in pieces), initial=0))
         ]
         out = []
         for at in range(0, len(rows), 2048):
             part = rows[at : at + 2048]
             doc, start, length, seq, offset = zip(*part)
-            ids = [
-                np.frombuffer(held[d], dtype, n, s * width).astype("<u4").tobytes()
-                for d, s, n in zip(doc, start, length)
-            ]
+            cuts = [held[begin[d] + s : begin[d] + s + n].astype("<u4").tobytes() for d, s, n in zip(doc, start, length)]
             out.append(
                 pa.record_batch(
                     [
                         pa.array([keys[d] for d in doc], pa.int64()),
                         pa.array(start, pa.int64()),
                         pa.array(length, pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        pa.array(cuts, pa.binary()),
                         pa.array([lengths[d] for d in doc], pa.int64()),
                         pa.array(seq, pa.int64()),
                         pa.array(offset, pa.int64()),

@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import near_dup, packing, substring_dedup, token_files
+from civicflow.llm import near_dup, packing, ppm, substring_dedup, token_files
 from civicflow.session import scratch_dir
 
 
@@ -56,6 +56,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    scored = ppm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumn("held_out", ~F.col("learned")).drop("learned")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), _path("word_bpe_49k.json"), 2048, 1)
     return pieces.select(

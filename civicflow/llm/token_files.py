@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from civicflow.llm.tokens import encoder
+from civicflow.llm.tokens import encoded, encoder
 from civicflow.session import partitions_for, scratch_dir
 
 MAX_BITS = 16
@@ -125,20 +125,18 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, max_b
     """
     spark = docs.sparkSession
     staged_path = scratch_dir(spark, "token-ids")
+    dtype = encoder(tokenizer).dtype
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        end = np.array([end_id], enc.dtype).tobytes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [x + end for x in enc.encode(part.column(1).to_pylist())]
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        for keys, ids, counts in encoded(batches, tokenizer, end_id):
+            ends = np.cumsum(counts) * dtype.itemsize
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            values = pa.BinaryArray.from_buffers(pa.binary(), len(keys), [None, offsets.buffers()[1], pa.py_buffer(ids)])
+            yield pa.record_batch([pa.array(keys, pa.int64()), values], names=["doc_id", "ids"])
 
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     docs.mapInArrow(tokenize, "doc_id long, ids binary").write.option("compression", "zstd").parquet(staged_path)
     staged = spark.read.schema("doc_id long, ids binary").parquet(staged_path)
-    dtype = encoder(tokenizer).dtype
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)

@@ -8,15 +8,19 @@ than texts do; each is encoded once per worker and found again in a bounded cach
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _RUNS = re.compile(r"\s*\S+|\s+")
 # A word, with a line feed before and marks behind it: three pre-tokens at most, of which the
 # word needs the model alone and the others are few.
 _WORD = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]{0,4})")
-CACHED_PIECES = 400_000
+CACHED_PIECES = 600_000
+BATCH_BYTES = 1 << 22
 
 
 def _shown_bytes() -> dict[int, str]:
@@ -54,10 +58,10 @@ class _Cache(dict):
 
 
 class Encoder:
-    """Ids of texts by a ``tokenizers`` file, as little-endian bytes of ``dtype``.
+    """Ids of texts by a ``tokenizers`` file, as numbers of ``dtype``.
 
-    Strings of special tokens in a text are ordinary text. The caches hold at most twice
-    ``CACHED_PIECES`` pieces each.
+    Strings of special tokens in a text are ordinary text. The cache holds at most twice
+    ``CACHED_PIECES`` pieces.
     """
 
     def __init__(self, path: str):
@@ -72,29 +76,58 @@ class Encoder:
         self._blank = self._plain.pre_tokenizer.pre_tokenize_str(" a")[0][0] != "a"
         self._model = self._plain.model
         self._marks = {"": b"", "\n": self._ids("\n")}
-        self._behind_blank = _Cache(self._piece)
-        self._as_it_is = _Cache(self._ids)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """One value per text; a missing text has no ids."""
-        self._behind_blank.age()
-        self._as_it_is.age()
-        return [self._text(text) if text else b"" for text in texts]
-
-    def _text(self, text: str) -> bytes:
-        pieces = text.replace("\n", " \n").split(" ")
-        try:
-            rest = b"".join(map(self._behind_blank.__getitem__, pieces[1:]))
-        except _Odd:
-            return b"".join(map(self._as_it_is.__getitem__, _RUNS.findall(text)))
-        return self._as_it_is[pieces[0]] + rest if pieces[0] else rest
+        self._cache = _Cache(self._piece)
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, each followed by ``end``, and the number of ids of each."""
+        self._cache.age()
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        lists = pc.split_pattern(pc.binary_join_element_wise("\0", pc.replace_substring(texts, "\n", " \n"), ""), " ")
+        found = lists.flatten().dictionary_encode()
+        which = found.indices.to_numpy()
+        first = lists.offsets.to_numpy()[:-1]
+        words = found.dictionary.to_pylist()
+        ids, odd = [], np.zeros(len(words) + 1, bool)
+        inner = np.ones(len(which), bool)
+        inner[first] = False
+        for i, word in enumerate(words):
+            try:
+                ids.append(self._cache[word])
+            except _Odd:
+                ids.append(b"")
+                odd[i] = True
+        odd_at = odd[which]
+        # A NUL marks the start of a text; one that the text itself has there is odd elsewhere.
+        marked = np.fromiter((word[:1] == "\0" for word in words), bool, len(words))
+        if marked.sum() and (inner & marked[which]).any():
+            odd_at |= inner & marked[which]
+        width = self.dtype.itemsize
+        pool = np.frombuffer(b"".join(ids), self.dtype)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // width
+        begin = np.cumsum(size) - size
+        sizes = size[which]
+        counts = np.add.reduceat(sizes, first) + 1 if len(first) else np.zeros(0, np.int64)
+        out = np.full(int(counts.sum()), end, self.dtype)
+        # Where each piece goes: behind the pieces before it and the ends of the texts before.
+        past = np.cumsum(sizes) - sizes
+        put = np.ones(len(out), bool)
+        put[np.cumsum(counts) - 1] = False
+        out[put] = pool[np.repeat(begin[which] - past, sizes) + np.arange(int(sizes.sum()))]
+        if not odd_at.any():
+            return out, counts
+        parts = np.split(out, np.cumsum(counts)[:-1])
+        for i in np.unique(np.searchsorted(first, np.flatnonzero(odd_at), "right") - 1).tolist():
+            whole = b"".join([self._cache["\0" + piece] for piece in _RUNS.findall(texts[i].as_py())])
+            parts[i] = np.append(np.frombuffer(whole, self.dtype), np.array(end, self.dtype))
+            counts[i] = len(parts[i])
+        return np.concatenate(parts), counts
 
     def _ids(self, text: str) -> bytes:
         ids = self._plain.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        """A piece behind one blank, or one that starts with its line feed."""
+        """A piece behind one blank, one that starts with its line feed, or one behind a NUL."""
         if word := _WORD.fullmatch(piece):
             line, text, marks = word.groups()
             if self._lower:
@@ -107,6 +140,8 @@ class Encoder:
             width = self.dtype.itemsize
             ids = b"".join([token.id.to_bytes(width, "little") for token in found])
             return self._marks[line] + ids + self._marks[marks]
+        if piece[:1] == "\0":
+            return self._ids(piece[1:])
         if piece[:1] == "\n" and len(piece) > 1:
             return self._ids(piece)
         if piece[:1].isspace() or not piece:
@@ -118,3 +153,21 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One encoder per file and Python worker."""
     return Encoder(path)
+
+
+def encoded(batches: Iterable[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Of batches (doc_id, text): ids of documents, all their token ids, the number of each."""
+    enc = encoder(path)
+    for batch in batches:
+        for part in slices(batch, 1):
+            yield part.column(0).to_pylist(), *enc.encode(part.column(1), end)
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``size`` bytes of one column, or one longer value."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(lengths) // size
+    edges = np.concatenate([[0], np.flatnonzero(number[1:] != number[:-1]) + 1, [len(number)]])
+    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if end > start:
+            yield batch.slice(start, end - start)
