@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import near_dup, packing, ppm, substring_dedup, token_files
+from civicflow.llm import near_dup, packing, ppm, substring_dedup, token_files, toxicity
 from civicflow.session import scratch_dir
 
 
@@ -37,6 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    classifier = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs, classifier)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])

@@ -81,17 +81,29 @@ def _pieces(texts: Iterable[bytes]) -> Iterable[list[tuple[int, bytes]]]:
         yield batch
 
 
-def word_hashes(texts: list[bytes], bases: tuple[int, ...] = BASES[:1], lower: bool = False) -> tuple[np.ndarray, ...]:
-    """How many words each text has, and for each base the hashes of all words in order."""
+def word_hashes(
+    texts: list[bytes],
+    bases: tuple[int, ...] = BASES[:1],
+    lower: bool = False,
+    between: np.ndarray = _BLANK,
+    longest: int | None = None,
+) -> tuple[np.ndarray, ...]:
+    """How many words each text has, and for each base the hashes of all words in order.
+
+    ``between`` says for each byte whether it parts words (white space always should). ``longest``
+    takes the first bytes of longer words only.
+    """
     counts = np.zeros(len(texts), np.int64)
     found: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in bases]
     for batch in _pieces(texts):
         data = np.frombuffer(b" ".join([part for _, part in batch]), np.uint8)
         if lower:
             data = _LOWER[data]
-        inside = np.concatenate([[False], ~_BLANK[data], [False]])
+        inside = np.concatenate([[False], ~between[data], [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
+        if longest:
+            ends = np.minimum(ends, starts + longest)
         offsets = np.cumsum([0, *(len(part) + 1 for _, part in batch)])
         np.add.at(counts, [i for i, _ in batch], np.diff(np.searchsorted(starts, offsets)))
         values = data.astype(np.uint64) + np.uint64(1)
