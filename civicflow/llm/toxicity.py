@@ -1,7 +1,8 @@
 """Toxicity by weak supervision: many voters, a label model, a linear classifier.
 
 1. Terms: on a bounded sample of labelled rows, words and beginnings of words whose documents are
-   mostly toxic, by a lower confidence bound. Copies of one text count once.
+   mostly toxic, by a lower confidence bound. Of texts that share their smallest or their largest
+   shingle hash only one counts, so a family of copies is no evidence for its rare words.
 2. Voters: a fixed lexicon, the learned terms dealt to lexicons by kind, and patterns of the text.
    A voter fires or abstains; one more speaks for a clean text when no lexicon fires.
 3. Label model: over all training rows, labelled or not, the frequency of every combination of
@@ -9,7 +10,7 @@
    each voter fires for either class; voters that agree beyond what the classes explain share
    their weight.
 4. Classifier: logistic regression on the presence of terms, fitted to the posterior labels of a
-   bounded sample. It scores every whole text.
+   bounded sample; where a row has a label, that is one more vote. It scores every whole text.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.llm.components import stored
+from civicflow.llm.near_dup import shingle_sets
 from civicflow.llm.tokens import slices
 from civicflow.llm.words import mix, word_hashes
 
@@ -31,13 +33,17 @@ from civicflow.llm.words import mix, word_hashes
 LABELLED_ROWS = 20_000
 FITTED_ROWS = 20_000
 MAX_TERMS = 4_096
+# A term has to be in so many toxic texts, and in this share of them.
 MIN_DOCS = 5
+MIN_SHARE = 0.005
 THRESHOLD = 0.3
 
 # Common insults.
 INSULTS = (
     "clown disgusting fool garbage idiot imbecile jerk loser moron pathetic scum stupid trash vermin worthless"
 )
+# How often a given label is taken to be right.
+LABEL_TRUST = 0.999
 # First bytes of a word that are terms of their own; None is the whole word.
 KINDS = (None, 4, 5, 6)
 LEXICONS_PER_KIND = 3
@@ -62,6 +68,15 @@ def _texts(part: pa.RecordBatch, column: int) -> list[bytes]:
     return [(t or "").encode() for t in part.column(column).to_pylist()]
 
 
+def _families(batches):
+    """Rows (text, toxic) with the smallest and the largest shingle hash of the text."""
+    for batch in batches:
+        for part in slices(batch, 0):
+            sets = shingle_sets(part.column(0).to_pylist())
+            low, high = ([int(s[at]) - 2**63 if len(s) else 0 for s in sets] for at in (0, -1))
+            yield pa.record_batch([*part.columns, pa.array(low), pa.array(high)], names=["text", "toxic", "low", "high"])
+
+
 def _count_terms(batches):
     """Of rows (text, toxic): documents of each class that have a term."""
     for batch in batches:
@@ -135,13 +150,14 @@ _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 def learn_terms(labelled: DataFrame) -> Terms:
     """Terms of ``labelled`` (text, toxic) whose documents are toxic more often than not, at two
     standard errors; at most MAX_TERMS, those of most toxic documents first."""
+    least = max(MIN_DOCS, MIN_SHARE * labelled.where("toxic = 1").count())
     counts = labelled.select("text", "toxic").mapInArrow(_count_terms, "kind int, term long, bad long, docs long")
     counts = counts.groupBy("kind", "term").agg(F.sum("bad").alias("bad"), F.sum("docs").alias("docs"))
     z2 = F.lit(2.0**2)
     share = F.col("bad") / F.col("docs")
     spread = F.sqrt((share * (1 - share) + z2 / (4 * F.col("docs"))) * z2 / F.col("docs"))
     low = (share + z2 / (2 * F.col("docs")) - spread) / (1 + z2 / F.col("docs"))
-    best = counts.where((F.col("bad") >= MIN_DOCS) & (low > 0.5)).orderBy(F.desc("bad"), "kind", "term")
+    best = counts.where((F.col("bad") >= least) & (low > 0.5)).orderBy(F.desc("bad"), "kind", "term")
     rows = sorted((r.term % 2**64, r.kind) for r in best.limit(MAX_TERMS).collect())
     hashes = np.array([h for h, _ in rows], np.uint64)
     voter = np.array([1 + kind * LEXICONS_PER_KIND + h % LEXICONS_PER_KIND for h, kind in rows], np.int64)
@@ -181,15 +197,18 @@ class LabelModel:
     def _bits(patterns: np.ndarray) -> np.ndarray:
         return (patterns[:, None] >> np.arange(VOTERS) & 1).astype(float)
 
-    def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        """Probability that a text with these votes is toxic."""
+    def posterior(self, patterns: np.ndarray, given: np.ndarray | None = None) -> np.ndarray:
+        """Probability that a text with these votes, and a given label of 0 or 1 (-1: none), is
+        toxic."""
         fired = self._bits(patterns)
         low, high = self.rates
         odds = fired @ (self.share * np.log(high / low))
+        if given is not None:
+            odds += np.where(given < 0, 0, 2 * given - 1) * np.log(LABEL_TRUST / (1 - LABEL_TRUST))
         return 1 / (1 + np.exp(-np.clip(odds + np.log(self.prior / (1 - self.prior)), -50, 50)))
 
 
-def fit_linear(docs: list[np.ndarray], labels: np.ndarray, size: int, rounds: int = 200) -> tuple[np.ndarray, float]:
+def fit_linear(docs: list[np.ndarray], labels: np.ndarray, size: int, rounds: int = 600) -> tuple[np.ndarray, float]:
     """Logistic regression on term presence with soft labels; weights of terms, and the constant."""
     doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     term = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
@@ -227,8 +246,12 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     order = F.xxhash64("doc_id")
     sample = stored(chosen.orderBy(order, "doc_id").limit(LABELLED_ROWS), "labelled")
-    labelled = docs.join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
-    labelled = stored(labelled, "labelled")
+    labelled = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    labelled = labelled.mapInArrow(_families, "text string, toxic long, low long, high long")
+    for key in ("low", "high"):
+        first = F.min(F.struct(F.xxhash64("text"), "toxic", "text", "low", "high")).alias("first")
+        labelled = labelled.groupBy(key).agg(first).select("first.*")
+    labelled = stored(labelled.select("text", "toxic"), "labelled")
     terms = learn_terms(labelled)
     if not len(terms.hashes):
         return Classifier(terms, np.zeros(0), -10.0)
@@ -258,14 +281,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
                 texts = _texts(part, 0)
                 doc, term = terms.present(texts)
                 lists = np.split(term, np.searchsorted(doc, np.arange(1, len(texts))))
-                yield pa.record_batch(
-                    [pa.array(terms.votes(texts)), pa.array(lists, pa.list_(pa.int64()))], names=["votes", "terms"]
-                )
+                columns = [pa.array(terms.votes(texts)), pa.array(lists, pa.list_(pa.int64())), part.column(1)]
+                yield pa.record_batch(columns, names=["votes", "terms", "given"])
 
     ids = docs.select("doc_id").distinct().orderBy(order, "doc_id").limit(FITTED_ROWS)
-    fitted = docs.join(F.broadcast(ids), "doc_id").select("text").mapInArrow(present, "votes long, terms array<bigint>")
-    rows = fitted.collect()
-    soft = model.posterior(np.array([r.votes for r in rows], np.int64))
+    ids = ids.join(chosen, "doc_id", "left").select("doc_id", F.coalesce("toxic", F.lit(-1)).cast("long").alias("given"))
+    fitted = docs.join(F.broadcast(ids), "doc_id").select("text", "given")
+    rows = fitted.mapInArrow(present, "votes long, terms array<bigint>, given long").collect()
+    soft = model.posterior(np.array([r.votes for r in rows], np.int64), np.array([r.given for r in rows]))
     weights, constant = fit_linear([np.array(r.terms) for r in rows], soft, len(terms.hashes))
     return Classifier(terms, weights, constant)
 
