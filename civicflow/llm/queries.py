@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import near_dup, packing, ppm, substring_dedup, token_files, toxicity
+from civicflow.llm import near_dup, packing, ppm, substring_dedup, token_files, toxicity, warc
 from civicflow.session import scratch_dir
 
 
@@ -81,6 +81,14 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.pages_of(warc.read_archives(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
