@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import near_dup, packing, ppm, substring_dedup, token_files, toxicity, warc
+from civicflow.llm import near_dup, packing, pieces, ppm, substring_dedup, token_files, toxicity, warc
 from civicflow.session import scratch_dir
 
 
@@ -70,6 +70,20 @@ def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", ~F.col("learned")).drop("learned")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and CRC-32 of its ids, and CRC-32 and length of the text decoded from
+    them."""
+    model = _path("piece_bpe_32k.model")
+    ids = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return pieces.decode(ids, model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"),
+        F.char_length("text").cast("long").alias("decoded_chars"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), _path("word_bpe_49k.json"), 2048, 1)
     return pieces.select(
