@@ -29,7 +29,7 @@ from civicflow.llm.tokens import slices
 from civicflow.llm.words import BASES, word_hashes
 
 ORDER = 5
-MAX_CONTEXTS = 1 << 17
+MAX_CONTEXTS = 1 << 16
 END = 256
 SYMBOLS = 257
 BITS = 9
@@ -84,57 +84,60 @@ def _count_grams(batches):
 
 
 class Model:
-    """Automaton tables from the kept contexts: rows (order, context, symbol, n)."""
+    """Automaton tables from the kept contexts: a table (order, context, symbol, n).
 
-    def __init__(self, rows: list[tuple[int, int, int, int]]):
-        seen = sorted({symbol for _, _, symbol, _ in rows} | {END})
-        self.classes = np.full(SYMBOLS, len(seen), np.int64)
+    States are ordered by length and value of their contexts; state 0 is the empty context, which
+    is there even when there was nothing to learn from.
+    """
+
+    def __init__(self, rows: pa.Table):
+        order, context, symbol, n = (rows.column(c).to_numpy() for c in ("order", "context", "symbol", "n"))
+        seen = np.union1d(symbol, [END])
+        self.classes = np.full(SYMBOLS, len(seen), np.uint16)
         self.classes[seen] = np.arange(len(seen))
-        width = len(seen) + (len(seen) < SYMBOLS)
-        # The empty context is kept even when there was nothing to learn from.
-        keys = sorted({(order, context) for order, context, _, _ in rows} | {(0, 0)})
-        state = {key: i for i, key in enumerate(keys)}
-        count = np.zeros((len(keys), width), np.float64)
-        for order, context, symbol, n in rows:
-            count[state[order, context], self.classes[symbol]] = n
+        self.width = len(seen) + (len(seen) < SYMBOLS)
+        # The length stands above the context's ORDER symbols.
+        top = BITS * ORDER
+        keys = np.union1d(order.astype(np.int64) << top | context, [0])
+        count = np.zeros((len(keys), self.width), np.float32)
+        count[np.searchsorted(keys, order.astype(np.int64) << top | context), self.classes[symbol]] = n
         known = count > 0
-        distinct, total = known.sum(axis=1), count.sum(axis=1)
-        low = np.zeros((len(keys), width))  # log probability after an escape from the state
-        low[0] = -np.log(max(1, SYMBOLS - distinct[0]))
-        self.next = np.zeros((len(keys), width), np.int32)
-        with np.errstate(divide="ignore"):
-            logs = np.log(count)
-            for s, (order, context) in enumerate(keys):
-                if not order:
-                    continue
-                parent = state[order - 1, context & ((1 << (BITS * (order - 1))) - 1)]
-                left = known[parent] & ~known[s]
-                d, t = left.sum(), count[parent][left].sum()
-                low[s] = low[parent]
-                if d:
-                    low[s] += np.log(d / (t + d))
-                    low[s][left] = logs[parent][left] - np.log(t + d)
-            whole = np.maximum(total + distinct, 1)
-            escape = np.where(distinct > 0, np.log(np.maximum(distinct, 1) / whole), 0.0)
-            self.logp = np.where(known, logs - np.log(whole)[:, None], escape[:, None] + low).astype(np.float32)
-        children: dict[int, list[tuple[int, int]]] = {}
-        for (order, context), t in state.items():
-            if order:
-                prefix = state[order - 1, context >> BITS]
-                children.setdefault(prefix, []).append((self.classes[context & ((1 << BITS) - 1)], t))
-        for s, (order, context) in enumerate(keys):
-            if order:
-                self.next[s] = self.next[state[order - 1, context & ((1 << (BITS * (order - 1))) - 1)]]
-            for symbol, t in children.get(s, ()):
-                self.next[s, symbol] = t
-        self.width = width
+        low = np.zeros_like(count)  # log probability after an escape from the state
+        low[0] = -np.log(max(1, SYMBOLS - known[0].sum()))
+        self.next = np.zeros(count.shape, np.int32)
+        levels = np.searchsorted(keys, np.arange(ORDER + 2) << top)
+        contexts = keys & ((1 << top) - 1)
+        for k in range(ORDER + 1):
+            for start in range(levels[k], levels[k + 1], 4096):
+                s = np.arange(start, min(start + 4096, levels[k + 1]))
+                if k:
+                    shorter = contexts[s] & ((1 << (BITS * (k - 1))) - 1)
+                    parent = np.searchsorted(keys, (k - 1) << top | shorter)
+                    self.next[s] = self.next[parent]
+                    left = known[parent] & ~known[s]
+                    d = left.sum(axis=1, keepdims=True)
+                    t = (count[parent] * left).sum(axis=1, keepdims=True)
+                    further = low[parent] + np.log(np.maximum(d, 1) / np.maximum(t + d, 1))
+                    found = np.log(np.maximum(count[parent], 1)) - np.log(np.maximum(t + d, 1))
+                    low[s] = np.where(left, found, further)
+            if k < ORDER:
+                longer = np.arange(levels[k + 1], levels[k + 2])
+                prefix = np.searchsorted(keys, k << top | contexts[longer] >> BITS)
+                self.next[prefix, self.classes[contexts[longer] & ((1 << BITS) - 1)]] = longer
+        self.logp = low
+        for start in range(0, len(keys), 4096):
+            s = slice(start, start + 4096)
+            d = known[s].sum(axis=1, keepdims=True)
+            whole = np.log(np.maximum(count[s].sum(axis=1, keepdims=True) + d, 1))
+            escape = np.where(d, np.log(np.maximum(d, 1)) - whole, 0)
+            self.logp[s] = np.where(known[s], np.log(np.maximum(count[s], 1)) - whole, escape + low[s])
 
     def log10(self, texts: list[bytes]) -> np.ndarray:
         """Log10 probability of each text and its end."""
         symbols, ends = stream(texts)
         x = self.classes[symbols]
         lanes = (len(x) + LANE - 1) // LANE
-        padded = np.full(ORDER + lanes * LANE, self.classes[END], np.uint16)
+        padded = np.full(ORDER + lanes * LANE, self.classes[END])
         padded[ORDER : ORDER + len(x)] = x
         columns = np.lib.stride_tricks.sliding_window_view(padded, ORDER + LANE)[::LANE].T
         columns = np.ascontiguousarray(columns)
@@ -149,13 +152,13 @@ class Model:
         return np.diff(past, prepend=0.0) / np.log(10)
 
 
-def train(texts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> list[tuple[int, int, int, int]]:
+def train(texts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> pa.Table:
     """Counts of the kept contexts: (order, context, symbol, n). At most ``max_contexts`` contexts of
     at most 257 symbols reach the driver."""
     grams = texts.select("text").mapInArrow(_count_grams, "gram long, n long")
     grams = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     orders = F.explode(F.array([F.lit(k) for k in range(ORDER + 1)])).alias("order")
-    context = "shiftright(gram, 9) & (shiftleft(1L, 9 * order) - 1)"
+    context = f"shiftright(gram, {BITS}) & (shiftleft(1L, {BITS} * order) - 1)"
     counts = grams.select("gram", "n", orders).select(
         "order", F.expr(context).alias("context"), F.expr(f"gram & {2**BITS - 1}").alias("symbol"), "n"
     )
@@ -163,7 +166,7 @@ def train(texts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> list[tuple[int,
     kept = counts.groupBy("order", "context").agg(F.sum("n").alias("total"))
     kept = kept.orderBy(F.desc("total"), "order", "context").limit(max_contexts)
     rows = counts.join(F.broadcast(kept.select("order", "context")), ["order", "context"])
-    return [(r["order"], r["context"], r["symbol"], r["n"]) for r in rows.select("order", "context", "symbol", "n").collect()]
+    return rows.select("order", "context", "symbol", "n").toArrow()
 
 
 class _Unit:
