@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import near_dup, near_vectors, packing, pieces, ppm, substring_dedup, token_files, toxicity, warc
+from civicflow.llm import near_dup, near_vectors, packing, pieces, ppm, substring_dedup, token_files, topk, toxicity, warc
 from civicflow.session import scratch_dir
 
 
@@ -56,6 +56,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
