@@ -15,7 +15,7 @@ from civicflow.llm import near_dup, near_vectors, packing, pieces, ppm, substrin
 from civicflow.session import scratch_dir
 
 
-def _path(name: str) -> str:
+def path_of(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -66,7 +66,7 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
-    token_files.write_ids(table(spark, sf_dir, "documents"), path, _path("byte_bpe_50k.json"), 2)
+    token_files.write_ids(table(spark, sf_dir, "documents"), path, path_of("byte_bpe_50k.json"), 2)
     return token_files.read_ids(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
@@ -81,7 +81,7 @@ def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number and CRC-32 of its ids, and CRC-32 and length of the text decoded from
     them."""
-    model = _path("piece_bpe_32k.model")
+    model = path_of("piece_bpe_32k.model")
     ids = pieces.encode(table(spark, sf_dir, "documents"), model)
     return pieces.decode(ids, model).select(
         "doc_id",
@@ -93,7 +93,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), _path("word_bpe_49k.json"), 2048, 1)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), path_of("word_bpe_49k.json"), 2048, 1)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
