@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.llm import near_dup, near_vectors, packing, pieces, ppm, substring_dedup, token_files, topk, toxicity, warc
+from civicflow.llm.oracle import ORACLE
 from civicflow.session import scratch_dir
 
 
@@ -116,4 +117,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
