@@ -4,7 +4,8 @@
    mostly toxic, by a lower confidence bound. Of texts that share their smallest or their largest
    shingle hash only one counts, so a family of copies is no evidence for its rare words.
 2. Voters: a fixed lexicon, the learned terms dealt to lexicons by kind, and patterns of the text.
-   A voter fires or abstains; one more speaks for a clean text when no lexicon fires.
+   A voter fires or abstains; a lexicon that fires alone counts as another voter, and one more
+   fires when no lexicon does.
 3. Label model: over all training rows, labelled or not, the frequency of every combination of
    fired voters. Starting from the labelled sample, expectation maximisation estimates how often
    each voter fires for either class; voters that agree beyond what the classes explain share
@@ -48,7 +49,9 @@ LABEL_TRUST = 0.999
 KINDS = (None, 4, 5, 6)
 LEXICONS_PER_KIND = 3
 LEXICONS = 1 + len(KINDS) * LEXICONS_PER_KIND
-NONE, SHOUTING, MARKS, VOTERS = range(LEXICONS, LEXICONS + 4)
+# A lexicon that fires alone is a voter of its own: it is right much less often.
+ALONE = LEXICONS
+NONE, SHOUTING, MARKS, VOTERS = range(2 * LEXICONS, 2 * LEXICONS + 4)
 
 # Words are runs of letters: A-Z, a-z and every byte of characters beyond ASCII.
 _BETWEEN = np.ones(256, bool)
@@ -134,7 +137,7 @@ class Terms:
         past = np.concatenate([[0], np.cumsum(fixed)])
         ends = np.cumsum(counts)
         votes |= (past[ends] > past[ends - counts]).astype(np.int64)
-        votes |= (votes == 0).astype(np.int64) << NONE
+        votes = np.where(votes & (votes - 1), votes, np.where(votes, votes << ALONE, 1 << NONE))
         for i, text in enumerate(texts):
             upper = len(text) - len(text.translate(None, _UPPER))
             if upper * 2 > len(text):
@@ -177,21 +180,23 @@ class LabelModel:
         given = labelled.sum(axis=0)
         self.prior = min(max(given[1] / max(1.0, given.sum()), 1e-3), 0.5)
         self.share = np.ones(VOTERS)
-        self.rates = np.stack([(labelled[:, k] @ fired + 0.05) / (given[k] + 1) for k in (0, 1)])
-        self.share = 1 / self._overlap(fired, weight, self.posterior(patterns))
+        self.rates = np.stack([(labelled[:, k] @ fired + 0.5) / (given[k] + 1) for k in (0, 1)])
+        # The labelled rows, whose class is given, weigh as much as all rows together.
+        trust = counts.sum() / max(1.0, given.sum())
         for _ in range(rounds):
             p = self.posterior(patterns)
-            self.rates = np.stack(
-                [((weight * q) @ fired * counts.sum() + 0.05) / ((weight * q).sum() * counts.sum() + 1) for q in (1 - p, p)]
-            )
             self.share = 1 / self._overlap(fired, weight, p)
+            found = [counts * q + trust * labelled[:, k] for k, q in enumerate((1 - p, p))]
+            self.rates = np.stack([(n @ fired + 0.5) / (n.sum() + 1) for n in found])
 
     def _overlap(self, fired: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """One plus the squared correlations of each voter with the others, given the class."""
+        """One plus the squared correlations of each lexicon with the others, given the class. The
+        voters that count lexicons stand against them and keep their weight."""
         left = fired - (p[:, None] * self.rates[1] + (1 - p)[:, None] * self.rates[0])
         cov = (left * weight[:, None]).T @ left
         scale = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-        return ((cov / np.outer(scale, scale)) ** 2).sum(axis=0).clip(1)
+        overlap = ((cov / np.outer(scale, scale)) ** 2)[:LEXICONS, :LEXICONS].sum(axis=0).clip(1)
+        return np.append(overlap, np.ones(VOTERS - LEXICONS))
 
     @staticmethod
     def _bits(patterns: np.ndarray) -> np.ndarray:
