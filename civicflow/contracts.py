@@ -144,6 +144,11 @@ STAR_TABLES = {
 FACT_UPDATED_COLUMNS = ["case_status", "closed_at", "is_closed", "resolution_hours", "loaded_at"]
 # --- end of fixed values ----------------------------------------------------------
 
+# Shares of all staged rows above which a batch fails: lines that do not fit the declared schema,
+# and rows set apart by row-level checks.
+MAX_CORRUPT_RATE = 0.05
+MAX_QUARANTINE_RATE = 0.5
+
 # The ordering and coordinate checks read these two, so the gate asks for them as well.
 REQUIRED_BY_GATE = [*REQUIRED_BY_LOADER, "closed_at", "Latitude"]
 

@@ -14,20 +14,25 @@ KEY_BUCKETS = 256
 _JOINED_BY = "\u0001"
 
 
-def add_members(
+def new_members(
     existing: DataFrame | None, incoming: DataFrame, key: str, natural: Sequence[str]
 ) -> DataFrame:
-    """Existing members unchanged, plus unseen ``incoming`` members with new keys.
+    """Unseen ``incoming`` members with new keys.
 
     ``incoming`` holds one row per natural key. Members already present win, attributes
-    included, so a dimension never changes what it said before.
+    included, so a dimension never changes what it said before and only grows.
     """
     columns = [key, *incoming.columns]
     if existing is None:
         return assign_keys(incoming, key, natural).select(*columns)
     fresh = incoming.join(existing.select(*natural), list(natural), "left_anti")
     base = F.coalesce(existing.agg(F.max(key)).scalar(), F.lit(0))
-    return existing.select(*columns).unionByName(assign_keys(fresh, key, natural, base).select(*columns))
+    return assign_keys(fresh, key, natural, base).select(*columns)
+
+
+def with_new(existing: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """The whole dimension: what was there, and the new members."""
+    return fresh if existing is None else existing.select(*fresh.columns).unionByName(fresh)
 
 
 def assign_keys(
@@ -63,18 +68,18 @@ def named_members(batch: DataFrame, columns: dict[str, str]) -> DataFrame:
     return picked.distinct()
 
 
-def agencies(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def new_agencies(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     incoming = named_members(batch, {"Agency": "agency_name"})
-    return add_members(existing, incoming, "agency_key", ["agency_name"])
+    return new_members(existing, incoming, "agency_key", ["agency_name"])
 
 
-def service_types(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def new_service_types(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Members need both parts; a case with only one of them has no service type."""
     incoming = named_members(batch, {"Type": "type_name", "Topic": "topic_name"})
-    return add_members(existing, incoming, "service_type_key", ["type_name", "topic_name"])
+    return new_members(existing, incoming, "service_type_key", ["type_name", "topic_name"])
 
 
-def neighborhoods(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def new_neighborhoods(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Members carry the districts of their earliest case (by creation, then key)."""
     found = batch.where(text.is_present(F.col("Neighborhood")))
     # Two steps: the large one groups on plain columns and keeps one number, so it stays a
@@ -90,7 +95,7 @@ def neighborhoods(batch: DataFrame, existing: DataFrame | None = None) -> DataFr
         .agg(F.min_by(districts, F.col("_arrival")).alias("_first"))
         .select("neighborhood_name", "_first.*")
     )
-    return add_members(existing, incoming, "neighborhood_key", ["neighborhood_name"])
+    return new_members(existing, incoming, "neighborhood_key", ["neighborhood_name"])
 
 
 def arrival(created_at: Column, key: Column) -> Column:
@@ -104,7 +109,7 @@ def arrival(created_at: Column, key: Column) -> Column:
     return (instant * step + number).cast("decimal(38,0)")
 
 
-def dates(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def new_dates(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One member per creation day; the key is the day itself, so nothing is numbered."""
     days = (
         batch.where(F.col("created_at").isNotNull())
@@ -114,5 +119,20 @@ def dates(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     incoming = days.select(*(c.alias(n) for n, c in time.date_attributes(F.col("full_date")).items()))
     if existing is None:
         return incoming
-    fresh = incoming.join(existing.select("date_key"), "date_key", "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+    return incoming.join(existing.select("date_key"), "date_key", "left_anti").select(*incoming.columns)
+
+
+def agencies(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return with_new(existing, new_agencies(batch, existing))
+
+
+def service_types(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return with_new(existing, new_service_types(batch, existing))
+
+
+def neighborhoods(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return with_new(existing, new_neighborhoods(batch, existing))
+
+
+def dates(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return with_new(existing, new_dates(batch, existing))

@@ -10,6 +10,12 @@ from civicflow.functions import numbers, text, time
 
 FACT = "fact_service_request"
 FACT_COLUMNS = contracts.names(contracts.STAR_TABLES[FACT])
+MONTH = "created_month"
+
+
+def created_month(created_at: Column) -> Column:
+    """Year and month of creation as one number; the part of the fact a case is stored in."""
+    return (F.year(created_at) * 100 + F.month(created_at)).cast("int")
 
 
 def stage_facts(

@@ -128,6 +128,19 @@ def coordinate_rate(
     )
 
 
+def share_limit(name: str, condition: Column, limit: float, what: str) -> Check:
+    """Hard check that at most ``limit`` of the rows meet ``condition``."""
+    rows = F.count(F.lit(1))
+    return Check(
+        name,
+        HARD,
+        F.when(rows > 0, F.count_if(condition) / F.nullif(rows, F.lit(0))),
+        lambda v: v > limit,
+        lambda v: F.concat(text.percent_text(v), F.lit(f" of rows {what}, limit "), text.percent_text(F.lit(limit))),
+        limit,
+    )
+
+
 def corrupt_rate(column: str = contracts.CORRUPT_COLUMN, limit: float = 0.0) -> Check:
     """Warns when more than ``limit`` of the raw lines did not fit the declared schema."""
     rows = F.count(F.lit(1))

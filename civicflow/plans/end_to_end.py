@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import load_star
 from civicflow.plans.transform import read_clean, transform
+from civicflow.sources import landing, snapshots
 
 
 class ShortReadError(RuntimeError):
@@ -22,15 +24,17 @@ def run(
     *,
     run_id: str,
     run_at: datetime,
-    quarantine: bool = False,
     incremental: bool = False,
+    transform_options: dict | None = None,
+    load_options: dict | None = None,
     **ingest_options,
 ) -> dict:
     """One full run below ``root`` (``raw/``, ``processed/``, ``warehouse/``).
 
-    By default the transform covers everything that ever landed. ``incremental`` limits it
-    to this run's directory, so the work follows the new data; the warehouse merge brings
-    known cases up to date either way.
+    By default the transform covers everything that ever landed. ``incremental`` limits it to
+    the complete runs that no committed load holds yet: this one, and earlier ones whose
+    transform or load failed. The mark has passed those, so nothing else would read them again.
+    Runs that came up short are never among them. A run without new rows changes nothing.
     """
     manifest = ingest(spark, source, f"{root}/raw", run_id=run_id, run_at=run_at, **ingest_options)
     if manifest["status"] != "ok":
@@ -38,16 +42,35 @@ def run(
             f"run {run_id}: expected {manifest['expected_record_count']} rows, "
             f"landed {manifest['actual_record_count']}"
         )
+    waiting = unloaded_runs(spark, root)
+    nothing = {"manifest": manifest, "summary": None, "version": None}
+    if incremental and not waiting:
+        return nothing
     summary = transform(
         spark,
         f"{root}/raw",
         f"{root}/processed",
         batch_id=run_id,
-        quarantine=quarantine,
-        directories=manifest["files"] if incremental else None,
+        directories=sorted(waiting.values()) if incremental else None,
+        **(transform_options or {}),
     )
     if summary is None:
-        return {"manifest": manifest, "summary": None, "version": None}
+        return nothing
     clean = read_clean(spark, f"{root}/processed")
-    version = load_star(spark, clean, f"{root}/warehouse", batch_id=run_id, loaded_at=run_at)
+    version = load_star(
+        spark, clean, f"{root}/warehouse", batch_id=run_id, loaded_at=run_at, runs=sorted(waiting), **(load_options or {})
+    )
     return {"manifest": manifest, "summary": summary, "version": version}
+
+
+def unloaded_runs(spark: SparkSession, root: str) -> dict[str, str]:
+    """Complete runs with rows that no committed load names, with their directories.
+
+    Normally that is the run just landed; after failures one more for each.
+    """
+    loaded = snapshots.commits(spark, f"{root}/warehouse").select(F.explode("runs").alias("run_id"))
+    complete = landing.read_manifests(spark, f"{root}/raw").where(
+        "status = 'ok' and not dry_run and actual_record_count > 0"
+    )
+    waiting = complete.join(loaded, "run_id", "left_anti").select("run_id", F.explode("files").alias("path"))
+    return {row["run_id"]: row["path"] for row in waiting.collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 
 from civicflow import contracts
 from civicflow.operators import dimensions, facts
-from civicflow.session import configure, partitions_for, sized_shuffles
-from civicflow.sources import snapshots
+from civicflow.session import configure, sized_shuffles
+from civicflow.sources import snapshots, tables
 
 # Rows in a shuffle against the Parquet files they come from.
 EXPANSION = 4.0
 
 DIMENSIONS = {
-    "dim_agency": dimensions.agencies,
-    "dim_service_type": dimensions.service_types,
-    "dim_neighborhood": dimensions.neighborhoods,
-    "dim_date": dimensions.dates,
+    "dim_agency": dimensions.new_agencies,
+    "dim_service_type": dimensions.new_service_types,
+    "dim_neighborhood": dimensions.new_neighborhoods,
+    "dim_date": dimensions.new_dates,
 }
+STAGED = "_staged"
+
+
+class BatchKeyError(ValueError):
+    """A batch that the fact's key or its creation time forbids."""
 
 
 def load_star(
@@ -31,82 +36,135 @@ def load_star(
     *,
     batch_id: str,
     loaded_at: datetime | None = None,
-    buckets: int | None = None,
     keep_versions: int | None = None,
+    runs: Sequence[str] = (),
 ) -> int:
     """Merge ``batch`` (clean cases, keys unique) and return the version that holds it.
 
     ``batch`` should be a stored table: the dimensions and the fact each read the columns
-    they need. A ``batch_id`` that was already committed is not loaded again.
-
-    The fact is bucketed and sorted by ``object_id``, so a merge shuffles the batch into
-    the stored buckets and reads the much larger stored side in place. ``buckets`` is
-    fixed by the first load; the default suits the first batch, so give a number when later
-    loads will make the fact much larger. Every load writes the whole star; with
-    ``keep_versions`` older ones are deleted after the commit.
+    they need. A ``batch_id`` that was already committed is not loaded again. ``runs`` are
+    the landed runs the batch comes from; the commit names them.
+
+    A load writes what it changes: new members of each dimension, and those months of the
+    fact that hold a case of the batch. Months are found by a scan of the stored keys; the
+    others are neither read whole nor written. Repeated or missing keys and missing creation
+    times are refused before anything is committed. With ``keep_versions`` parts that no kept
+    version shows are deleted after the commit.
     """
     configure(spark)
-    last, done = snapshots.progress(spark, root, batch_id)
+    previous, done = snapshots.progress(spark, root, batch_id)
     if done is not None:
         return done
-    previous = last["version"] if last else 0
     version = previous + 1
-    buckets = last["buckets"] if last else buckets or partitions_for(batch, EXPANSION)
-
     with sized_shuffles(batch, EXPANSION):
-        _write_version(spark, batch, root, previous, buckets, loaded_at)
-    snapshots.commit(spark, root, version, batch_id, buckets)
+        months = _write_version(spark, batch, root, previous, loaded_at)
+    snapshots.commit(spark, root, version, batch_id, runs, months)
+    tables.delete_path(spark, snapshots.version_path(root, version, STAGED))
     if keep_versions is not None:
-        snapshots.expire(spark, root, keep_versions)
+        expire(spark, root, keep_versions)
     return version
 
 
 def _write_version(
-    spark: SparkSession,
-    batch: DataFrame,
-    root: str,
-    previous: int,
-    buckets: int,
-    loaded_at: datetime | None,
-) -> None:
-    """Write the star that follows version ``previous`` (0: none) under the next number."""
+    spark: SparkSession, batch: DataFrame, root: str, previous: int, loaded_at: datetime | None
+) -> list[int]:
+    """Write what follows version ``previous`` (0: none) under the next number; the months of it."""
     version = previous + 1
-    stored = {}
     for table, build in DIMENSIONS.items():
         existing = read_table(spark, root, table, previous) if previous else None
         path = snapshots.version_path(root, version, table)
         build(batch, existing).write.mode("overwrite").parquet(path)
-        stored[table] = spark.read.parquet(path)
-
+    whole = {table: _dimension(spark, root, table, version) for table in DIMENSIONS}
     stamp = F.lit(loaded_at or datetime.now(timezone.utc))
-    staged = facts.stage_facts(
-        batch, stored["dim_agency"], stored["dim_service_type"], stored["dim_neighborhood"], stamp
+    offered = facts.stage_facts(
+        batch, whole["dim_agency"], whole["dim_service_type"], whole["dim_neighborhood"], stamp
     )
+
+    # A known case stays in its month, whatever the batch says about its creation.
+    parts = snapshots.live_parts(spark, root, previous) if previous else {}
+    month = facts.created_month(F.col("created_at"))
+    if parts:
+        known = _fact(spark, root, parts).select("object_id", month.alias("_held_month"))
+        offered = offered.join(known, "object_id", "left")
+        month = F.coalesce("_held_month", month)
+    path = snapshots.version_path(root, version, STAGED)
+    offered.withColumn(facts.MONTH, month).select(*facts.FACT_COLUMNS, facts.MONTH).write.mode("overwrite").parquet(path)
+    columns = [*contracts.STAR_TABLES[facts.FACT], (facts.MONTH, "int")]
+    staged = spark.read.schema(contracts.ddl(columns)).parquet(path)
+    months = _checked_months(staged)
+
+    current = _fact(spark, root, {m: v for m, v in parts.items() if m in months}) if parts else None
+    merged = facts.merge_facts(current, staged).withColumn(facts.MONTH, facts.created_month(F.col("created_at")))
     path = snapshots.version_path(root, version, facts.FACT)
-    if previous:
-        current = bucketed_fact(spark, root, previous, buckets)
-        merged = facts.merge_facts(current, staged)
-    else:
-        merged = facts.merge_facts(None, staged).repartition(buckets, "object_id")
-    (
-        merged.write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(buckets, "object_id")
-        .sortBy("object_id")
-        .option("path", path)
-        .saveAsTable(_table_name(path))
-    )
+    merged.hint("rebalance", F.col(facts.MONTH)).write.mode("overwrite").partitionBy(facts.MONTH).parquet(path)
+    return months
+
+
+def _checked_months(staged: DataFrame) -> list[int]:
+    """Months of a staged batch whose keys are unique and whose columns are there."""
+    totals = staged.agg(
+        F.count(F.lit(1)), F.count_distinct("object_id"), F.count_if(F.col("object_id").isNull()),
+        F.count_if(F.col("created_at").isNull()), F.collect_set(facts.MONTH),
+    ).first()
+    rows, keys, no_key, no_time, months = totals
+    problems = [
+        text
+        for number, text in (
+            (rows - no_key - keys, "repeat a key"),
+            (no_key, "have no key"),
+            (no_time, "have no creation time"),
+        )
+        if number
+        for text in [f"{number} rows {text}"]
+    ]
+    if problems:
+        raise BatchKeyError("; ".join(problems))
+    return sorted(months)
+
+
+def _dimension(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
+    """All members up to a version, committed or just being written."""
+    columns = contracts.STAR_TABLES[table]
+    stored = spark.read.schema(contracts.ddl([*columns, ("v", "int")])).option("basePath", root)
+    return stored.parquet(f"{root}/v=*/{table}").where(F.col("v") <= version).select(*contracts.names(columns))
+
+
+def _fact(spark: SparkSession, root: str, parts: dict[int, int]) -> DataFrame:
+    """The given months of the fact, each from the version that holds it."""
+    columns = contracts.ddl(contracts.STAR_TABLES[facts.FACT])
+    if not parts:
+        return spark.createDataFrame([], columns)
+    paths = [f"{snapshots.version_path(root, v, facts.FACT)}/{facts.MONTH}={m}" for m, v in sorted(parts.items())]
+    return spark.read.schema(columns).parquet(*paths)
 
 
 def read_table(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
     """A star table of the given (default: newest) version."""
     if version is None:
         version = snapshots.current_version(spark, root)
-    columns = contracts.STAR_TABLES[table]
     if version == 0:
-        return spark.createDataFrame([], contracts.ddl(columns))
-    path = snapshots.version_path(root, version, table)
-    return spark.read.schema(contracts.ddl(columns)).parquet(path)
+        return spark.createDataFrame([], contracts.ddl(contracts.STAR_TABLES[table]))
+    if table == facts.FACT:
+        return _fact(spark, root, snapshots.live_parts(spark, root, version))
+    return _dimension(spark, root, table, version)
+
+
+def expire(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete the parts of the fact that none of the newest ``keep`` versions shows."""
+    if keep < 1:
+        raise ValueError("at least the current version has to stay")
+    log = snapshots.commits(spark, root)
+    oldest = log.select("version").distinct().orderBy(F.desc("version")).limit(keep).agg(F.min("version")).first()[0]
+    if oldest is None:
+        return []
+    live = snapshots.live_parts(spark, root, oldest)
+    past = log.where(F.col("version") <= oldest).select("version", F.explode("parts").alias("part")).collect()
+    gone = [
+        f"{snapshots.version_path(root, row['version'], facts.FACT)}/{facts.MONTH}={row['part']}"
+        for row in past
+        if row["version"] < live[row["part"]]
+    ]
+    return [path for path in gone if tables.delete_path(spark, path)]
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -144,19 +202,3 @@ _ATTEMPTS = {
     "dim_date": "dim_date_upserted",
     "fact_service_request": "facts_upserted",
 }
-
-
-def bucketed_fact(spark: SparkSession, root: str, version: int, buckets: int) -> DataFrame:
-    """The stored fact with its bucketing declared, whichever session wrote it."""
-    path = snapshots.version_path(root, version, facts.FACT)
-    name = _table_name(path)
-    columns = contracts.ddl(contracts.STAR_TABLES[facts.FACT])
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"CLUSTERED BY (object_id) SORTED BY (object_id) INTO {buckets} BUCKETS LOCATION '{path}'"
-    )
-    return spark.table(name)
-
-
-def _table_name(path: str) -> str:
-    return "fact_" + hashlib.md5(path.encode()).hexdigest()[:16]

@@ -21,16 +21,46 @@ ACCEPTED = "accepted"
 QUARANTINED = "quarantined"
 
 
-def stage_clean(raw: DataFrame, path: str, row_id: str | None = None) -> None:
+def stage_clean(raw: DataFrame, path: str, row_id: str | None = None) -> DataFrame:
     """Clean ``raw`` and write it in one pass, rows with row-level problems set apart.
 
-    Both kinds go to directories of the same write, so the deduplication runs once.
+    Both kinds go to directories of the same write, so the deduplication runs once. Returns
+    what was written, read under its own schema, so an empty batch is an empty table.
     """
     marked = clean_requests(raw, row_id=row_id).withColumn("problems", quality.row_problems())
     disposition = F.when(F.size("problems") > 0, QUARANTINED).otherwise(ACCEPTED)
     staged = marked.withColumn("disposition", disposition)
     with sized_shuffles(raw, EXPANSION):
         staged.write.mode("overwrite").partitionBy("disposition").parquet(path)
+    return raw.sparkSession.read.schema(staged.schema).parquet(path)
+
+
+def rate_checks(max_corrupt: float, max_quarantined: float) -> list[quality.Check]:
+    """Checks over all staged rows, those set apart included: a delivery that is mostly broken must
+    not pass because its broken rows are left out."""
+    corrupt = F.col(contracts.CORRUPT_COLUMN).isNotNull()
+    apart = F.col("disposition") == QUARANTINED
+    return [
+        quality.share_limit("corrupt_share", corrupt, max_corrupt, "do not fit the declared schema"),
+        quality.share_limit("quarantine_share", apart, max_quarantined, "break a row-level check"),
+    ]
+
+
+def judge(
+    staged: DataFrame,
+    checks: Sequence[quality.Check],
+    quarantine: bool,
+    max_corrupt: float,
+    max_quarantined: float,
+) -> quality.GateResult:
+    """The gate's verdict on a staged batch: ``checks`` over the rows to be published, and with
+    ``quarantine`` the rates over all."""
+    if not quarantine:
+        return quality.gate_result(quality.quality_report(staged, checks))
+    accepted = quality.quality_report(staged.where(F.col("disposition") == ACCEPTED), checks)
+    rates = quality.quality_report(staged, rate_checks(max_corrupt, max_quarantined))
+    return quality.gate_result(accepted.unionAll(rates.where("check_name <> 'row_count'")))
+
 
 
 def summary_measures(raw_rows: Column) -> list[quality.Check]:
@@ -54,18 +84,23 @@ def transform(
     preview_path: str | None = None,
     preview_rows: int = contracts.PREVIEW_ROWS,
     keep_versions: int | None = None,
+    max_corrupt: float = contracts.MAX_CORRUPT_RATE,
+    max_quarantined: float = contracts.MAX_QUARANTINE_RATE,
 ) -> dict | None:
-    """One transform run; returns its summary, or ``None`` when nothing has landed.
+    """One transform run; returns its summary, or ``None`` when there were no rows.
 
     ``directories`` (as a manifest lists them) restricts the run to newly landed data; the
-    default reads the whole zone. With ``keep_versions`` older published versions are
-    deleted after the commit.
+    default reads the whole zone. The published table holds what the run read: everything by
+    default, and with ``directories`` the cases of these runs only, which is what an incremental
+    load merges. With ``keep_versions`` older published versions are deleted after the commit.
 
     Three Spark actions: the write, one aggregate for gate and summary over the written
     columns, and the preview. A hard failure raises :class:`quality.QualityGateError`
     before the version is committed, so readers keep the previous one. With
     ``quarantine`` the rows that break a row-level check are left out of the published
-    table and of the gate instead of failing the batch.
+    table instead of failing the batch, as long as their share of all rows is at most
+    ``max_quarantined`` and that of damaged lines at most ``max_corrupt``. A run without rows
+    publishes nothing.
     """
     configure(spark)
     paths = None if directories is None else [f"{raw_root}/{d}" for d in directories]
@@ -73,10 +108,8 @@ def transform(
         return None
     version = snapshots.current_version(spark, out_root) + 1
     path = snapshots.version_path(out_root, version, REQUESTS)
-    stage_clean(landing.read_landed(spark, raw_root, row_id=True, paths=paths), path, landing.ROW_ID)
+    staged = stage_clean(landing.read_landed(spark, raw_root, row_id=True, paths=paths), path, landing.ROW_ID)
 
-    staged = spark.read.parquet(path)
-    judged = staged.where(F.col("disposition") == ACCEPTED) if quarantine else staged
     raw_rows = landing.count_lines(spark, raw_root, paths).scalar()
     all_checks = [
         *(checks if checks is not None else [*quality.default_checks(), quality.corrupt_rate()]),
@@ -84,7 +117,10 @@ def transform(
         quality.info("staged_rows", staged.agg(F.count(F.lit(1))).scalar()),
     ]
     with sized_shuffles(staged):
-        result = quality.gate_result(quality.quality_report(judged, all_checks))
+        result = judge(staged, all_checks, quarantine, max_corrupt, max_quarantined)
+    if not result.measures.get("staged_rows", 1):
+        tables.delete_path(spark, path)
+        return None
     quality.require_pass(result)
     snapshots.commit(spark, out_root, version, batch_id)
     if keep_versions is not None:

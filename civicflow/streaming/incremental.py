@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from civicflow import contracts
 from civicflow.operators import quality
 from civicflow.plans.load import load_star
-from civicflow.plans.transform import accepted_rows, stage_clean
+from civicflow.plans.transform import ACCEPTED, judge, stage_clean
 from civicflow.session import configure
-from civicflow.sources import landing, snapshots
+from civicflow.sources import landing, snapshots, tables
 
 
 def landed_stream(
@@ -34,26 +35,40 @@ def landed_stream(
     return reader.json(root)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a stream, as its checkpoint keeps it."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def process_batch(
-    batch: DataFrame, batch_id: int, work_root: str, warehouse_root: str, quarantine: bool = False
+    batch: DataFrame,
+    name: str,
+    work_root: str,
+    warehouse_root: str,
+    quarantine: bool = False,
+    keep_versions: int | None = None,
+    max_corrupt: float = contracts.MAX_CORRUPT_RATE,
+    max_quarantined: float = contracts.MAX_QUARANTINE_RATE,
 ) -> None:
-    """Clean, check and merge one micro-batch; running it again changes nothing.
+    """Clean, check and merge one micro-batch; running it again under its name changes nothing.
 
-    The clean rows are written under the batch's own path, where a repeat replaces them,
-    and the load skips a batch it has committed. A hard failure raises, which stops the
-    stream with the batch unread.
+    The clean rows are written under the batch's own path, where a repeat replaces them and
+    which goes after the load; the load skips a batch it has committed. A hard failure raises,
+    which stops the stream with the batch unread. A batch without rows is not loaded.
     """
     spark = batch.sparkSession
-    name = f"batch-{batch_id}"
     if snapshots.committed(spark, warehouse_root, name):
         return
     path = f"{work_root}/{name}"
     numbered = batch.withColumn(landing.ROW_ID, landing.scan_position())
-    stage_clean(numbered, path, landing.ROW_ID)
-    clean = accepted_rows(spark, path)
-    judged = clean if quarantine else spark.read.parquet(path)
-    quality.run_gate(judged)
-    load_star(spark, clean, warehouse_root, batch_id=name)
+    staged = stage_clean(numbered, path, landing.ROW_ID)
+    checks = [*quality.default_checks(), quality.corrupt_rate()]
+    result = judge(staged, checks, quarantine, max_corrupt, max_quarantined)
+    quality.require_pass(result)
+    if result.row_count:
+        accepted = staged.where(F.col("disposition") == ACCEPTED).select(*tables.PROCESSED_COLUMNS)
+        load_star(spark, accepted, warehouse_root, batch_id=name, keep_versions=keep_versions)
+    tables.delete_path(spark, path)
 
 
 def start(
@@ -62,24 +77,28 @@ def start(
     warehouse_root: str,
     work_root: str,
     *,
-    quarantine: bool = False,
     max_files: int | None = None,
     max_bytes: int | None = None,
+    **batch_options,
 ) -> StreamingQuery:
     """Process everything landed since the last start, then stop (``availableNow``).
 
-    ``work_root`` holds the checkpoint and the staged batches. Batch numbers come from
-    that checkpoint, so one warehouse belongs to one checkpoint.
+    ``work_root`` holds the checkpoint and the staged batches. A batch is named by the stream's
+    identity and its number, so a stream with another checkpoint is another stream: it reads
+    everything landed and merges it again, which neither skips nor repeats a case.
+    ``batch_options`` go to :func:`process_batch`.
     """
     configure(spark)
+    checkpoint = f"{work_root}/checkpoint"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, f"{work_root}/staged", warehouse_root, quarantine)
+        name = f"{stream_id(spark, checkpoint)}-{batch_id}"
+        process_batch(batch, name, f"{work_root}/staged", warehouse_root, **batch_options)
 
     return (
         landed_stream(spark, raw_root, max_files, max_bytes)
         .writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{work_root}/checkpoint")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

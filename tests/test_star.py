@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from conftest import executed_plan
@@ -180,18 +181,70 @@ def test_an_empty_warehouse_has_typed_empty_tables(spark, tmp_path):
     }
 
 
-def test_the_merge_shuffles_only_the_batch(warehouse, spark):
-    """The stored side is read bucket by bucket; a fresh session would declare it the same way."""
-    warehouse("a", MONDAY, *[{"OBJECTID": i} for i in range(40)])
-    current = load.bucketed_fact(spark, warehouse.root, 1, 4)
-    staged = load.read_table(spark, warehouse.root, "fact_service_request", 1)
+def files_of(root, month):
+    return sorted((p.name, p.stat().st_mtime_ns) for p in Path(root).glob(f"v=*/fact_service_request/created_month={month}/*.parquet"))
+
+
+def test_a_load_writes_only_the_months_it_touches(warehouse, spark):
+    far = START + 100 * DAY
+    warehouse("a", MONDAY, {"OBJECTID": 1}, {"OBJECTID": 2, "Case_Created_Date": far})
+    months = sorted(snapshots.live_parts(spark, warehouse.root, 1))
+    assert len(months) == 2
+    before = files_of(warehouse.root, months[0])
+    _, after = warehouse("b", TUESDAY, {"OBJECTID": 2, "Case_Created_Date": START, "Case_Status": "Closed"}, {"OBJECTID": 3, "Case_Created_Date": far})
+    assert files_of(warehouse.root, months[0]) == before
+    assert snapshots.live_parts(spark, warehouse.root, 2) == {months[0]: 1, months[1]: 2}
+    assert {k: r["case_status"] for k, r in after.items()} == {1: "Open", 2: "Closed", 3: "Open"}
+    assert not list(Path(warehouse.root).glob("v=*/_staged"))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("fact_")]
+    assert {r["object_id"] for r in load.read_table(spark, warehouse.root, "fact_service_request", 1).collect()} == {1, 2}
+
+
+def test_a_small_first_batch_does_not_fix_the_tasks_of_later_ones(warehouse, spark):
+    warehouse("a", MONDAY, {"OBJECTID": 1})
+    current = load.read_table(spark, warehouse.root, "fact_service_request")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
     try:
-        plan = executed_plan(facts.merge_facts(current, staged))
+        plan = executed_plan(facts.merge_facts(current, current))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning(object_id") == 1
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    assert "hashpartitioning(object_id" in plan and ", 64)" in plan
+
+
+@pytest.mark.parametrize(
+    "row, copies, message",
+    [
+        ({"OBJECTID": 5}, 2, "1 rows repeat a key"),
+        ({"OBJECTID": None}, 1, "1 rows have no key"),
+        ({"OBJECTID": 7, "Case_Created_Date": None}, 1, "1 rows have no creation time"),
+    ],
+)
+def test_a_batch_that_breaks_the_key_is_refused(warehouse, spark, batch, tmp_path, row, copies, message):
+    _, before = warehouse("a", MONDAY, {"OBJECTID": 1})
+    path = str(tmp_path / "broken")
+    for _ in range(copies):
+        batch(row).write.mode("append").parquet(path)
+    with pytest.raises(load.BatchKeyError, match=message):
+        load.load_star(spark, spark.read.parquet(path), warehouse.root, batch_id="b")
+    fact = load.read_table(spark, warehouse.root, "fact_service_request")
+    assert {r["object_id"]: r for r in fact.collect()} == before
+
+
+def test_a_stale_version_is_refused(warehouse, spark):
+    warehouse("a", MONDAY, {"OBJECTID": 1})
+    with pytest.raises(snapshots.StaleVersionError):
+        snapshots.commit(spark, warehouse.root, 1, "late")
+
+
+def test_old_parts_are_deleted_on_request(warehouse, spark):
+    for number in range(5):
+        warehouse(f"b{number}", MONDAY, {"OBJECTID": 1, "Case_Status": str(number)}, {"OBJECTID": 10 + number})
+    load.expire(spark, warehouse.root, 2)
+    assert len(list(Path(warehouse.root).glob("v=*/fact_service_request/created_month=*"))) == 2
+    assert load.read_table(spark, warehouse.root, "fact_service_request").count() == 6
+    assert load.read_table(spark, warehouse.root, "fact_service_request", 4).count() == 5
 
 
 def test_all_rows_of_every_table_reach_the_warehouse(warehouse, spark):
@@ -295,11 +348,9 @@ def test_loads_equal_inserting_row_by_row(warehouse, spark, seed):
 
 
 def test_a_fresh_session_continues_a_warehouse(warehouse, spark):
-    """The bucketed fact is declared again when the catalog does not know it."""
+    """Nothing of a warehouse is in the catalog."""
     warehouse("a", MONDAY, {"OBJECTID": 1}, {"OBJECTID": 2})
-    for table in spark.catalog.listTables():
-        if table.name.startswith("fact_"):
-            spark.sql(f"DROP TABLE {table.name}")
+    assert not spark.catalog.listTables()
     _, after = warehouse("b", TUESDAY, {"OBJECTID": 2, "Case_Status": "Closed"}, {"OBJECTID": 3})
     assert {k: r["case_status"] for k, r in after.items()} == {1: "Open", 2: "Closed", 3: "Open"}
 

@@ -141,7 +141,7 @@ def test_a_replayed_batch_changes_nothing(spark, land, tmp_path):
     root = land(1, *numbered(4), {"OBJECTID": 1, "Case_Status": "twice"})
     batch = landing.read_landed(spark, root)
     for _ in range(2):
-        incremental.process_batch(batch, 0, f"{tmp_path}/work", f"{tmp_path}/star")
+        incremental.process_batch(batch, "b-0", f"{tmp_path}/work", f"{tmp_path}/star")
     assert snapshots.current_version(spark, f"{tmp_path}/star") == 1
     assert read_star(spark, f"{tmp_path}/star")["fact_service_request"].count() == 4
 

@@ -88,8 +88,8 @@ def run_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                 run_id=f"run-{number}",
                 run_at=day,
                 full_refresh=True,
-                quarantine=True,
                 incremental=True,
+                transform_options={"quarantine": True},
             )
         return f"{path}/warehouse"
 
