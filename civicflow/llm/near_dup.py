@@ -7,10 +7,11 @@ were compared. A pair of similarity 0.75 shares no band with a probability of ab
 
 Documents with the same set are one node. Inside a band every node is first compared with the
 band's smallest node only. Where that leaves a band with several components, each of its nodes is
-compared with the one of another component that its signature says is nearest, and last with all
-nodes of other components whose signatures do not exclude a link. Only pairs that could still join
-two components are ever compared, and none of them is left out, so components are the same as
-those of all pairs.
+compared with the one of another component that its signature says is nearest, and last, within
+the task that has the band's texts, with all nodes of other components whose signatures do not
+exclude a link; of the links found there, one per node and component is returned. Only pairs that
+could still join two components are ever compared, each in the first band it shares, and none of
+them is left out, so components are the same as those of all pairs.
 """
 
 from __future__ import annotations
@@ -127,37 +128,70 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.groupBy("anchor", "part").applyInArrow(_verify, "a long, b long")
 
 
-def _pairs_of(nearest: bool):
-    def search(table: pa.Table) -> pa.Table:
-        """Pairs of nodes of one band, or of two blocks of it, that could join two components."""
-        first, second = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        ids, comps = (table.column(c).to_numpy() for c in ("doc_id", "comp"))
-        block = table.column("block").to_numpy()
-        signed = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
-        kinds, sizes = np.unique(comps, return_counts=True)
-        largest = kinds[np.argmax(sizes)]
-        need = EXCLUDED_BELOW * signed.shape[1]
-        found_a, found_b = [], []
-        # Nodes of the largest component meet all others from the others' side.
-        for k in np.flatnonzero(comps != largest):
-            other = comps != comps[k]
-            if first != second:
-                other &= block != block[k]
-            other &= (comps == largest) | (ids < ids[k]) if not nearest else True
+class _Band:
+    """Nodes of one band, or of two blocks of it, and who could still join whom."""
+
+    def __init__(self, table: pa.Table):
+        self.ids, self.comps, self.block = (table.column(c).to_numpy() for c in ("doc_id", "comp", "block"))
+        self.apart = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        rows = table.column("signature").to_pylist()
+        self.signed = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+        kinds, sizes = np.unique(self.comps, return_counts=True)
+        self.largest = kinds[np.argmax(sizes)]
+
+    def near(self, every: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each node outside the largest component, which meets them from the other side:
+        nodes of other components that its signature allows, and how much they agree. With
+        ``every``, a pair outside the largest component comes from its larger id only."""
+        need = EXCLUDED_BELOW * self.signed.shape[1]
+        for k in np.flatnonzero(self.comps != self.largest):
+            other = self.comps != self.comps[k]
+            if self.apart:
+                other &= self.block != self.block[k]
+            if every:
+                other &= (self.comps == self.largest) | (self.ids < self.ids[k])
             near = np.flatnonzero(other)
-            same = (signed[near] == signed[k]).sum(axis=1)
-            near, same = near[same >= need], same[same >= need]
-            if nearest and len(near):
-                near = near[[np.argmax(same)]]
-            found_a += ids[near].tolist()
-            found_b += [int(ids[k])] * len(near)
-        return pa.table({"doc_id": pa.array(found_a, pa.int64()), "anchor": pa.array(found_b, pa.int64())})
+            same = (self.signed[near] == self.signed[k]).sum(axis=1)
+            yield k, near[same >= need], same[same >= need]
+
+
+def _nearest(table: pa.Table) -> pa.Table:
+    """Pairs of each node with its nearest one in another component."""
+    band, found = _Band(table), []
+    for k, near, same in band.near(every=False):
+        if len(near):
+            found.append((int(band.ids[k]), int(band.ids[near[np.argmax(same)]])))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"doc_id": pa.array(a, pa.int64()), "anchor": pa.array(b, pa.int64())})
+
 
-    return search
+def _links(table: pa.Table) -> pa.Table:
+    """Links of each node to other components, found on the full sets."""
+    band, found = _Band(table), []
+    number = table.column("band")[0].as_py()
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(band.ids), -1)
+    texts = table.column("text")
+    sets = [s for at in range(0, len(texts), 64) for s in shingle_sets(texts.slice(at, 64).to_pylist())]
+    sizes = np.array([len(s) for s in sets])
+    for k, near, _ in band.near(every=True):
+        shared = bands[near] == bands[k]
+        near = near[bands[k][shared.argmax(axis=1)] == number]
+        own = sets[k]
+        for at in range(0, len(near), 256):
+            part = near[at : at + 256]
+            flat = np.concatenate([sets[i] for i in part])
+            hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            common = np.add.reduceat(hit, np.cumsum(sizes[part]) - sizes[part], dtype=np.int64)
+            part = part[100 * common >= PERCENT * (len(own) + sizes[part] - common)]
+            _, first = np.unique(band.comps[part], return_index=True)
+            found += [(int(band.ids[k]), int(band.ids[i])) for i in part[first]]
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _open_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs to compare in bands that still hold several components."""
+def _open_bands(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of bands that still hold several components, in groups (band, i, j): block i of a
+    band meets block j in one of them, and a band of one block is one group."""
     labelled = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "band", "doc_id", F.coalesce("root", "doc_id").alias("comp")
     )
@@ -165,14 +199,17 @@ def _open_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, nearest:
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")
     )
     bands = bands.where("low <> high").select("band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
-    rows = labelled.join(bands, "band").join(nodes.select("doc_id", "signature"), "doc_id")
+    rows = labelled.join(bands, "band").join(nodes, "doc_id")
     rows = rows.withColumn("block", F.expr("pmod(xxhash64(doc_id), blocks)").cast("int"))
-    # Block i meets block j once; a band of one block is a group of its own.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "doc_id", "comp", "signature", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    pairs = rows.groupBy("band", "i", "j").applyInArrow(_pairs_of(nearest), "doc_id long, anchor long")
-    return pairs.select(F.least("doc_id", "anchor").alias("doc_id"), F.greatest("doc_id", "anchor").alias("anchor")).distinct()
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    links = stored(links, "links")
+    if links.isEmpty():
+        return roots
+    return components(links.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -203,12 +240,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same_id = named.select("doc_id", "set_key").join(classes.withColumnRenamed("doc_id", "b"), "set_key")
     links = stored(verified(pairs, texts).unionAll(same_id.select(F.col("doc_id").alias("a"), "b").where("a <> b")), "links")
     roots = components(links)
-    for nearest in (True, False):
-        pairs = stored(_open_pairs(members.drop("anchor"), nodes, roots, nearest), "pairs")
-        if pairs.isEmpty():
-            continue
-        links = verified(pairs, texts)
-        roots = components(links.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    members = members.drop("anchor")
+    groups = ["band", "i", "j"]
+    pairs = _open_bands(members, nodes.drop("bands"), roots).groupBy(groups).applyInArrow(
+        _nearest, "doc_id long, anchor long"
+    )
+    pairs = pairs.select(F.least("doc_id", "anchor").alias("doc_id"), F.greatest("doc_id", "anchor").alias("anchor"))
+    roots = _joined(roots, verified(stored(pairs.distinct(), "pairs"), texts))
+    last = _open_bands(members, nodes.join(texts, "doc_id"), roots).groupBy(groups).applyInArrow(_links, "a long, b long")
+    roots = _joined(roots, last)
     roots = roots.select(F.col("node").alias("doc_id"), "root")
     root = F.coalesce("root", "doc_id")
     return sketch.select("doc_id", "n_shingles").join(roots, "doc_id", "left").select(
