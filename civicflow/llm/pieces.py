@@ -32,6 +32,10 @@ from pyspark.sql import functions as F
 from civicflow.llm.tokens import _Cache, slices
 
 CHUNK = 1 << 15
+# Bounds of what a worker remembers.
+CACHED_WORDS = 200_000
+CACHED_PAIRS = 200_000
+BATCH_BYTES = 1 << 20
 BLANK = "▁"
 # A place in a text and the length of the piece that ends there; length 0 stands for a start.
 State = tuple[int, int]
@@ -53,7 +57,7 @@ class Pieces:
         self._inside = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
         self.longest = max(map(len, self.ids))
         self._fits: dict[tuple[str, str], bool] = {}
-        self._cache = _Cache(self._word)
+        self._cache = _Cache(self._word, CACHED_WORDS)
         shown = {i: piece.replace(BLANK, " ").encode() for piece, i in self.ids.items()}
         shown |= {i: bytes([b]) for b, i in self._bytes.items()}
         self._shown = [shown.get(i, b"") for i in ids]
@@ -102,7 +106,7 @@ class Pieces:
             return self.fits("", right)
         key = left, right
         if key not in self._fits:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > CACHED_PAIRS:
                 self._fits.clear()
             self._fits[key] = self._merge(left + right) == [p for p in key if p]
         return self._fits[key]
@@ -258,6 +262,13 @@ def _shift(states: Iterable[State], by: int) -> list[State]:
     return [(at - by, length) for at, length in states]
 
 
+def _rows(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[dict]:
+    """Rows with a long text, some at a time."""
+    for batch in batches:
+        for part in slices(batch, batch.schema.get_field_index(column), BATCH_BYTES):
+            yield from part.to_pylist()
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """Ids of ``docs`` (doc_id, text; other columns are ignored): one row per row, doc_id and ids
     (unsigned 32 bits, little-endian).
@@ -271,35 +282,33 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def short_texts(batches):
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, BATCH_BYTES):
                 found = [x.tobytes() for x in pieces(model).encode(part.column(1).to_pylist())]
                 yield pa.record_batch([part.column(0), pa.array(found, pa.binary())], names=["doc_id", "ids"])
 
     def cut(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                parts = list(_cut(row["text"], 2 * pieces(model).longest))
-                columns = [
-                    pa.array([row["doc_id"]] * len(parts), pa.int64()),
-                    pa.array([row["row"]] * len(parts), pa.binary()),
-                    *(pa.array(c, t) for c, t in zip(zip(*parts), (pa.int32(), pa.string(), pa.int32()))),
-                ]
-                yield pa.record_batch(columns, names=["doc_id", "row", "chunk", "part", "margin"])
+        for row in _rows(batches, "text"):
+            parts = list(_cut(row["text"], 2 * pieces(model).longest))
+            columns = [
+                pa.array([row["doc_id"]] * len(parts), pa.int64()),
+                pa.array([row["row"]] * len(parts), pa.binary()),
+                *(pa.array(c, t) for c, t in zip(zip(*parts), (pa.int32(), pa.string(), pa.int32()))),
+            ]
+            yield pa.record_batch(columns, names=["doc_id", "row", "chunk", "part", "margin"])
 
     def weigh(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                chunk = Chunk(pieces(model), row["part"], row["margin"])
-                exits = chunk.matrix()
-                size = (len(chunk.entries()) + 7) // 8
-                columns = {
-                    "row": pa.array([row["row"]], pa.binary()),
-                    "chunk": pa.array([row["chunk"]], pa.int32()),
-                    "entries": pa.array([_flat(_shift(chunk.entries(), chunk.begin))], pa.binary()),
-                    "exits": pa.array([_flat(_shift(exits, chunk.end))], pa.binary()),
-                    "weights": pa.array([b"".join(b.to_bytes(size, "little") for b in exits.values())], pa.binary()),
-                }
-                yield pa.record_batch(list(columns.values()), names=list(columns))
+        for row in _rows(batches, "part"):
+            chunk = Chunk(pieces(model), row["part"], row["margin"])
+            exits = chunk.matrix()
+            size = (len(chunk.entries()) + 7) // 8
+            columns = {
+                "row": pa.array([row["row"]], pa.binary()),
+                "chunk": pa.array([row["chunk"]], pa.int32()),
+                "entries": pa.array([_flat(_shift(chunk.entries(), chunk.begin))], pa.binary()),
+                "exits": pa.array([_flat(_shift(exits, chunk.end))], pa.binary()),
+                "weights": pa.array([b"".join(b.to_bytes(size, "little") for b in exits.values())], pa.binary()),
+            }
+            yield pa.record_batch(list(columns.values()), names=list(columns))
 
     def scan(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
@@ -319,16 +328,15 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         return pa.table(columns)
 
     def trace(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                chunk = Chunk(pieces(model), row["part"], row["margin"])
-                (entry,), (last,) = (_shift([s], -by) for s, by in zip(_states(row["ends"]), (chunk.begin, chunk.end)))
-                ids = chunk.ids(entry, last).tobytes()
-                columns = [[row["doc_id"]], [row["row"]], [row["chunk"]], [ids]]
-                kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-                yield pa.record_batch(
-                    [pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "row", "chunk", "ids"]
-                )
+        for row in _rows(batches, "part"):
+            chunk = Chunk(pieces(model), row["part"], row["margin"])
+            (entry,), (last,) = (_shift([s], -by) for s, by in zip(_states(row["ends"]), (chunk.begin, chunk.end)))
+            ids = chunk.ids(entry, last).tobytes()
+            columns = [[row["doc_id"]], [row["row"]], [row["chunk"]], [ids]]
+            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+            yield pa.record_batch(
+                [pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "row", "chunk", "ids"]
+            )
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
@@ -374,7 +382,7 @@ def decode(ids: DataFrame, model: str) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, BATCH_BYTES):
                 vocabulary = pieces(model)
                 texts = [vocabulary.decode(np.frombuffer(x or b"", "<u4")) for x in part.column(1).to_pylist()]
                 yield pa.record_batch([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])

@@ -41,9 +41,10 @@ class _Odd(Exception):
 class _Cache(dict):
     """Ids of pieces, in two generations: the older one goes when the younger is full."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, limit: int = CACHED_PIECES):
         super().__init__()
         self._encode = encode
+        self._limit = limit
         self._old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -52,7 +53,7 @@ class _Cache(dict):
         return ids
 
     def age(self) -> None:
-        if len(self) > CACHED_PIECES:
+        if len(self) > self._limit:
             self._old = dict(self)
             self.clear()
 
