@@ -66,7 +66,7 @@ def run_jobs(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     timed("job_ingest", lambda: ingest(spark, source, f"{root}/raw", **options))
     timed(
         "job_transform",
-        lambda: transform(spark, f"{root}/raw", f"{root}/out", batch_id="run-1", quarantine=True),
+        lambda: transform(spark, f"{root}/raw", f"{root}/out", batch_id="run-1", **stored.DIRTY),
     )
     clean = read_clean(spark, f"{root}/out")
     timed("job_load", lambda: load_star(spark, clean, f"{root}/star", batch_id="a", loaded_at=first))

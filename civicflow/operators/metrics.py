@@ -73,15 +73,13 @@ def by_neighborhood(
     )
 
 
-def map_points(fact: DataFrame, limit: int = contracts.MAP_POINT_LIMIT) -> DataFrame:
-    """Up to ``limit`` located public cases, lowest keys first, with map-ready column names."""
+def map_points(fact: DataFrame, limit: int | None = None) -> DataFrame:
+    """Located public cases with map-ready column names; with ``limit`` the lowest keys only."""
     located = public_facts(fact).where(F.col("has_valid_coordinates"))
-    return (
-        located.orderBy("object_id")
-        .limit(limit)
-        .select("latitude", "longitude", "case_status", "incident_address")
-        .withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
-    )
+    if limit is not None:
+        located = located.orderBy("object_id").limit(limit)
+    points = located.select("latitude", "longitude", "case_status", "incident_address")
+    return points.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
 
 
 def resolution_hours(fact: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.functions import text
+from civicflow import contracts
 from civicflow.operators import distribution, metrics
 
 
@@ -38,5 +39,5 @@ def dashboard(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "resolution_population": hours,
         "resolution_stats": distribution.resolution_stats(hours),
         "resolution_histogram": distribution.histogram(longer),
-        "map_points": metrics.map_points(fact),
+        "map_points": metrics.map_points(fact, contracts.MAP_POINT_LIMIT),
     }

@@ -126,6 +126,22 @@ two as ({VALID.replace("from clean", "from second_clean")})"""
 TWO_LANDED = TWO.replace(feed.DELIVERY_ORDER, LANDED_ORDER)
 
 
+# Both deliveries landed before the first load; of equal creation times the later one is newer.
+BOTH = f"""with raw0 as ({RAW}),
+raw as (select *, 1 as delivery from raw0 where ingest_year <= {feed.SPLIT_YEAR}
+  union all select *, 2 from raw0 where ingest_year >= {feed.SPLIT_YEAR}),
+latest as ({newest("raw", LANDED_ORDER.replace("Case_Created_Date desc nulls last", "Case_Created_Date desc nulls last, delivery desc", 1))}),
+tidy as ({TIDY}), clean as ({DERIVED}), valid as ({VALID})"""
+THEN_BOTH = (
+    TWO_LANDED.split("second_latest as")[0].rstrip().rstrip(",")
+    + f""",
+first_clean as ({DERIVED.replace("from tidy", f"from ({TIDY.replace('from latest', 'from first_latest')})")}),
+one as ({VALID.replace("from clean", "from first_clean")}),
+{BOTH[BOTH.index("raw as (select *, 1") :]},
+two as (select * from valid)"""
+)
+
+
 def two_loads(members: str, key: str, natural: list[str], columns: str) -> str:
     """A dimension after both loads: first members keep their keys, later ones go above."""
     first, second = members.format("one"), members.format("two")
@@ -356,6 +372,44 @@ def oracle() -> dict[str, str]:
         "quarantined_requests": f"""{landed} select OBJECTID, 'closed_before_created' as problems from clean
           where closed_ms < created_ms""",
         "stream_upsert": f"select * exclude (loaded_ms) from ({upsert(TWO_LANDED)})",
+        "recovered_runs": f"{BOTH} {fact_rows('valid', SECOND_MS)}",
+        "stream_restart": f"select * exclude (loaded_ms) from ({upsert(THEN_BOTH)})",
+        "empty_run": f"""{TWO_LANDED} select cast(2 as bigint) as n_runs,
+          (select count(*) from raw0 where ingest_year <= {feed.SPLIT_YEAR}) as n_landed,
+          (select count(*) from one) as n_cases, cast(1 as bigint) as n_versions""",
+        "preview_file": f"""{BASE} select OBJECTID, Case_Status, Agency, Type, Topic, Neighborhood,
+            cast(is_closed as varchar) as is_closed
+          from valid order by created_ms desc nulls last, OBJECTID limit 200""",
+        "landed_key_ranges": f"""with raw as ({RAW}) select count(*) as n_rows, cast(0 as bigint) as n_overlaps
+          from raw where ingest_year <= {feed.SPLIT_YEAR}""",
+        "quality_report_missing_columns": f"""{BASE}
+          select 'row_count' as check_name, 'info' as severity, cast((select count(*) from clean) as double) as value,
+            cast(null as double) as threshold, false as failed, cast(null as varchar) as message
+          union all select 'required_columns', 'hard', 2.0e0, 0.0e0, true,
+            'Missing required columns: Latitude, closed_at'""",
+        "damaged_lines_report": f"""{ctes(where="OBJECTID % 50 <> 0", order=LANDED_ORDER)},
+          n as (select (select count(*) from clean) as good, (select count(*) from raw0 where OBJECTID % 50 = 0) as cut,
+            (select count(*) from clean where closed_ms < created_ms) as early)
+          select 'row_count' as check_name, 'info' as severity, cast(good + cut as double) as value,
+            cast(null as double) as threshold, false as failed from n
+          union all select 'corrupt_share', 'hard', round(cut/cast(good + cut as double), 9), 0.05e0,
+            cut/cast(good + cut as double) > 0.05e0 from n
+          union all select 'quarantine_share', 'hard', round((cut + early)/cast(good + cut as double), 9), 0.1e0,
+            (cut + early)/cast(good + cut as double) > 0.1e0 from n""",
+        "contract_profile_delivery": f"""with raw as ({RAW}), d(i, name, declared_type) as (values {declared})
+          select name, declared_type, case name when 'Division' then null when 'Police_District' then 'string'
+              else declared_type end as actual_type,
+            name not in ('Division', 'Police_District') as matches,
+            case name when 'Division' then 0 else filled end as filled, (select count(*) from raw) as total
+          from d join (select n as name, case n {filled} end as filled from raw,
+            (select unnest([{", ".join(f"'{n}'" for n in RAW_NAMES)}]) as n) group by n) using (name)""",
+        "contract_diff_delivery": f"""with raw as ({RAW})
+          select 'Division' as name, 'missing' as change, 'string' as declared_type, cast(null as varchar) as actual_type,
+            cast(null as bigint) as filled
+          union all select 'Ward', 'added', null, 'string', (select count(Major_Area) from raw)
+          union all select 'Police_District', 'retyped', 'int', 'string', (select count(Police_District) from raw)""",
+        "map_points_all": f"""{STAR} select latitude as lat, longitude as lon, case_status, incident_address from public
+          where has_valid_coordinates""",
         "key_discontinuity": f"""with raw as ({RAW}), r as (select ingest_year, ingest_month, min(OBJECTID) as min_key,
             max(OBJECTID) as max_key, count(*) as n_rows from raw group by all),
           l as (select *, lag(min_key) over w as pmin, lag(max_key) over w as pmax from r

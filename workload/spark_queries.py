@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicflow import contracts
@@ -26,7 +26,7 @@ from civicflow.operators import (
 )
 from civicflow.plans import dashboard, load
 from civicflow.plans.ingest import ingest
-from civicflow.plans.transform import quarantined_rows, read_clean
+from civicflow.plans.transform import quarantined_rows, rate_checks, read_clean
 from civicflow.session import scratch_dir
 from civicflow.sources import extract, landing, snapshots, tables
 from workload import feed, stored
@@ -162,6 +162,19 @@ def quality_report_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def quality_report_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery without two of the columns that the gate needs."""
+    cases = feed.clean(feed.raw_requests(spark, sf_dir))
+    return quality.quality_report(cases.drop("closed_at", "Latitude"))
+
+
+def damaged_lines_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of damaged lines and of rows set apart, over all staged rows."""
+    checks = rate_checks(contracts.MAX_CORRUPT_RATE, 0.1)
+    report = quality.quality_report(stored.damaged(spark, sf_dir), checks)
+    return report.select("check_name", "severity", F.round("value", 9).alias("value"), "threshold", "failed")
+
+
 def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bad = quality.split_quarantine(
         feed.clean(feed.dirty_requests(spark, sf_dir), null_keys="keep")
@@ -177,6 +190,22 @@ def contract_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.contract_profile(landing.read_landed(spark, root))
 
 
+def contract_profile_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery with one column missing, one added and one of another type."""
+    raw = feed.raw_requests(spark, sf_dir).drop("Division").withColumn("Ward", F.col("Major_Area"))
+    return quality.contract_profile(raw.withColumn("Police_District", F.col("Police_District").cast("string")))
+
+
+def contract_diff_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of that delivery's columns, with the rows that fill each delivered one."""
+    raw = feed.raw_requests(spark, sf_dir).select(*stored.RAW_COLUMNS).drop("Division")
+    raw = raw.withColumns({"Ward": F.col("Major_Area"), "Police_District": F.col("Police_District").cast("string")})
+    changes = quality.contract_diff(raw)
+    names = ["Ward", "Police_District"]
+    filled = raw.agg(*(F.count(n).alias(n) for n in names)).unpivot([], names, "name", "filled")
+    return changes.join(filled, "name", "left")
+
+
 def contract_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema inferred from the landed lines against the contract.
 
@@ -311,6 +340,12 @@ def resolution_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest keys, as the dashboard shows them."""
+    fact = stored.warehouse(spark, sf_dir)["fact_service_request"]
+    return metrics.map_points(fact, contracts.MAP_POINT_LIMIT)
+
+
+def map_points_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.map_points(stored.warehouse(spark, sf_dir)["fact_service_request"])
 
 
@@ -469,6 +504,47 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.named_facts(stored.streamed(spark, sf_dir)).drop("loaded_ms")
 
 
+def recovered_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A failed run's rows come with the next run that succeeds."""
+    return stored.named_facts(stored.recovered(spark, sf_dir))
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with another checkpoint neither skips nor repeats cases."""
+    return stored.named_facts(stored.restarted(spark, sf_dir)).drop("loaded_ms")
+
+
+def empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run without new rows: its manifest says so, and the one loaded version stays."""
+    root = stored.idle_run(spark, sf_dir)
+    runs = landing.read_manifests(spark, f"{root}/raw").agg(
+        F.count(F.lit(1)).alias("n_runs"), F.sum("actual_record_count").alias("n_landed")
+    )
+    cases = load.read_table(spark, f"{root}/warehouse", "fact_service_request").agg(F.count(F.lit(1)).alias("n_cases"))
+    versions = snapshots.commits(spark, f"{root}/warehouse").agg(F.count(F.lit(1)).alias("n_versions"))
+    return runs.select("n_runs", "n_landed", cases.scalar().alias("n_cases"), versions.scalar().alias("n_versions"))
+
+
+def preview_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preview written as CSV and read back."""
+    path = scratch_dir(spark, "preview")
+    tables.write_preview(feed.valid_requests(spark, sf_dir), path)
+    read = spark.read.option("header", True).csv(path)
+    return read.select(F.col("OBJECTID").cast("long"), "Case_Status", "Agency", "Type", "Topic", "Neighborhood", "is_closed")
+
+
+def landed_key_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the delivery that landed in key order, and files that reach into the next one."""
+    root = stored.landed_with_short_run(spark, sf_dir)
+    rows = landing.read_complete_runs(spark, root).select("OBJECTID", F.input_file_name().alias("file"))
+    files = rows.groupBy("file").agg(
+        F.min("OBJECTID").alias("low"), F.max("OBJECTID").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    order = Window.orderBy("low", "high")
+    files = files.withColumn("reaches", F.coalesce(F.col("high") > F.lead("low").over(order), F.lit(False)))
+    return files.agg(F.sum("n").alias("n_rows"), F.count_if("reaches").alias("n_overlaps"))
+
+
 # --- comparisons between deliveries ------------------------------------------------
 
 
@@ -606,6 +682,16 @@ def registered() -> dict:
             published_requests,
             quarantined_requests,
             stream_upsert,
+            recovered_runs,
+            stream_restart,
+            empty_run,
+            preview_file,
+            landed_key_ranges,
+            quality_report_missing_columns,
+            damaged_lines_report,
+            contract_profile_delivery,
+            contract_diff_delivery,
+            map_points_all,
             key_discontinuity,
             volume_anomalies,
             date_attributes,

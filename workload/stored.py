@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow import contracts
+from civicflow.operators.quality import QualityGateError
 from civicflow.plans import end_to_end
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import load_star, read_star
-from civicflow.plans.transform import transform
+from civicflow.plans.transform import stage_clean, transform
 from civicflow.session import configure, scratch_dir
 from civicflow.sources import landing
 from civicflow.streaming import incremental
@@ -24,6 +25,8 @@ from workload import feed
 
 FIRST_DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
 SECOND_DAY = datetime(2024, 1, 2, tzinfo=timezone.utc)
+# More than half of a delivery's cases close before they open; that must not end a run here.
+DIRTY = {"quarantine": True, "max_quarantined": 1.0}
 RAW_COLUMNS = contracts.names(contracts.RAW_FEED)
 
 _built: dict[tuple[str, str, str], object] = {}
@@ -89,7 +92,7 @@ def run_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                 run_at=day,
                 full_refresh=True,
                 incremental=True,
-                transform_options={"quarantine": True},
+                transform_options=DIRTY,
             )
         return f"{path}/warehouse"
 
@@ -153,7 +156,7 @@ def transformed(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
 
     def build(path: str) -> tuple[str, dict]:
         root, _ = landed(spark, sf_dir)
-        return path, transform(spark, root, path, batch_id="run-1", quarantine=True)
+        return path, transform(spark, root, path, batch_id="run-1", **DIRTY)
 
     return once(spark, sf_dir, "transformed", build)
 
@@ -166,15 +169,79 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             source = feed.delivery(spark, sf_dir, number).select(*RAW_COLUMNS)
             target = f"{path}/raw/{landing.run_directory(f'run-{number}', day)}"
             landing.write_landing(source, target)
-            query = incremental.start(
-                spark, f"{path}/raw", f"{path}/star", f"{path}/work", quarantine=True
-            )
+            query = incremental.start(spark, f"{path}/raw", f"{path}/star", f"{path}/work", **DIRTY)
             query.awaitTermination()
         return f"{path}/star"
 
     return read_star(spark, once(spark, sf_dir, "streamed", build))
 
 
+def recovered(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema after a run whose gate failed and one that succeeded, both incremental."""
+
+    def build(path: str) -> str:
+        first = feed.delivery(spark, sf_dir, 1).select(*RAW_COLUMNS)
+        second = feed.delivery(spark, sf_dir, 2).select(*RAW_COLUMNS)
+        options = {"full_refresh": True, "incremental": True}
+        try:
+            end_to_end.run(spark, first, path, run_id="run-1", run_at=FIRST_DAY, **options)
+        except QualityGateError:
+            kind = {"transform_options": DIRTY}
+            end_to_end.run(spark, second, path, run_id="run-2", run_at=SECOND_DAY, **options, **kind)
+        return f"{path}/warehouse"
+
+    return read_star(spark, once(spark, sf_dir, "recovered", build))
+
+
+def restarted(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema after a stream took the first delivery, and one with a new work folder
+    took all that had landed by then."""
+
+    def build(path: str) -> str:
+        for number, day in ((1, FIRST_DAY), (2, SECOND_DAY)):
+            source = feed.delivery(spark, sf_dir, number).select(*RAW_COLUMNS)
+            landing.write_landing(source, f"{path}/raw/{landing.run_directory(f'run-{number}', day)}")
+            work = f"{path}/work-{number}"
+            incremental.start(spark, f"{path}/raw", f"{path}/star", work, **DIRTY).awaitTermination()
+        return f"{path}/star"
+
+    return read_star(spark, once(spark, sf_dir, "restarted", build))
+
+
+def idle_run(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a run over the first delivery, then one whose source has nothing new."""
+
+    def build(path: str) -> str:
+        source = feed.delivery(spark, sf_dir, 1).select(*RAW_COLUMNS)
+        for number, day, rows in ((1, FIRST_DAY, source), (2, SECOND_DAY, source.where("false"))):
+            end_to_end.run(
+                spark, rows, path, run_id=f"run-{number}", run_at=day, full_refresh=True, incremental=True,
+                transform_options=DIRTY,
+            )
+        return path
+
+    return once(spark, sf_dir, "idle_run", build)
+
+
+def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged rows of a delivery in which the lines of every 50th case are cut off."""
+
+    def build(path: str) -> DataFrame:
+        raw = feed.raw_requests(spark, sf_dir).select(*RAW_COLUMNS)
+        line = F.to_json(F.struct(*RAW_COLUMNS))
+        line = F.when(F.col("OBJECTID") % 50 == 0, F.substring(line, 1, 20)).otherwise(line)
+        raw.select(line.alias("value")).write.option("compression", "gzip").text(f"{path}/lines")
+        columns = [*contracts.RAW_FEED, (contracts.CORRUPT_COLUMN, "string")]
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": contracts.CORRUPT_COLUMN}
+        parsed = F.from_json("value", contracts.ddl(columns), options).alias("r")
+        levels = dict(zip(contracts.names(contracts.LANDING_PARTITIONS), ("2024", "01", "01", "run-1")))
+        lines = spark.read.text(f"{path}/lines").select(parsed, landing.scan_position().alias(landing.ROW_ID))
+        rows = lines.select("r.*", *(F.lit(v).alias(k) for k, v in levels.items()), landing.ROW_ID)
+        return stage_clean(rows, f"{path}/staged", landing.ROW_ID)
+
+    return once(spark, sf_dir, "damaged", build)
+
+
 def named_facts(star: dict[str, DataFrame]) -> DataFrame:
     """Facts with their dimension members' names instead of keys, and times as numbers."""
     fact = star["fact_service_request"]
