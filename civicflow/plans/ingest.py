@@ -72,7 +72,7 @@ def ingest(
         seen = figures.get
         files = landing.inventory(spark, f"{root}/{directory}", landing.RAW_FILES)
         landing.write_file_list(files, root, run_id)
-        listed = landing.read_file_lists(spark, root).where(F.col("run_id") == run_id)
+        listed = landing.read_file_lists(spark, root, run_id)
         written = landing.inventory_totals(listed).first().asDict()
 
     marks = {column: seen[f"mark_{column}"] for column in columns}

@@ -94,8 +94,8 @@ def transform(
     default, and with ``directories`` the cases of these runs only, which is what an incremental
     load merges. With ``keep_versions`` older published versions are deleted after the commit.
 
-    Three Spark actions: the write, one aggregate for gate and summary over the written
-    columns, and the preview. A hard failure raises :class:`quality.QualityGateError`
+    The raw rows are parsed once, by the write; gate and summary are one aggregate over the
+    written columns, and raw counts come from the runs' manifests. A hard failure raises :class:`quality.QualityGateError`
     before the version is committed, so readers keep the previous one. With
     ``quarantine`` the rows that break a row-level check are left out of the published
     table instead of failing the batch, as long as their share of all rows is at most
@@ -110,7 +110,9 @@ def transform(
     path = snapshots.version_path(out_root, version, REQUESTS)
     staged = stage_clean(landing.read_landed(spark, raw_root, row_id=True, paths=paths), path, landing.ROW_ID)
 
-    raw_rows = landing.count_lines(spark, raw_root, paths).scalar()
+    # The runs' manifests know how many rows they landed; only runs without one are read again.
+    recorded = landing.recorded_rows(spark, raw_root, directories)
+    raw_rows = F.lit(recorded) if recorded is not None else landing.count_lines(spark, raw_root, paths).scalar()
     all_checks = [
         *(checks if checks is not None else [*quality.default_checks(), quality.corrupt_rate()]),
         *summary_measures(raw_rows),

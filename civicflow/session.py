@@ -22,8 +22,6 @@ RUNTIME_CONF = {
 
 # A shuffle partition of this size sorts in an executor's memory share without much spilling.
 PARTITION_BYTES = 128 * 1024 * 1024
-# With more of them, the blocks between map and reduce tasks cost more than spilling does.
-MAX_PARTITIONS = 32_768
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 _scratch: dict[str, str] = {}
@@ -35,20 +33,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def partitions_for(df: DataFrame, expansion: float = 1.0) -> int:
+def partitions_for(df: DataFrame, expansion: float = 1.0, partition_bytes: int | None = None) -> int:
     """Shuffle partitions for work on ``df``: by its size, at least the session's own number.
 
     The size is that of the stored tables ``df`` reads; inputs of unknown size do not count.
     ``expansion`` says how much larger rows are than the files (compressed text, columnar
-    encoding).
+    encoding). There is no upper bound; on clusters where so many blocks cost more than larger
+    partitions do, give a larger ``partition_bytes``.
     """
     spark = df.sparkSession
     unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     known = sum(size for size in sizes if size < unknown)
-    wanted = math.ceil(known * expansion / PARTITION_BYTES)
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, MAX_PARTITIONS))
+    wanted = math.ceil(known * expansion / (partition_bytes or PARTITION_BYTES))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
 @contextlib.contextmanager

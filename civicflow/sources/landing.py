@@ -13,7 +13,9 @@ of another run.
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from civicflow import contracts
 from civicflow.functions import text, time
-from civicflow.sources.tables import path_exists, read_json_log
+from civicflow.sources.tables import each_file, path_exists, read_json_log, run_paths
 
 ROW_ID = "_row_id"
 RAW_FILES = "*.{json,jsonl}.gz"
@@ -47,6 +49,12 @@ def run_directory(run_id: str, run_at: datetime) -> str:
     return f"ingest_year={day:%Y}/ingest_month={day:%m}/ingest_day={day:%d}/run_id={run_id}"
 
 
+def run_directories(spark: SparkSession, root: str) -> list[str]:
+    """Directories of all runs that landed, below the root."""
+    levels = "/".join(f"{name}=*" for name in contracts.names(contracts.LANDING_PARTITIONS))
+    return run_paths(spark, root, levels)
+
+
 def in_key_order(df: DataFrame, key: str) -> DataFrame:
     """Rows range-partitioned and sorted by ``key``: every landed file holds one key range.
 
@@ -131,11 +139,28 @@ def count_lines(spark: SparkSession, root: str, paths: list[str] | None = None)
 
 
 def has_files(spark: SparkSession, root: str) -> bool:
-    """Whether anything has landed; a missing root counts as empty."""
+    """Whether anything has landed; a missing root counts as empty. Stops at the first file."""
     if not path_exists(spark, root):
         return False
-    files = spark.read.format("binaryFile").option("pathGlobFilter", RAW_FILES).load(root)
-    return not files.select("path").isEmpty()
+    files = each_file(spark, root)
+    while files.hasNext():
+        path = files.next().getPath().toString()
+        if path.endswith((".json.gz", ".jsonl.gz")) and not re.search("/[_.]", path.removeprefix(root)):
+            return True
+    return False
+
+
+def recorded_rows(spark: SparkSession, root: str, directories: Sequence[str] | None = None) -> int | None:
+    """Rows of the given runs (default: all that landed) by their manifests; ``None`` where a run
+    has none, so that its lines have to be counted."""
+    runs = read_manifests(spark, root).where("not dry_run").select(
+        F.explode("files").alias("path"), F.col("actual_record_count").alias("n")
+    )
+    if directories is None:
+        directories = run_directories(spark, root)
+    wanted = spark.createDataFrame([(d.strip("/"),) for d in directories], "path string")
+    counted = wanted.join(runs, "path", "left").agg(F.sum("n"), F.count_if(F.col("n").isNull())).first()
+    return None if counted[1] else int(counted[0] or 0)
 
 
 def inventory(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -176,8 +201,12 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     return read_json_log(spark, f"{root}/_manifests", MANIFEST_SCHEMA)
 
 
-def read_file_lists(spark: SparkSession, root: str) -> DataFrame:
-    return read_json_log(spark, f"{root}/_files", FILE_SCHEMA)
+def read_file_lists(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
+    """The landed files of one run, or of all."""
+    if run_id is None:
+        return read_json_log(spark, f"{root}/_files", FILE_SCHEMA)
+    files = read_json_log(spark, f"{root}/_files/run_id={run_id}", "path string, length bigint")
+    return files.select(F.lit(run_id).alias("run_id"), "path", "length")
 
 
 def read_complete_runs(spark: SparkSession, root: str, *, row_id: bool = False) -> DataFrame:

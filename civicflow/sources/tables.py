@@ -38,6 +38,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return file_system.delete(hadoop_path, True)
 
 
+def each_file(spark: SparkSession, path: str):
+    """Files below a path, one after the other, as the file system lists them."""
+    file_system, hadoop_path = _located(spark, path)
+    return file_system.listFiles(hadoop_path, True)
+
+
+def run_paths(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Directories below ``root`` that match a pattern, relative to it."""
+    file_system, hadoop_path = _located(spark, f"{root}/{pattern}")
+    depth = pattern.count("/") + 1
+    found = file_system.globStatus(hadoop_path) or []
+    return sorted("/".join(status.getPath().toString().split("/")[-depth:]) for status in found)
+
+
 def _located(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
