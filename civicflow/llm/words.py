@@ -6,12 +6,12 @@ A word is a run of characters other than U+0020 and U+0009 to U+000D. All arithm
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
-from functools import lru_cache
 
 import numpy as np
 
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 # Fixed odd bases, and the two multipliers of the mixing step.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -29,24 +29,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` and of its inverse."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        powers = np.full(size, b, np.uint64)
-        powers[0] = 1
-        out.append(np.multiply.accumulate(powers))
-    return out[0], out[1]
+# For each base, its powers and those of its inverse, as many as were needed so far.
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _room(n: int) -> int:
-    return 1 << max(16, int(n).bit_length())
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    if base not in _POWERS or len(_POWERS[base][0]) < size:
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            powers = np.full((size >> 16) + 1 << 16, b, np.uint64)
+            powers[0] = 1
+            out.append(np.multiply.accumulate(powers, out=powers))
+        _POWERS[base] = out[0], out[1]
+    return _POWERS[base]
 
 
 def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hash of each span of ``values``, wherever it stands."""
-    up, down = _powers(base, _room(len(values)))
+    up, down = _powers(base, len(values))
     past = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)])])
     return mix((past[ends] - past[starts]) * down[starts])
 
@@ -81,6 +81,13 @@ def _pieces(texts: Iterable[bytes]) -> Iterable[list[tuple[int, bytes]]]:
         yield batch
 
 
+def _make_room() -> None:
+    """Workers are reused: piece caches of tokenizing tasks before this one go."""
+    for name, cache in (("tokens", "encoder"), ("pieces", "pieces")):
+        if module := sys.modules.get(f"{__package__}.{name}"):
+            getattr(module, cache).cache_clear()
+
+
 def word_hashes(
     texts: list[bytes],
     bases: tuple[int, ...] = BASES[:1],
@@ -93,6 +100,7 @@ def word_hashes(
     ``between`` says for each byte whether it parts words (white space always should). ``longest``
     takes the first bytes of longer words only.
     """
+    _make_room()
     counts = np.zeros(len(texts), np.int64)
     found: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in bases]
     for batch in _pieces(texts):
