@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 5 << 19
 
 
 def units_for(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> int:
