@@ -71,6 +71,8 @@ def run_jobs(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     clean = read_clean(spark, f"{root}/out")
     timed("job_load", lambda: load_star(spark, clean, f"{root}/star", batch_id="a", loaded_at=first))
     timed("job_merge", lambda: load_star(spark, clean, f"{root}/star", batch_id="b", loaded_at=second))
+    month = clean.where("created_at >= '1997-03-01' and created_at < '1997-04-01'")
+    timed("job_merge_month", lambda: load_star(spark, month, f"{root}/star", batch_id="c", loaded_at=second))
     return times
 
 

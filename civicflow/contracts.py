@@ -142,6 +142,23 @@ STAR_TABLES = {
 
 # On a repeated key the load replaces these columns and keeps every other first-loaded value.
 FACT_UPDATED_COLUMNS = ["case_status", "closed_at", "is_closed", "resolution_hours", "loaded_at"]
+
+# Fields of the landing zone's bookkeeping, names of load counts, and units of sizes.
+MANIFEST_SCHEMA = (
+    "run_id string, run_started_at string, run_finished_at string, source string, "
+    "where_clause string, expected_record_count bigint, actual_record_count bigint, "
+    "file_count bigint, bytes_written bigint, files array<string>, watermark_before string, "
+    "watermark_after string, full_refresh boolean, dry_run boolean, status string"
+)
+STATE_SCHEMA = "slice string, watermark string, updated_by_run string, updated_at string"
+LOAD_COUNTS = {
+    "dim_agency": "dim_agency_upserted",
+    "dim_service_type": "dim_service_type_upserted",
+    "dim_neighborhood": "dim_neighborhood_upserted",
+    "dim_date": "dim_date_upserted",
+    "fact_service_request": "facts_upserted",
+}
+SIZE_UNITS = ["B", "KB", "MB", "GB", "TB"]
 # --- end of fixed values ----------------------------------------------------------
 
 # Shares of all staged rows above which a batch fails: lines that do not fit the declared schema,

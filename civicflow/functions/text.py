@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SIZE_UNITS = ["B", "KB", "MB", "GB", "TB"]
+from civicflow import contracts
+
+SIZE_UNITS = contracts.SIZE_UNITS
 
 
 def blank_to_null(column: Column) -> Column:

@@ -104,9 +104,9 @@ def load_counts(batch: DataFrame) -> DataFrame:
 
     either = text.is_present(F.col("Type")) | text.is_present(F.col("Topic"))
     return batch.agg(
-        attempts(text.is_present(F.col("Agency")), "dim_agency_upserted"),
-        attempts(F.coalesce(either, F.lit(False)), "dim_service_type_upserted"),
-        attempts(text.is_present(F.col("Neighborhood")), "dim_neighborhood_upserted"),
-        attempts(F.col("created_at").isNotNull(), "dim_date_upserted"),
-        F.count(F.lit(1)).alias("facts_upserted"),
+        attempts(text.is_present(F.col("Agency")), contracts.LOAD_COUNTS["dim_agency"]),
+        attempts(F.coalesce(either, F.lit(False)), contracts.LOAD_COUNTS["dim_service_type"]),
+        attempts(text.is_present(F.col("Neighborhood")), contracts.LOAD_COUNTS["dim_neighborhood"]),
+        attempts(F.col("created_at").isNotNull(), contracts.LOAD_COUNTS["dim_date"]),
+        F.count(F.lit(1)).alias(contracts.LOAD_COUNTS[FACT]),
     )

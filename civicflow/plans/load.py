@@ -179,7 +179,7 @@ def load_report(spark: SparkSession, root: str, batch: DataFrame, version: int)
             F.array(
                 *(
                     F.struct(F.lit(table).alias("table_name"), F.col(count).alias("attempted"))
-                    for table, count in _ATTEMPTS.items()
+                    for table, count in contracts.LOAD_COUNTS.items()
                 )
             )
         ).alias("r")
@@ -189,16 +189,7 @@ def load_report(spark: SparkSession, root: str, batch: DataFrame, version: int)
         return read_table(spark, root, table, at).agg(F.count(F.lit(1))).scalar()
 
     inserted = F.lit(None).cast("long")
-    for table in _ATTEMPTS:
+    for table in contracts.LOAD_COUNTS:
         gained = rows(table, version) - rows(table, version - 1)
         inserted = F.when(F.col("table_name") == table, gained).otherwise(inserted)
     return attempted.select("r.*").withColumn("inserted", inserted)
-
-
-_ATTEMPTS = {
-    "dim_agency": "dim_agency_upserted",
-    "dim_service_type": "dim_service_type_upserted",
-    "dim_neighborhood": "dim_neighborhood_upserted",
-    "dim_date": "dim_date_upserted",
-    "fact_service_request": "facts_upserted",
-}

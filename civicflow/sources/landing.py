@@ -29,13 +29,7 @@ ROW_ID = "_row_id"
 RAW_FILES = "*.{json,jsonl}.gz"
 ROWS_PER_FILE = 1_000_000
 
-MANIFEST_SCHEMA = (
-    "run_id string, run_started_at string, run_finished_at string, source string, "
-    "where_clause string, expected_record_count bigint, actual_record_count bigint, "
-    "file_count bigint, bytes_written bigint, files array<string>, watermark_before string, "
-    "watermark_after string, full_refresh boolean, dry_run boolean, status string"
-)
-STATE_SCHEMA = "slice string, watermark string, updated_by_run string, updated_at string"
+MANIFEST_SCHEMA, STATE_SCHEMA = contracts.MANIFEST_SCHEMA, contracts.STATE_SCHEMA
 FILE_SCHEMA = "run_id string, path string, length bigint"
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from civicflow import contracts
 from workload import feed
 
 RAW = feed.RAW_REQUESTS.format(
@@ -18,8 +17,43 @@ DIRTY = """select * replace (
   case when OBJECTID%97=0 then null else OBJECTID end as OBJECTID,
   case when OBJECTID%89=0 then null else Case_Created_Date end as Case_Created_Date) from raw0"""
 
-RAW_NAMES = [name for name, _ in contracts.RAW_FEED]
-TRIMMED = ", ".join(f"nullif(trim({c}),'') as {c}" for c in contracts.TRIMMED_COLUMNS)
+# The feed's columns, the ones that are trimmed, and the limits, stated here a second time: a wrong
+# list in the engine must not be right on both sides.
+FEED = {
+    "OBJECTID": "bigint",
+    "Case_Summary": "string",
+    "Case_Status": "string",
+    "Case_Source": "string",
+    "Case_Created_Date": "bigint",
+    "Case_Created_dttm": "string",
+    "Case_Closed_Date": "bigint",
+    "Case_Closed_dttm": "string",
+    "First_Call_Resolution": "string",
+    "Customer_Zip_Code": "string",
+    "Incident_Address_1": "string",
+    "Incident_Address_2": "string",
+    "Incident_Intersection_1": "string",
+    "Incident_Intersection_2": "string",
+    "Incident_Zip_Code": "string",
+    "Longitude": "double",
+    "Latitude": "double",
+    "Agency": "string",
+    "Division": "string",
+    "Major_Area": "string",
+    "Type": "string",
+    "Topic": "string",
+    "Council_District": "int",
+    "Police_District": "int",
+    "Neighborhood": "string",
+}
+TRIMMED_NAMES = (
+    "Case_Summary Case_Status Case_Source Incident_Address_1 Incident_Address_2 Agency Division Major_Area "
+    "Type Topic Neighborhood"
+).split()
+PREVIEW_ROWS, TOP_NEIGHBORHOODS, MAP_POINTS = 200, 15, 5000
+
+RAW_NAMES = list(FEED)
+TRIMMED = ", ".join(f"nullif(trim({c}),'') as {c}" for c in TRIMMED_NAMES)
 TIDY = f"select * replace ({TRIMMED}) from latest"
 DERIVED = """select *,
   Case_Created_Date as created_ms,
@@ -202,7 +236,7 @@ def volume(name: str, closed: bool = True) -> str:
 
 
 def oracle() -> dict[str, str]:
-    declared = ", ".join(f"({i},'{n}','{t}')" for i, (n, t) in enumerate(contracts.RAW_FEED))
+    declared = ", ".join(f"({i},'{n}','{t}')" for i, (n, t) in enumerate(FEED.items()))
     filled = " ".join(f"when '{n}' then count({n})" for n in RAW_NAMES)
     landed = ctes(order=LANDED_ORDER)
     return {
@@ -237,7 +271,7 @@ def oracle() -> dict[str, str]:
         "preview_latest": f"""{BASE}
           select OBJECTID, created_ms, closed_ms, is_closed, resolution_hours, Case_Status, Case_Source, Agency, Type,
             Topic, Neighborhood, Incident_Address_1, is_likely_internal, has_valid_coordinates
-          from valid order by created_ms desc nulls last, OBJECTID limit {contracts.PREVIEW_ROWS}""",
+          from valid order by created_ms desc nulls last, OBJECTID limit {PREVIEW_ROWS}""",
         "quality_report": report("clean", BASE),
         "quality_report_dirty": report("clean", DIRTY_BASE),
         "quality_report_repeated_keys": report("clean", ctes(latest="select * from raw")),
@@ -308,7 +342,7 @@ def oracle() -> dict[str, str]:
         "requests_by_day": f"""{STAR} select cast(cast(make_timestamp(created_ms*1000) as date) as varchar) as full_date,
           count(*) as request_count from public group by 1""",
         "requests_by_neighborhood": f"""{STAR} {volume("neighborhood_name", closed=False)}
-          order by total_requests desc, neighborhood_name limit {contracts.TOP_NEIGHBORHOODS}""",
+          order by total_requests desc, neighborhood_name limit {TOP_NEIGHBORHOODS}""",
         "resolution_population": f"{STAR} select h as resolution_hours from ({HOURS})",
         "resolution_stats": f"""{STAR} select count(*) as closed_rows, count(*) filter (h=0) as zero_hour_rows,
           coalesce(count(*) filter (h=0)/cast(nullif(count(*),0) as double), 0.0e0) as zero_hour_rate,
@@ -321,7 +355,7 @@ def oracle() -> dict[str, str]:
             case when g.bin=20 then hi else lo+g.bin*w end as bin_high, coalesce(n,0) as request_count
           from e, (select unnest(generate_series(1,20)) as bin) g left join b on b.bin=g.bin""",
         "map_points": f"""{STAR} select latitude as lat, longitude as lon, case_status, incident_address from public
-          where has_valid_coordinates order by object_id limit {contracts.MAP_POINT_LIMIT}""",
+          where has_valid_coordinates order by object_id limit {MAP_POINTS}""",
         "slowest_agencies": f"""{STAR} select agency_name, closed_requests, avg_resolution_hours
           from ({volume("agency_name")})""",
         "slowest_neighborhoods": f"""{STAR} select neighborhood_name, closed_requests, avg_resolution_hours
