@@ -86,13 +86,15 @@ class Code:
         first = (np.cumsum(doc_bytes) - doc_bytes) * 8
         within = past[:-1] - np.repeat(past[starts], ends - starts)
         at = within + np.repeat(first, ends - starts)
-        value = self.code[ids].astype(np.int64) << (32 - lens - (at & 7))
-        total, byte = int(doc_bytes.sum()), at >> 3
-        out = np.zeros(total + 4, np.int64)
-        for k in range((self.width + 14) >> 3):
-            out += np.bincount(byte + k, (value >> (24 - 8 * k)) & 255, total + 4).astype(np.int64)
+        value = self.code[ids].astype(np.int64) << (63 - lens - (at & 31))
+        value = value.view(np.uint64) << np.uint64(1)
+        total, word = int(doc_bytes.sum()), at >> 5
+        # Words of 32 bits: codes do not overlap, so their sum is their union, and exact in a float.
+        number = (total + 3 >> 2) + 2
+        out = np.bincount(word, value >> np.uint64(32), number)
+        out += np.bincount(word + 1, value & np.uint64(0xFFFFFFFF), number)
         marked = (np.arange(len(ids)) - np.repeat(starts, ends - starts)) % CHECKPOINT == 0
-        return out[:total].astype(np.uint8).tobytes(), doc_bytes, within[marked]
+        return out.astype(np.uint32).astype(">u4").tobytes()[:total], doc_bytes, within[marked]
 
     def decode(self, data: np.ndarray, begin: np.ndarray, number: np.ndarray) -> np.ndarray:
         """Ids from bit ``begin`` on, ``number`` (at most CHECKPOINT) for each lane, one lane after
@@ -132,24 +134,30 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, max_b
             ends = np.cumsum(counts) * dtype.itemsize
             offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
             values = pa.BinaryArray.from_buffers(pa.binary(), len(keys), [None, offsets.buffers()[1], pa.py_buffer(ids)])
-            yield pa.record_batch([pa.array(keys, pa.int64()), values], names=["doc_id", "ids"])
+            # Counts of these ids stand in the first row, so that the sums need not read ids again.
+            number = np.bincount(ids)
+            seen = np.flatnonzero(number)
+            counted = np.stack([seen, number[seen]]).astype("<u4").tobytes()
+            counts = pa.array([counted] + [None] * (len(keys) - 1), pa.binary())
+            yield pa.record_batch([pa.array(keys, pa.int64()), values, counts], names=["doc_id", "ids", "counts"])
 
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    docs.mapInArrow(tokenize, "doc_id long, ids binary").write.option("compression", "zstd").parquet(staged_path)
-    staged = spark.read.schema("doc_id long, ids binary").parquet(staged_path)
+    columns = "doc_id long, ids binary, counts binary"
+    docs.mapInArrow(tokenize, columns).write.option("compression", "zstd").parquet(staged_path)
+    staged = spark.read.schema(columns).parquet(staged_path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                ids = np.frombuffer(b"".join(batch.column(0).slice(at, 1024).to_pylist()), dtype)
-                found = np.bincount(ids, minlength=len(total))
-                found[: len(total)] += total
-                total = found
+            for counted in batch.column(0).drop_null():
+                ids, number = np.frombuffer(counted.as_py(), "<u4").reshape(2, -1)
+                if ids[-1] >= len(total):
+                    total = np.append(total, np.zeros(ids[-1] + 1 - len(total), np.int64))
+                total[ids] += number
         ids = np.flatnonzero(total)
         yield pa.record_batch([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
-    counts = staged.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = staged.select("counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     lengths = code_lengths({r.id: r.n for r in counts.collect()}, max_bits)
     spark.createDataFrame(sorted(lengths.items()), "id long, bits int").coalesce(1).write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast(lengths)
@@ -160,8 +168,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, max_b
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         huffman = Code(code.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 keys, held = part.column(0).to_pylist(), part.column(1).to_pylist()
                 numbers = np.array([len(x) // dtype.itemsize for x in held])
                 ids = np.frombuffer(b"".join(held), dtype)
@@ -213,7 +221,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, max_b
             yield closed()
 
     (
-        staged.mapInArrow(encode, "file_no int, doc_id long, n_ids long, bits binary, marks binary")
+        staged.select("doc_id", "ids").mapInArrow(encode, "file_no int, doc_id long, n_ids long, bits binary, marks binary")
         .repartitionById(files, "file_no")
         .sortWithinPartitions("file_no", "doc_id")
         .mapInArrow(blocks, BLOCK)

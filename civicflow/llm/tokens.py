@@ -19,8 +19,10 @@ _RUNS = re.compile(r"\s*\S+|\s+")
 # A word, with a line feed before and marks behind it: three pre-tokens at most, of which the
 # word needs the model alone and the others are few.
 _WORD = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]{0,4})")
-CACHED_PIECES = 600_000
+CACHED_PIECES = 800_000
 BATCH_BYTES = 1 << 22
+# Encoded at a time: the more, the fewer different pieces there are to look up for each text.
+ENCODED_BYTES = 1 << 23
 
 
 def _shown_bytes() -> dict[int, str]:
@@ -160,7 +162,7 @@ def encoded(batches: Iterable[pa.RecordBatch], path: str, end: int) -> Iterator[
     """Of batches (doc_id, text): ids of documents, all their token ids, the number of each."""
     enc = encoder(path)
     for batch in batches:
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, ENCODED_BYTES):
             yield part.column(0).to_pylist(), *enc.encode(part.column(1), end)
 
 
