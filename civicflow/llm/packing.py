@@ -18,7 +18,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.tokens import encoded
+from civicflow.llm.tokens import BATCH_BYTES, encoded
+
+# Less than the default: a packing task holds the ids of its batch as well.
+CACHED_PIECES = 400_000
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -122,7 +125,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, b
         held: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         size = 0
-        for doc_ids, ids, count in encoded(batches, tokenizer, end_id):
+        for doc_ids, ids, count in encoded(batches, tokenizer, end_id, BATCH_BYTES, CACHED_PIECES):
             keys += doc_ids
             held.append(ids)
             counts.append(count)

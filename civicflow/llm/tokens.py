@@ -64,10 +64,10 @@ class Encoder:
     """Ids of texts by a ``tokenizers`` file, as numbers of ``dtype``.
 
     Strings of special tokens in a text are ordinary text. The cache holds at most twice
-    ``CACHED_PIECES`` pieces.
+    ``cached`` pieces.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_PIECES):
         from tokenizers import Tokenizer
 
         self._plain = Tokenizer.from_file(path)
@@ -79,7 +79,7 @@ class Encoder:
         self._blank = self._plain.pre_tokenizer.pre_tokenize_str(" a")[0][0] != "a"
         self._model = self._plain.model
         self._marks = {"": b"", "\n": self._ids("\n")}
-        self._cache = _Cache(self._piece)
+        self._cache = _Cache(self._piece, cached)
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, each followed by ``end``, and the number of ids of each."""
@@ -153,16 +153,21 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int = CACHED_PIECES) -> Encoder:
     """One encoder per file and Python worker."""
-    return Encoder(path)
+    return Encoder(path, cached)
 
 
-def encoded(batches: Iterable[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """Of batches (doc_id, text): ids of documents, all their token ids, the number of each."""
-    enc = encoder(path)
+def encoded(
+    batches: Iterable[pa.RecordBatch], path: str, end: int, size: int = ENCODED_BYTES, cached: int = CACHED_PIECES
+) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Of batches (doc_id, text): ids of documents, all their token ids, the number of each.
+
+    ``size`` and ``cached`` trade memory for time.
+    """
+    enc = encoder(path, cached)
     for batch in batches:
-        for part in slices(batch, 1, ENCODED_BYTES):
+        for part in slices(batch, 1, size):
             yield part.column(0).to_pylist(), *enc.encode(part.column(1), end)
 
 
