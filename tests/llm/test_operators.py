@@ -336,6 +336,31 @@ def test_ppm_matches_a_plain_version(spark, docs):
     assert len(got) == len(rows)
 
 
+def test_ppm_keeps_all_contexts(spark, monkeypatch):
+    """More contexts than any one task takes, and texts of many pieces."""
+    monkeypatch.setattr(ppm, "TASK_GRAMS", 1 << 13)
+    monkeypatch.setattr(ppm.U, "units_for", lambda docs: 9)
+    chance = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789 "
+    texts = ["".join(chance.choices(letters, k=chance.randrange(3000))) for _ in range(40)]
+    # Seen once in training, so the first to go under a cap; long, so a cap shows in their scores.
+    texts += texts[1:4]
+    path = scratch_dir(spark, "contexts")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(path)
+    got = {r.doc_id: r.score for r in ppm.score(spark.read.parquet(path), F.col("doc_id") < 40).collect()}
+    by_hand = ppm_by_hand([t.encode() for t in texts[:40]], ppm.ORDER)
+    contexts = {t[max(0, at - k) : at] for t in texts for at in range(len(t)) for k in range(1, ppm.ORDER + 1)}
+    assert len(contexts) > 1 << 17 and len(got) == len(texts)
+    assert all(math.isclose(got[i], by_hand(t.encode()), rel_tol=1e-5) for i, t in enumerate(texts))
+
+
+def test_ppm_grams_do_not_depend_on_pieces(monkeypatch):
+    texts = [(t or "").encode() for t in TEXTS]
+    whole = np.concatenate(list(ppm._pieces(texts)))
+    monkeypatch.setattr(ppm, "PIECE", 7)
+    assert np.array_equal(whole, np.concatenate(list(ppm._pieces(texts))))
+
+
 def test_ppm_without_training_or_rows(docs, empty):
     rows = ppm.score(docs, F.lit(False)).collect()
     lengths = {i: len((t or "").encode()) for i, t in enumerate(TEXTS) if i != 20}
