@@ -40,8 +40,8 @@ class Shard:
     def _above(self, d: int, q: int, level: float) -> int:
         """How many postings of a dimension, from the query's best side, contribute ``level``."""
         if q > 0:
-            return int(np.searchsorted(self.rising[d], -np.ceil(level / q), "right"))
-        return len(self.ids) - int(np.searchsorted(self.rising[d], -np.floor(level / q), "left"))
+            return int(np.searchsorted(self.rising[d], level // -q, "right"))
+        return len(self.ids) - int(np.searchsorted(self.rising[d], -(level // q), "left"))
 
     def best(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best vectors other than ``own``, ties to the smaller id."""
@@ -51,21 +51,25 @@ class Shard:
             return self.ids[:0], self.ids[:0]
         dims = np.flatnonzero(query)
         n = len(self.ids)
-        largest = max((max(int(query[d] * self.impacts[d, 0]), int(query[d] * self.impacts[d, -1])) for d in dims), default=0)
+        # Both ends of every dimension, as Python's integers: products may leave 64 bits.
+        ends = [int(query[d]) * int(self.impacts[d, end]) for d in dims for end in (0, -1)]
+        largest = max(ends, default=0)
         done = np.zeros(len(query), np.int64)
-        # Sum of contributions, and how many of them, in one number.
-        held = np.zeros(n, np.int64)
+        # Sum of contributions, and how many of them.
+        held, count = np.zeros(n, np.int64), np.zeros(n, np.int64)
         possible = allowed
-        for share in LEVELS:
+        # Where a bound could leave 64 bits, all vectors are scored.
+        levels = LEVELS if max(map(abs, ends), default=0) * len(dims) < 1 << 61 else ()
+        for share in levels:
             level = int(np.ceil(largest * share)) if largest else 0
             for d in dims.tolist():
                 q, to = int(query[d]), self._above(d, int(query[d]), level)
                 if to > done[d]:
                     part = slice(done[d], to) if q > 0 else slice(n - to, n - done[d])
-                    held[self.postings[d, part]] += self.impacts[d, part] * (q << 20) + 1
+                    held[self.postings[d, part]] += self.impacts[d, part] * q
+                    count[self.postings[d, part]] += 1
                     done[d] = to
-            count = held & ((1 << 20) - 1)
-            bound = (held >> 20) + (len(dims) - count) * (level - 1)
+            bound = held + (len(dims) - count) * (level - 1)
             first = allowed[np.argpartition(-bound[allowed], k - 1)[:k]]
             least = (self.values[first] @ query).min()
             possible = allowed[bound[allowed] >= least]

@@ -213,6 +213,20 @@ def test_search_may_stop_early_and_stays_exact():
     assert shard.best(np.zeros(64, np.int64), 0, 3)[0].tolist() == [1, 2, 3]
 
 
+@pytest.mark.parametrize("scale", [1 << 17, 1 << 22, 1 << 27])
+def test_search_is_exact_for_large_components(scale):
+    """Scores of 2**43 and more, and such where the bounds would leave 64 bits."""
+    chance = np.random.default_rng(4)
+    values = np.floor(chance.normal(0, scale, (4000, 64))).astype(np.int64)
+    values[100:140] = values[99]
+    shard = topk.Shard(np.arange(4000), values)
+    for q in (0, 99, 1234):
+        ids, scores = shard.best(values[q], q, 5)
+        whole = [sum(a * b for a, b in zip(v, values[q].tolist())) for v in values.tolist()]
+        order = sorted((i for i in range(4000) if i != q), key=lambda i: (-whole[i], i))[:5]
+        assert ids.tolist() == order and scores.tolist() == [whole[i] for i in order]
+
+
 # --- near-duplicate vectors ------------------------------------------------------------
 
 
