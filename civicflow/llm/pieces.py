@@ -1,4 +1,4 @@
-"""SentencePiece encoding and decoding, with a max-plus parallel scan for giant documents.
+"""SentencePiece encoding and decoding, with max-plus matrices per chunk for giant documents.
 
 A BPE segmentation is the one sequence of pieces in which every piece, and every pair of neighbours,
 is its own segmentation. Finding it is a search for the path of the greatest weight where a pair
@@ -8,13 +8,15 @@ weight 0 is the result, and the search splits at any place:
 * A document longer than ``CHUNK`` characters is cut into chunks at fixed places. The state at a cut
   is the last piece that ends at or before it, and where it ends; the next piece ends behind it.
 * Each chunk gives the matrix of weights from every state at its left to every state at its right.
-* Matrices are combined from the left and from the right (max-plus products are associative). The
-  state at a cut is the one whose two sums are 0.
+* One task sweeps a set of states over all matrices of a document, from the left and then from the
+  right, one after the other; no two matrices are multiplied. The state at a cut is the one that
+  both sweeps reach.
 * With the states at both its ends known, each chunk is traced back alone.
 
 Inside a chunk, a path passes every place that no piece of the vocabulary crosses (in front of a
 blank behind a letter, for one). Between the first and the last of these places a chunk is encoded
-like a short text, by words that are cached; only the rest needs the search.
+like a short text, by words that are cached; only the rest needs the search. Decoding takes a
+document whole.
 
 Short documents are encoded where they are read. Results are those of the sentencepiece library.
 """
