@@ -126,6 +126,14 @@ class Terms:
         pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         return pairs // max(1, len(self.hashes)), pairs % max(1, len(self.hashes))
 
+    @property
+    def size(self) -> int:
+        return len(self.hashes)
+
+    def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, feature) of the classifier, by text; features are below ``size``."""
+        return self.present(texts)
+
     def votes(self, texts: list[bytes]) -> np.ndarray:
         """A bit for each voter that fires."""
         doc, term = self.present(texts)
@@ -147,6 +155,27 @@ class Terms:
         return votes
 
 
+class FixedTerms(Terms):
+    """The words of the fixed lexicon, and as features the patterns too."""
+
+    def __init__(self):
+        _, insults = word_hashes([INSULTS.encode()], between=_BETWEEN)
+        super().__init__(np.unique(mix(insults)), np.zeros(len(insults), np.int64))
+
+    @property
+    def size(self) -> int:
+        return len(self.hashes) + 2
+
+    def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        doc, term = self.present(texts)
+        votes = self.votes(texts)
+        for feature, voter in enumerate((SHOUTING, MARKS), len(self.hashes)):
+            fired = np.flatnonzero(votes >> voter & 1)
+            doc, term = np.append(doc, fired), np.append(term, np.full(len(fired), feature))
+        order = np.argsort(doc, kind="stable")
+        return doc[order], term[order]
+
+
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 
 
@@ -237,7 +266,7 @@ class Classifier:
     constant: float
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        doc, term = self.terms.present(texts)
+        doc, term = self.terms.features(texts)
         odds = np.bincount(doc, self.weights[term], len(texts)) + self.constant
         return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
@@ -245,7 +274,8 @@ class Classifier:
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
     """A classifier from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). Only rows selected
     by ``learn``, a condition on doc_id, are read. Labels other than 0 and 1 are left out; rows
-    with the same doc_id count once each. Without labels nothing is toxic."""
+    with the same doc_id count once each. Where toxic labels teach no term the fixed lexicon and the
+    patterns are the features; without toxic labels nothing is toxic."""
     docs = docs.select(F.col("doc_id").cast("long"), "text").where(learn)
     chosen = labels.select(F.col("doc_id").cast("long"), "toxic").where(learn & F.col("toxic").isin(0, 1))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
@@ -259,7 +289,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
     labelled = stored(labelled.select("text", "toxic"), "labelled")
     terms = learn_terms(labelled)
     if not len(terms.hashes):
-        return Classifier(terms, np.zeros(0), -10.0)
+        if labelled.where("toxic = 1").isEmpty():
+            return Classifier(terms, np.zeros(0), -10.0)
+        terms = FixedTerms()
 
     def vote(batches):
         for batch in batches:
@@ -284,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
         for batch in batches:
             for part in slices(batch, 0):
                 texts = _texts(part, 0)
-                doc, term = terms.present(texts)
+                doc, term = terms.features(texts)
                 lists = np.split(term, np.searchsorted(doc, np.arange(1, len(texts))))
                 columns = [pa.array(terms.votes(texts)), pa.array(lists, pa.list_(pa.int64())), part.column(1)]
                 yield pa.record_batch(columns, names=["votes", "terms", "given"])
@@ -294,7 +326,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
     fitted = docs.join(F.broadcast(ids), "doc_id").select("text", "given")
     rows = fitted.mapInArrow(present, "votes long, terms array<bigint>, given long").collect()
     soft = model.posterior(np.array([r.votes for r in rows], np.int64), np.array([r.given for r in rows]))
-    weights, constant = fit_linear([np.array(r.terms) for r in rows], soft, len(terms.hashes))
+    weights, constant = fit_linear([np.array(r.terms) for r in rows], soft, terms.size)
     return Classifier(terms, weights, constant)
 
 

@@ -113,6 +113,18 @@ def test_toxicity_scores_odd_rows_and_survives_missing_labels(spark, docs, empty
     assert toxicity.score(empty, toxicity.train(empty, labels, F.lit(True))).count() == 0
 
 
+def test_toxicity_with_too_few_toxic_labels_for_terms(spark):
+    chance = random.Random(6)
+    plain = [" ".join(chance.choice(TEXTS[10].split()) for _ in range(40)) for _ in range(300)]
+    texts = [t + (" you pathetic idiot !!" if i % 10 == 0 else "") for i, t in enumerate(plain)]
+    path = scratch_dir(spark, "few-labels")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(35)], "doc_id long, toxic int")
+    docs = spark.read.parquet(path)
+    rows = toxicity.score(docs, toxicity.train(docs, labels, F.lit(True))).collect()
+    assert {r.doc_id for r in rows if r.predicted} == set(range(0, 300, 10))
+
+
 def test_label_model_recovers_voters():
     chance = np.random.default_rng(1)
     toxic = chance.random(20000) < 0.1
