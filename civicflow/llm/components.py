@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.session import scratch_dir
+from civicflow.sources.tables import delete_path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read again: later plans start from the files."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing that is still to run reads it."""
+    delete_path(table.sparkSession, table.stored_at)
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -100,10 +100,147 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes, sha1(html) as pay
 from held
 """
 
+
+
+def _coded(entries: int = 64, parts: int = 16, rounds: int = 2) -> str:
+    """Assignment and averaging written out, round by round; the least distance and, of equal ones,
+    the lowest entry as one number."""
+
+    def assigned(k: int) -> str:
+        gap = "list_transform(list_zip(x, c), lambda g: (g[1] - g[2]) * (g[1] - g[2]))"
+        return f"""
+a{k} as materialized (
+  select vec_id, part, any_value(x) as x, min(cast(list_sum({gap}) as bigint) * {entries} + entry) as best
+  from parts join b{k} using (part) group by vec_id, part
+)"""
+
+    def averaged(k: int) -> str:
+        return f"""
+b{k + 1} as materialized (
+  select part, entry, coalesce(any_value(u.c), any_value(b{k}.c)) as c
+  from b{k} left join (
+    select part, entry, list(mean order by pos) as c
+    from (
+      select part, best % {entries} as entry, pos, cast(floor(cast(sum(x[pos]) as double) / count(*)) as bigint) as mean
+      from (select part, best, x, unnest(range(1, len(x) + 1)) as pos from a{k}) group by 1, 2, 3
+    ) group by 1, 2
+  ) u using (part, entry) group by part, entry
+)"""
+
+    steps = [step for k in range(rounds) for step in (assigned(k), averaged(k))] + [assigned(rounds)]
+    return f"""
+with v as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as materialized (
+  select vec_id, part, e[part * len(e) // {parts} + 1 : (part + 1) * len(e) // {parts}] as x
+  from (select vec_id, e, unnest(range({parts})) as part from v)
+),
+b0 as materialized (
+  select part, entry, x as c
+  from parts join (select vec_id, row_number() over (order by vec_id) - 1 as entry from v qualify entry < {entries}) using (vec_id)
+),{",".join(steps)},
+coded as (
+  select vec_id, string_agg(printf('%02x', best % {entries}), '' order by part) as code, cast(sum(best // {entries}) as bigint) as error
+  from a{rounds} group by vec_id
+),
+books as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as codebooks_sha256 from b{rounds})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded join v using (vec_id) cross join books
+"""
+
+
+OP11 = _coded()
+
+ITEM_WORDS = "regexp_extract_all(" + LOWER + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP12 = f"""
+with d as materialized (select row_number() over () as r, doc_id, coalesce({ITEM_WORDS}, []) as w from documents),
+tested as materialized (
+  select item_id, size, array_to_string(w[i : i + size - 1], ' ') as tested
+  from (
+    select item_id, w, size, unnest(range(1, len(w) - size + 2)) as i
+    from (select item_id, w, least(len(w), 10) as size from (select item_id, coalesce({ITEM_WORDS}, []) as w from benchmark) where len(w) > 0)
+  )
+),
+windows as (
+  select r, size, i, array_to_string(w[i : i + size - 1], ' ') as found
+  from (select r, w, size, unnest(range(1, len(w) - size + 2)) as i from d cross join (select distinct size from tested))
+),
+hits as materialized (select distinct r, i, windows.size, item_id from windows join tested on found = tested and windows.size = tested.size),
+covered as (select r, count(distinct place) as n from (select r, unnest(range(i, i + size)) as place from hits) group by r),
+named as (
+  select r, count(*) as n, string_agg(item, ',' order by item) as items
+  from (select distinct r, cast(item_id as varchar) as item from hits where item_id is not null) group by r
+)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(covered.n, 0) as bigint) as n_hit,
+  cast(coalesce(named.n, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(covered.n, 0) > 0 as contaminated
+from d left join covered using (r) left join named using (r)
+"""
+
+# The checksum is written out by its rule: a table of 256 entries from eight halvings each, then one
+# look-up a byte. Letters beyond ASCII have two bytes.
+OP13 = f"""
+with crc as materialized (
+  select list(v order by i) as t
+  from (
+    select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, k: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end) as v
+    from (select unnest(range(256)) as i)
+  )
+),
+occurring as materialized (
+  select coalesce(cast(doc_id as varchar), '') as d, run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all({LOWER}, '[A-Za-zÀ-ÿ]+')) as run from documents)
+  group by 1, 2
+),
+hashed as (
+  select run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+      list_transform(string_split(d || ':' || run, ''), lambda c: cast(unicode(c) as bigint)),
+      lambda u: case when u < 128 then [u] else [192 + (u >> 6), 128 + (u & 63)] end))),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) as h
+  from occurring cross join crc
+),
+vocabulary as materialized (
+  select word, cast(sum(n) as bigint) as n
+  from (select n, case when h % 97 = 0 then left(run, h % length(run)) || substring(run, h % length(run) + 2) else run end as word from hashed)
+  where length(word) >= 5 group by word having sum(n) >= 3
+),
+shortened as materialized (
+  select word, length(word) as size, i, left(word, i) || substring(word, i + 2) as rest
+  from (select word, unnest(range(length(word))) as i from vocabulary)
+),
+pairs as (
+  select s.word as a, v.word as b from shortened s join vocabulary v on v.word = s.rest
+  union select v.word, s.word from shortened s join vocabulary v on v.word = s.rest
+  union select x.word, y.word from shortened x join shortened y on x.rest = y.rest and x.i = y.i and x.size = y.size and x.word <> y.word
+),
+near as materialized (
+  select a as word, any_value(x.n) as n, count(*) as n_near, arg_min(b, (-y.n, b)) as form, max(y.n) as form_n
+  from pairs join vocabulary x on x.word = a join vocabulary y on y.word = b group by a
+),
+formed as materialized (
+  select word, n_near, case when form_n >= 2 * n then form end as form, case when form_n >= 2 * n then form_n end as form_n from near
+),
+chains as (
+  with recursive steps(word, root, step) as (
+    select word, form, 1 from formed where form is not null
+    union all select steps.word, f.form, step + 1 from steps join formed f on f.word = steps.root where f.form is not null
+  )
+  select word, arg_max(root, step) as root from steps group by word
+)
+select v.word, v.n, cast(coalesce(n_near, 0) as bigint) as n_near, form, form_n, coalesce(root, v.word) as root
+from vocabulary v left join formed using (word) left join chains using (word)
+"""
+
 ORACLE = {
     "op2_substring_dedup": OP2,
     "op3_topk": OP3,
     "op4_near_vectors": OP4,
     "op9_near_dup": OP9,
     "op10_warc": OP10,
+    "op11_vector_codes": OP11,
+    "op12_decontamination": OP12,
+    "op13_spelling": OP13,
 }

@@ -11,7 +11,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicflow.llm import near_dup, near_vectors, packing, pieces, ppm, substring_dedup, token_files, topk, toxicity, warc
+from civicflow.llm import (
+    decontamination,
+    near_dup,
+    near_vectors,
+    packing,
+    pieces,
+    ppm,
+    spelling,
+    substring_dedup,
+    token_files,
+    topk,
+    toxicity,
+    vector_codes,
+    warc,
+)
 from civicflow.llm.oracle import ORACLE
 from civicflow.session import scratch_dir
 
@@ -112,6 +126,34 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(codes).select(
+        "vec_id",
+        F.lower(F.hex("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books and books.digest()).cast("string").alias("codebooks_sha256"),
+    )
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = spelling.count_words(table(spark, sf_dir, "documents"), spelling.misspell)
+    return spelling.variants(vocabulary)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

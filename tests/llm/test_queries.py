@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from civicflow.llm import near_dup, oracle, queries, stages, toxicity
 
-TABLES = "documents embeddings pages labels".split()
+TABLES = "documents embeddings pages labels benchmark".split()
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def duck():
 
 def test_every_operator_is_registered():
     numbers = {re.match(r"op(\d+)_", name)[1] for name in queries.registered()}
-    assert numbers == {str(n) for n in range(1, 11)}
+    assert numbers == {str(n) for n in range(1, 14)}
     assert {*queries.registered(), "pipeline"} <= set(entry.queries())
 
 
