@@ -85,8 +85,8 @@ def whole_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def _seeds(whole: DataFrame, parts: int, entries: int) -> np.ndarray | None:
-    """The first codebooks: the parts of the first vectors by id (then by components); those of
-    another length than the first do not count."""
+    """The first codebooks: the parts of the first vectors by id (equal ids in the order of their
+    stored bytes); those of another length than the first do not count."""
     size = whole.where("octet_length(ints) > 0").orderBy(F.col("vec_id").asc_nulls_last(), "ints").select(F.octet_length("ints")).first()
     if size is None or size[0] // 8 % parts:
         return None
@@ -266,8 +266,7 @@ def compress(
     (a byte a part, two for more than 256 entries; None below), error (squared distance of the
     integers to what the codes stand for). Vectors of another length than that of the smallest
     vec_id, those with integers beyond 2**24, and all if the length is no multiple of ``parts`` keep
-    their row, with null codes and error. Equal vec_ids are rows of their own; among the first
-    vectors they are ordered by their components. Fewer vectors than ``entries`` give as many
+    their row, with null codes and error. Equal vec_ids are rows of their own. Fewer vectors than ``entries`` give as many
     entries. Without any vector that can be coded there are no codebooks.
     """
     whole = whole_vectors(vectors)
