@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicflow.functions import numbers, text, time
+from civicflow.session import shuffle_partitions
 
-# Surrogate keys are handed out per bucket of the natural key's hash, see assign_keys.
-KEY_BUCKETS = 256
 _JOINED_BY = "\u0001"
 
 
@@ -36,28 +35,27 @@ def with_new(existing: DataFrame | None, fresh: DataFrame) -> DataFrame:
 
 
 def assign_keys(
-    members: DataFrame,
-    key: str,
-    natural: Sequence[str],
-    base: Column | None = None,
-    buckets: int = KEY_BUCKETS,
+    members: DataFrame, key: str, natural: Sequence[str], base: Column | None = None, ranges: int | None = None
 ) -> DataFrame:
-    """Number distinct members above ``base`` without putting them all in one task.
+    """Number distinct members densely from ``base`` + 1 on, without putting them all in one task.
 
-    A member's hash bucket fixes its residue modulo ``buckets`` and its rank inside the
-    bucket the multiple, so keys are unique and repeatable; like a database sequence
-    they may leave gaps.
+    The order is that of a digest of the natural key. Members are dealt to equal ranges of the
+    digest (default: as many as a shuffle starts with); a member's key is the number of members in
+    the ranges before its own, plus its rank inside. So keys do not depend on the number of ranges.
     """
     base = base if base is not None else F.lit(0)
+    ranges = ranges or shuffle_partitions(members.sparkSession)
     digest = F.md5(F.concat_ws(_JOINED_BY, *natural))
-    bucket = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % buckets
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural))
-    numbered = (
-        members.withColumn("_bucket", bucket)
-        .withColumn("_rank", rank)
-        .withColumn(key, (base + (F.col("_rank") - 1) * buckets + F.col("_bucket") + 1).cast("int"))
-    )
-    return numbered.drop("_bucket", "_rank")
+    first = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("long")
+    dealt = members.withColumn("_digest", digest).withColumn("_range", F.floor(first * ranges / 2**32).cast("int"))
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range.
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy("_digest", *natural))
+    numbered = dealt.withColumn("_rank", rank).join(starts, "_range")
+    number = (base + F.col("_start") + F.col("_rank")).cast("int")
+    return numbered.withColumn(key, number).drop("_digest", "_range", "_rank", "_start")
 
 
 def named_members(batch: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -1,20 +1,31 @@
-"""Load a clean batch into the star schema as a new published version."""
+"""Load a clean batch into the star schema as a new published version.
+
+Every table is a list of parts, as the commit log names them. A load writes new parts and says which
+ones they replace; what it costs follows the batch and the parts that hold its cases. Those are found
+by key range and key sketch, then by the keys themselves, of which none are exchanged.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow import contracts
-from civicflow.operators import dimensions, facts
-from civicflow.session import configure, sized_shuffles
+from civicflow.operators import dimensions, facts, key_sketch
+from civicflow.session import PARTITION_BYTES, configure, sized_shuffles
 from civicflow.sources import snapshots, tables
+from civicflow.sources.snapshots import Part, State
 
 # Rows in a shuffle against the Parquet files they come from.
 EXPANSION = 4.0
+# Parts below half the target size are small; so many of a table become one.
+SMALL_PARTS = 8
 
 DIMENSIONS = {
     "dim_agency": dimensions.new_agencies,
@@ -22,7 +33,9 @@ DIMENSIONS = {
     "dim_neighborhood": dimensions.new_neighborhoods,
     "dim_date": dimensions.new_dates,
 }
-STAGED = "_staged"
+KEYED = {facts.FACT: "object_id"}
+QUARANTINE = "quarantined_requests"
+STAGED, SKETCHES = "_staged", "_sketches"
 
 
 class BatchKeyError(ValueError):
@@ -38,138 +51,234 @@ def load_star(
     loaded_at: datetime | None = None,
     keep_versions: int | None = None,
     runs: Sequence[str] = (),
+    quarantined: DataFrame | None = None,
+    part_bytes: int = PARTITION_BYTES,
 ) -> int:
     """Merge ``batch`` (clean cases, keys unique) and return the version that holds it.
 
     ``batch`` should be a stored table: the dimensions and the fact each read the columns
     they need. A ``batch_id`` that was already committed is not loaded again. ``runs`` are
-    the landed runs the batch comes from; the commit names them.
-
-    A load writes what it changes: new members of each dimension, and those months of the
-    fact that hold a case of the batch. Months are found by a scan of the stored keys; the
-    others are neither read whole nor written. Repeated or missing keys and missing creation
-    times are refused before anything is committed. With ``keep_versions`` parts that no kept
-    version shows are deleted after the commit.
+    the landed runs the batch comes from; the commit names them. ``quarantined`` rows are appended
+    to the table of that name under their ``batch_id`` by the same commit; no load replaces them.
+
+    A load writes what it changes: new members of each dimension, and those parts of the fact
+    that hold a case of the batch. A part is a range of months and, of a large month, of keys, of
+    about ``part_bytes``; other parts are neither read whole nor written. Small parts of a table
+    become one when there are SMALL_PARTS of them. Repeated or missing keys and missing creation
+    times are refused before anything is committed, and so is a version that another load commits
+    first. With ``keep_versions`` files that no kept version shows are deleted after the commit.
     """
     configure(spark)
-    previous, done = snapshots.progress(spark, root, batch_id)
-    if done is not None:
-        return done
-    version = previous + 1
-    with sized_shuffles(batch, EXPANSION):
-        months = _write_version(spark, batch, root, previous, loaded_at)
-    snapshots.commit(spark, root, version, batch_id, runs, months)
-    tables.delete_path(spark, snapshots.version_path(root, version, STAGED))
+    held = snapshots.version_of(spark, root, batch_id)
+    if held is not None:
+        return held
+    before = snapshots.state(spark, root)
+    version = before.version + 1
+    folder = snapshots.new_folder(version)
+    try:
+        with sized_shuffles(batch, EXPANSION):
+            members, compacted = _write_dimensions(spark, batch, root, before, folder)
+            added, removed = _write_facts(spark, batch, root, before, members, folder, loaded_at, part_bytes)
+            if quarantined is not None:
+                added += _write_quarantine(spark, quarantined, root, folder, batch_id)
+        tables.delete_path(spark, f"{root}/{folder}/{STAGED}")
+        added += [part for parts in members.values() for part in parts if part.path not in before.parts]
+        snapshots.commit(spark, root, version, batch_id, runs, added, [*removed, *compacted])
+    except Exception:
+        tables.delete_path(spark, f"{root}/{folder}")
+        raise
     if keep_versions is not None:
         expire(spark, root, keep_versions)
     return version
 
 
-def _write_version(
-    spark: SparkSession, batch: DataFrame, root: str, previous: int, loaded_at: datetime | None
-) -> list[int]:
-    """Write what follows version ``previous`` (0: none) under the next number; the months of it."""
-    version = previous + 1
-    for table, build in DIMENSIONS.items():
-        existing = read_table(spark, root, table, previous) if previous else None
-        path = snapshots.version_path(root, version, table)
-        build(batch, existing).write.mode("overwrite").parquet(path)
-    whole = {table: _dimension(spark, root, table, version) for table in DIMENSIONS}
-    stamp = F.lit(loaded_at or datetime.now(timezone.utc))
-    offered = facts.stage_facts(
-        batch, whole["dim_agency"], whole["dim_service_type"], whole["dim_neighborhood"], stamp
-    )
+def _read_parts(spark: SparkSession, root: str, table: str, parts: Sequence[Part]) -> DataFrame:
+    columns = contracts.ddl(contracts.STAR_TABLES[table])
+    if not parts:
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).parquet(*(f"{root}/{part.path}" for part in parts))
+
+
+def _written(spark: SparkSession, root: str, table: str, path: str) -> list[Part]:
+    """The files of a table written at ``path``, as parts; files without rows are none."""
+    file, key = F.col("_metadata"), KEYED.get(table)
+    limits = [F.min(key).alias("low"), F.max(key).alias("high")] if key else []
+    found = spark.read.schema(contracts.ddl(contracts.STAR_TABLES[table])).parquet(f"{root}/{path}")
+    files = found.groupBy(file["file_name"].alias("name"), file["file_size"].alias("bytes"))
+    parts = [
+        Part(table, f"{path}/{row['name']}", row["rows"], row["bytes"], *((row["low"], row["high"]) if key else ()))
+        for row in files.agg(F.count(F.lit(1)).alias("rows"), *limits).collect()
+    ]
+    return sorted(parts, key=lambda part: part.path)
+
+
+def _small(parts: Sequence[Part], part_bytes: int) -> list[Part]:
+    """Parts to be merged: all small ones once there are enough of them."""
+    small = [part for part in parts if part.bytes < part_bytes / 2]
+    return small if len(small) >= SMALL_PARTS else []
+
+
+def _write_dimensions(
+    spark: SparkSession, batch: DataFrame, root: str, before: State, folder: str
+) -> tuple[dict[str, list[Part]], list[str]]:
+    """All parts of each dimension once the batch's members are in, and the paths of those that
+    were merged. The dimensions are written at the same time; none is large and none needs another."""
+
+    def write(table: str, build: Callable) -> tuple[str, list[Part], list[str]]:
+        held = before.of(table)
+        existing = _read_parts(spark, root, table, held) if held else None
+        seen = Observation()
+        build(batch, existing).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{root}/{folder}/{table}")
+        fresh = _written(spark, root, table, f"{folder}/{table}") if seen.get["rows"] else []
+        merged = _small([*held, *fresh], PARTITION_BYTES) if fresh else []
+        if not merged:
+            return table, [*held, *fresh], []
+        together = _read_parts(spark, root, table, merged)
+        _sized(together, sum(part.bytes for part in merged)).write.parquet(f"{root}/{folder}/{table}-merged")
+        kept = [part for part in [*held, *fresh] if part not in merged]
+        return table, [*kept, *_written(spark, root, table, f"{folder}/{table}-merged")], [p.path for p in merged if p in held]
+
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(lambda item: write(*item)), DIMENSIONS.items()))
+    return {table: parts for table, parts, _ in found}, [path for _, _, paths in found for path in paths]
+
+
+def _sized(rows: DataFrame, size: int, *order: str, part_bytes: int = PARTITION_BYTES) -> DataFrame:
+    """``rows`` dealt to files of about ``part_bytes``, by ranges of ``order`` if there is any."""
+    files = math.ceil(size / part_bytes)
+    if files <= 1:
+        return rows.repartition(1)
+    return rows.repartitionByRange(files, *order) if order else rows.repartition(files)
 
-    # A known case stays in its month, whatever the batch says about its creation.
-    parts = snapshots.live_parts(spark, root, previous) if previous else {}
+
+def _write_facts(
+    spark: SparkSession,
+    batch: DataFrame,
+    root: str,
+    before: State,
+    members: dict[str, list[Part]],
+    folder: str,
+    loaded_at: datetime | None,
+    part_bytes: int,
+) -> tuple[list[Part], list[str]]:
+    """New parts of the fact, and the paths of those they replace."""
+    stamp = F.lit(loaded_at or datetime.now(timezone.utc))
+    whole = [_read_parts(spark, root, t, members[t]) for t in ("dim_agency", "dim_service_type", "dim_neighborhood")]
+    staging = f"{root}/{folder}/{STAGED}"
+    facts.stage_facts(batch, *whole, stamp).write.parquet(staging)
+    staged = spark.read.schema(contracts.ddl(contracts.STAR_TABLES[facts.FACT])).parquet(staging)
+    rows, low, high = _checked(staged)
+    if not rows:
+        return [], []
+
+    held = before.of(facts.FACT)
+    touched = touched_parts(spark, root, [p for p in held if p.high >= low and p.low <= high], staged, rows)
+    replaced = touched + [part for part in _small(held, part_bytes) if part not in touched]
+    merged = facts.merge_facts(_read_parts(spark, root, facts.FACT, replaced) if replaced else None, staged)
+    size = tables.stored_bytes(spark, staging) + sum(part.bytes for part in replaced)
     month = facts.created_month(F.col("created_at"))
-    if parts:
-        known = _fact(spark, root, parts).select("object_id", month.alias("_held_month"))
-        offered = offered.join(known, "object_id", "left")
-        month = F.coalesce("_held_month", month)
-    path = snapshots.version_path(root, version, STAGED)
-    offered.withColumn(facts.MONTH, month).select(*facts.FACT_COLUMNS, facts.MONTH).write.mode("overwrite").parquet(path)
-    columns = [*contracts.STAR_TABLES[facts.FACT], (facts.MONTH, "int")]
-    staged = spark.read.schema(contracts.ddl(columns)).parquet(path)
-    months = _checked_months(staged)
-
-    current = _fact(spark, root, {m: v for m, v in parts.items() if m in months}) if parts else None
-    merged = facts.merge_facts(current, staged).withColumn(facts.MONTH, facts.created_month(F.col("created_at")))
-    path = snapshots.version_path(root, version, facts.FACT)
-    merged.hint("rebalance", F.col(facts.MONTH)).write.mode("overwrite").partitionBy(facts.MONTH).parquet(path)
-    return months
-
-
-def _checked_months(staged: DataFrame) -> list[int]:
-    """Months of a staged batch whose keys are unique and whose columns are there."""
-    totals = staged.agg(
+    ranged = _sized(merged.withColumn(facts.MONTH, month), size, facts.MONTH, "object_id", part_bytes=part_bytes)
+    path = f"{folder}/{facts.FACT}"
+    ranged.sortWithinPartitions(facts.MONTH, "object_id").drop(facts.MONTH).write.parquet(f"{root}/{path}")
+    added = _write_sketches(spark, root, folder, _written(spark, root, facts.FACT, path))
+    return added, [part.path for part in replaced]
+
+
+def _checked(staged: DataFrame) -> tuple[int, int, int]:
+    """Rows, smallest and largest key of a staged batch whose keys are unique and whose columns are
+    there."""
+    rows, keys, no_key, no_time, low, high = staged.agg(
         F.count(F.lit(1)), F.count_distinct("object_id"), F.count_if(F.col("object_id").isNull()),
-        F.count_if(F.col("created_at").isNull()), F.collect_set(facts.MONTH),
-    ).first()
-    rows, keys, no_key, no_time, months = totals
+        F.count_if(F.col("created_at").isNull()), F.min("object_id"), F.max("object_id"),
+    ).first()
     problems = [
-        text
+        f"{number} rows {text}"
         for number, text in (
             (rows - no_key - keys, "repeat a key"),
             (no_key, "have no key"),
             (no_time, "have no creation time"),
         )
         if number
-        for text in [f"{number} rows {text}"]
     ]
     if problems:
         raise BatchKeyError("; ".join(problems))
-    return sorted(months)
+    return rows, low, high
 
 
-def _dimension(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
-    """All members up to a version, committed or just being written."""
-    columns = contracts.STAR_TABLES[table]
-    stored = spark.read.schema(contracts.ddl([*columns, ("v", "int")])).option("basePath", root)
-    return stored.parquet(f"{root}/v=*/{table}").where(F.col("v") <= version).select(*contracts.names(columns))
+def known_cases(known: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``known`` (key and others) whose key is one of ``keys``: the stored keys stay where
+    they are read, as long as the batch is small enough to be sent to them."""
+    return known.join(keys, "key", "left_semi")
 
 
-def _fact(spark: SparkSession, root: str, parts: dict[int, int]) -> DataFrame:
-    """The given months of the fact, each from the version that holds it."""
-    columns = contracts.ddl(contracts.STAR_TABLES[facts.FACT])
+def touched_parts(
+    spark: SparkSession, root: str, parts: Sequence[Part], staged: DataFrame, rows: int
+) -> list[Part]:
+    """Those of ``parts`` that hold a key of ``staged``, which has so many ``rows``.
+
+    A probe of the sketches looks at each key in each part. It comes first where that is less than
+    the keys of the parts themselves, which are read in the parts that may hold one.
+    """
+    keys = staged.select(F.col("object_id").alias("key"))
+    by_path = {part.path: part for part in parts}
+    if by_path and rows * len(by_path) <= sum(part.rows for part in parts):
+        folders = {path.rsplit("/", 2)[0] for path in by_path}
+        sketch = spark.read.schema("part string, buckets int, bucket int, bits binary").parquet(
+            *(f"{root}/{folder}/{SKETCHES}" for folder in sorted(folders))
+        )
+        found = key_sketch.parts_that_may_hold(sketch, keys, sorted({part.buckets for part in parts})).collect()
+        by_path = {row["part"]: by_path[row["part"]] for row in found if row["part"] in by_path}
+    if not by_path:
+        return []
+    stored = _read_parts(spark, root, facts.FACT, list(by_path.values()))
+    named = stored.select(F.col("object_id").alias("key"), F.col("_metadata.file_name").alias("file"))
+    names = {row["file"] for row in known_cases(named, keys).select("file").distinct().collect()}
+    return [part for path, part in sorted(by_path.items()) if path.rsplit("/", 1)[1] in names]
+
+
+def _write_sketches(spark: SparkSession, root: str, folder: str, parts: list[Part]) -> list[Part]:
+    """The parts, with sketches of their keys beside them."""
+    buckets = key_sketch.buckets_for(max(part.rows for part in parts))
+    stored = _read_parts(spark, root, facts.FACT, parts)
+    place = F.concat(F.lit(f"{folder}/{facts.FACT}/"), F.col("_metadata.file_name"))
+    keys = stored.select(place.alias("part"), F.col("object_id").alias("key"))
+    key_sketch.sketches(keys, buckets).sortWithinPartitions("bucket").write.parquet(f"{root}/{folder}/{SKETCHES}")
+    return [Part(p.table, p.path, p.rows, p.bytes, p.low, p.high, buckets) for p in parts]
+
+
+def _write_quarantine(
+    spark: SparkSession, quarantined: DataFrame, root: str, folder: str, batch_id: str
+) -> list[Part]:
+    """The batch's rows that were set apart, as a part of their own; none if there are none."""
+    path = f"{folder}/{QUARANTINE}"
+    quarantined.withColumn("batch_id", F.lit(batch_id)).write.parquet(f"{root}/{path}")
+    rows = spark.read.parquet(f"{root}/{path}").count()
+    return [Part(QUARANTINE, path, rows, tables.stored_bytes(spark, f"{root}/{path}"))] if rows else []
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame | None:
+    """All rows that committed batches set apart, with ``problems`` and their ``batch_id``; ``None``
+    while there are none."""
+    parts = snapshots.state(spark, root).of(QUARANTINE)
     if not parts:
-        return spark.createDataFrame([], columns)
-    paths = [f"{snapshots.version_path(root, v, facts.FACT)}/{facts.MONTH}={m}" for m, v in sorted(parts.items())]
-    return spark.read.schema(columns).parquet(*paths)
+        return None
+    return spark.read.option("mergeSchema", True).parquet(*(f"{root}/{part.path}" for part in parts))
 
 
 def read_table(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
     """A star table of the given (default: newest) version."""
-    if version is None:
-        version = snapshots.current_version(spark, root)
-    if version == 0:
-        return spark.createDataFrame([], contracts.ddl(contracts.STAR_TABLES[table]))
-    if table == facts.FACT:
-        return _fact(spark, root, snapshots.live_parts(spark, root, version))
-    return _dimension(spark, root, table, version)
+    return _read_parts(spark, root, table, snapshots.state(spark, root, version).of(table))
 
 
 def expire(spark: SparkSession, root: str, keep: int) -> list[str]:
-    """Delete the parts of the fact that none of the newest ``keep`` versions shows."""
-    if keep < 1:
-        raise ValueError("at least the current version has to stay")
-    log = snapshots.commits(spark, root)
-    oldest = log.select("version").distinct().orderBy(F.desc("version")).limit(keep).agg(F.min("version")).first()[0]
-    if oldest is None:
-        return []
-    live = snapshots.live_parts(spark, root, oldest)
-    past = log.where(F.col("version") <= oldest).select("version", F.explode("parts").alias("part")).collect()
-    gone = [
-        f"{snapshots.version_path(root, row['version'], facts.FACT)}/{facts.MONTH}={row['part']}"
-        for row in past
-        if row["version"] < live[row["part"]]
-    ]
-    return [path for path in gone if tables.delete_path(spark, path)]
+    """Delete what none of the newest ``keep`` versions shows."""
+    return snapshots.expire(spark, root, keep)
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    version = snapshots.current_version(spark, root)
-    return {table: read_table(spark, root, table, version) for table in contracts.STAR_TABLES}
+    """All tables of the newest version; the log is read once."""
+    state = snapshots.state(spark, root)
+    return {table: _read_parts(spark, root, table, state.of(table)) for table in contracts.STAR_TABLES}
 
 
 def load_report(spark: SparkSession, root: str, batch: DataFrame, version: int) -> DataFrame:
@@ -185,11 +294,11 @@ def load_report(spark: SparkSession, root: str, batch: DataFrame, version: int)
         ).alias("r")
     )
 
-    def rows(table: str, at: int) -> Column:
-        return read_table(spark, root, table, at).agg(F.count(F.lit(1))).scalar()
+    def rows(table: str, at: int) -> int:
+        return sum(part.rows for part in snapshots.state(spark, root, at).of(table))
 
     inserted = F.lit(None).cast("long")
     for table in contracts.LOAD_COUNTS:
         gained = rows(table, version) - rows(table, version - 1)
-        inserted = F.when(F.col("table_name") == table, gained).otherwise(inserted)
+        inserted = F.when(F.col("table_name") == table, F.lit(gained).cast("long")).otherwise(inserted)
     return attempted.select("r.*").withColumn("inserted", inserted)

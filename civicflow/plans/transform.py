@@ -106,8 +106,10 @@ def transform(
     paths = None if directories is None else [f"{raw_root}/{d}" for d in directories]
     if not any(landing.has_files(spark, p) for p in (paths if paths is not None else [raw_root])):
         return None
-    version = snapshots.current_version(spark, out_root) + 1
-    path = snapshots.version_path(out_root, version, REQUESTS)
+    before = snapshots.state(spark, out_root)
+    version = before.version + 1
+    folder = snapshots.new_folder(version)
+    path = f"{out_root}/{folder}/{REQUESTS}"
     staged = stage_clean(landing.read_landed(spark, raw_root, row_id=True, paths=paths), path, landing.ROW_ID)
 
     # The runs' manifests know how many rows they landed; only runs without one are read again.
@@ -124,7 +126,8 @@ def transform(
         tables.delete_path(spark, path)
         return None
     quality.require_pass(result)
-    snapshots.commit(spark, out_root, version, batch_id)
+    part = snapshots.Part(REQUESTS, f"{folder}/{REQUESTS}", int(result.measures["staged_rows"]), tables.stored_bytes(spark, path))
+    snapshots.commit(spark, out_root, version, batch_id, added=[part], removed=[p.path for p in before.of(REQUESTS)])
     if keep_versions is not None:
         snapshots.expire(spark, out_root, keep_versions)
 
@@ -150,9 +153,7 @@ _SUMMARY_FIGURES = {"raw_rows", "staged_rows", "internal_flagged", "invalid_coor
 
 def read_clean(spark: SparkSession, out_root: str) -> DataFrame:
     """The published clean cases."""
-    version = snapshots.current_version(spark, out_root)
-    path = snapshots.version_path(out_root, version, REQUESTS)
-    return accepted_rows(spark, path)
+    return accepted_rows(spark, snapshots.table_path(spark, out_root, REQUESTS))
 
 
 def accepted_rows(spark: SparkSession, path: str) -> DataFrame:

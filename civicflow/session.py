@@ -50,6 +50,11 @@ def partitions_for(df: DataFrame, expansion: float = 1.0, partition_bytes: int |
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle starts with."""
+    return int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @contextlib.contextmanager
 def sized_shuffles(df: DataFrame, expansion: float = 1.0) -> Iterator[None]:
     """Let shuffles of the enclosed jobs start with enough partitions for ``df``.

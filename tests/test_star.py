@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -9,9 +10,10 @@ from conftest import executed_plan
 from pyspark.sql import functions as F
 
 from civicflow import contracts
-from civicflow.operators import clean, dimensions, facts
+from civicflow.operators import clean, dimensions, facts, key_sketch
 from civicflow.plans import load
 from civicflow.sources import snapshots
+from civicflow.sources.tables import create_exclusively
 
 DAY = 86_400_000
 START = 1_710_000_000_000
@@ -45,7 +47,11 @@ def test_keys_are_unique_positive_and_repeatable(spark):
     first = keyed(dimensions.assign_keys(members, "k", ["name"]), "k", "name")
     again = keyed(dimensions.assign_keys(members.orderBy(F.rand()), "k", ["name"]), "k", "name")
     assert first == again
-    assert len(set(first.values())) == 5000 and min(first.values()) > 0
+    assert sorted(first.values()) == list(range(1, 5001))
+    for ranges in (1, 3, 700):
+        assert keyed(dimensions.assign_keys(members, "k", ["name"], ranges=ranges), "k", "name") == first
+    above = keyed(dimensions.assign_keys(members, "k", ["name"], F.lit(70), 9), "k", "name")
+    assert above == {name: number + 70 for name, number in first.items()}
 
 
 def test_known_members_keep_keys_and_attributes(batch):
@@ -119,14 +125,17 @@ def warehouse(spark, batch, tmp_path):
     """Load batches into one warehouse; rows of the fact by key come back."""
     root = str(tmp_path / "star")
 
-    def run(name, stamp, *changes):
+    def load_only(name, stamp, *changes):
         path = str(tmp_path / f"batch-{name}")
         batch(*changes).write.mode("overwrite").parquet(path)
-        version = load.load_star(spark, spark.read.parquet(path), root, batch_id=name, loaded_at=stamp)
+        return load.load_star(spark, spark.read.parquet(path), root, batch_id=name, loaded_at=stamp, **run.options)
+
+    def run(name, stamp, *changes):
+        version = load_only(name, stamp, *changes)
         fact = load.read_table(spark, root, "fact_service_request")
         return version, {r["object_id"]: r for r in fact.collect()}
 
-    run.root = root
+    run.root, run.load, run.options = root, load_only, {}
     return run
 
 
@@ -164,14 +173,16 @@ def test_a_committed_batch_is_not_loaded_again(warehouse):
     assert warehouse("a", TUESDAY, {"OBJECTID": 2}) == warehouse("a", MONDAY, {"OBJECTID": 1})
 
 
-def test_an_unfinished_version_is_invisible_and_replaced(warehouse, spark):
+def test_an_unfinished_version_is_invisible_and_goes(warehouse, spark):
     warehouse("a", MONDAY, {"OBJECTID": 1})
-    junk = snapshots.version_path(warehouse.root, 2, "dim_agency")
-    spark.range(3).write.parquet(junk)
+    junk = Path(warehouse.root, snapshots.new_folder(2))
+    spark.range(3).write.parquet(f"{junk}/dim_agency")
     assert load.read_table(spark, warehouse.root, "dim_agency").count() == 1
     version, after = warehouse("b", TUESDAY, {"OBJECTID": 2, "Agency": "Water"})
     assert (version, sorted(after)) == (2, [1, 2])
     assert load.read_table(spark, warehouse.root, "dim_agency").count() == 2
+    load.expire(spark, warehouse.root, 1)
+    assert not junk.exists() and load.read_table(spark, warehouse.root, "dim_agency").count() == 2
 
 
 def test_an_empty_warehouse_has_typed_empty_tables(spark, tmp_path):
@@ -181,25 +192,159 @@ def test_an_empty_warehouse_has_typed_empty_tables(spark, tmp_path):
     }
 
 
-def files_of(root, month):
-    return sorted((p.name, p.stat().st_mtime_ns) for p in Path(root).glob(f"v=*/fact_service_request/created_month={month}/*.parquet"))
+def fact_parts(spark, root, version=None):
+    return sorted(snapshots.state(spark, root, version).of("fact_service_request"), key=lambda part: part.low)
 
 
-def test_a_load_writes_only_the_months_it_touches(warehouse, spark):
+def test_a_load_writes_only_the_parts_it_touches(warehouse, spark):
     far = START + 100 * DAY
+    warehouse.options = {"part_bytes": 3000}
     warehouse("a", MONDAY, {"OBJECTID": 1}, {"OBJECTID": 2, "Case_Created_Date": far})
-    months = sorted(snapshots.live_parts(spark, warehouse.root, 1))
-    assert len(months) == 2
-    before = files_of(warehouse.root, months[0])
+    first, second = fact_parts(spark, warehouse.root)
+    assert (first.low, first.high, first.rows, second.low, second.high, second.rows) == (1, 1, 1, 2, 2, 1)
+    stamp = Path(warehouse.root, first.path).stat().st_mtime_ns
     _, after = warehouse("b", TUESDAY, {"OBJECTID": 2, "Case_Created_Date": START, "Case_Status": "Closed"}, {"OBJECTID": 3, "Case_Created_Date": far})
-    assert files_of(warehouse.root, months[0]) == before
-    assert snapshots.live_parts(spark, warehouse.root, 2) == {months[0]: 1, months[1]: 2}
+    assert Path(warehouse.root, first.path).stat().st_mtime_ns == stamp
+    paths = [part.path for part in fact_parts(spark, warehouse.root)]
+    assert first.path in paths and second.path not in paths
     assert {k: r["case_status"] for k, r in after.items()} == {1: "Open", 2: "Closed", 3: "Open"}
-    assert not list(Path(warehouse.root).glob("v=*/_staged"))
+    assert after[2]["created_at"].month == 6  # a known case stays when it was created
+    assert not list(Path(warehouse.root).glob("v=*/*/_staged"))
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("fact_")]
     assert {r["object_id"] for r in load.read_table(spark, warehouse.root, "fact_service_request", 1).collect()} == {1, 2}
 
 
+def test_parts_grow_by_bytes_and_not_by_month(warehouse, spark):
+    rows = [{"OBJECTID": i, "Case_Created_Date": START + i * 40 * DAY} for i in range(30)]
+    warehouse("a", MONDAY, *rows)
+    assert len(fact_parts(spark, warehouse.root)) == 1
+    split = {"OBJECTID": 100, "Incident_Address_1": "x"}
+    warehouse.options = {"part_bytes": 5000}
+    warehouse("b", MONDAY, *[{**split, "OBJECTID": 100 + i} for i in range(40)])  # one month, several parts
+    new = [part for part in fact_parts(spark, warehouse.root) if part.low >= 100]
+    assert len(new) > 1 and all(a.high < b.low for a, b in zip(new, new[1:]))
+
+
+def test_keys_are_looked_up_without_an_exchange_of_the_stored_ones(spark, tmp_path):
+    spark.range(50_000).withColumnRenamed("id", "key").write.parquet(str(tmp_path / "known"))
+    spark.range(7, 8).withColumnRenamed("id", "key").write.parquet(str(tmp_path / "one"))
+    known, one = (spark.read.parquet(str(tmp_path / name)) for name in ("known", "one"))
+    plan = executed_plan(load.known_cases(known, one))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_a_one_row_batch_reads_only_parts_whose_sketch_may_hold_it(warehouse, spark, batch, monkeypatch):
+    keys = [i * 1000 + j for j in range(8) for i in range(40)]
+    warehouse.options = {"part_bytes": 1200}
+    warehouse("a", MONDAY, *[{"OBJECTID": k, "Case_Created_Date": START + (k % 1000) * 40 * DAY} for k in keys])
+    parts = fact_parts(spark, warehouse.root)
+    assert len(parts) > 3 and parts[-1].low < 20_003 < parts[0].high  # key ranges alone do not tell
+    read, plain = [], load._read_parts
+    monkeypatch.setattr(load, "_read_parts", lambda s, r, table, found: read.append((table, [p.path for p in found])) or plain(s, r, table, found))
+    _, after = warehouse("b", TUESDAY, {"OBJECTID": 20_003, "Case_Status": "Closed"})
+    opened = {path for table, paths in read[:-1] if table == "fact_service_request" for path in paths if path in {p.path for p in parts}}
+    assert len(opened) < len(parts) and after[20_003]["case_status"] == "Closed"
+    holding = [p for p in parts if p.path in opened]
+    assert any(p.low <= 20_003 <= p.high for p in holding)
+
+
+@pytest.mark.parametrize("keys, buckets", [(100, 1), (20_000, 8), (300, 4)])
+def test_sketches_miss_no_key_and_name_few_others(spark, keys, buckets):
+    held = spark.range(keys).select((F.col("id") % 5).cast("string").alias("part"), (F.col("id") * 7 - 900).alias("key"))
+    sketch = key_sketch.sketches(held, buckets).cache()
+    assert sketch.where(F.octet_length("bits") != 4096).isEmpty()
+    for part in range(5):
+        one = held.where(F.col("part") == str(part)).limit(1).select("key")
+        assert str(part) in {r["part"] for r in key_sketch.parts_that_may_hold(sketch, one, [buckets, 2]).collect()}
+    absent = spark.range(400).select((F.col("id") * 7 - 899).alias("key"))
+    wrong = sum(not key_sketch.parts_that_may_hold(sketch, absent.where(F.col("key") == k), [buckets]).isEmpty() for k in (-899, -199, 5, 12, 901))
+    assert wrong <= 1
+    assert key_sketch.buckets_for(keys) * key_sketch.BUCKET_BITS >= 12 * keys and key_sketch.buckets_for(0) == 1
+
+
+def test_small_parts_become_one(warehouse, spark, monkeypatch):
+    """A table has a bounded number of files, however many loads there were."""
+    monkeypatch.setattr(load, "SMALL_PARTS", 3)
+    for number in range(7):
+        warehouse.load(f"b{number}", MONDAY, {"OBJECTID": number, "Agency": f"A{number}", "Case_Created_Date": START + number * DAY})
+        state = snapshots.state(spark, warehouse.root)
+        assert all(len(state.of(table)) <= 3 for table in contracts.STAR_TABLES)
+    star = load.read_star(spark, warehouse.root)
+    assert {t: df.count() for t, df in star.items()} == {
+        "dim_agency": 7, "dim_service_type": 1, "dim_neighborhood": 1, "dim_date": 7, "fact_service_request": 7
+    }
+    assert sorted(r["agency_key"] for r in star["dim_agency"].collect()) == list(range(1, 8))
+    assert load.read_table(spark, warehouse.root, "dim_agency", 4).count() == 4
+    load.expire(spark, warehouse.root, 2)
+    assert load.read_table(spark, warehouse.root, "dim_agency", 6).count() == 6
+    assert load.read_table(spark, warehouse.root, "fact_service_request").count() == 7
+    assert warehouse.load("b2", MONDAY, {"OBJECTID": 2}) == 3  # still known as loaded
+
+
+def test_the_log_stays_short(spark, tmp_path, monkeypatch):
+    """After fifty commits a reader opens one snapshot and the entries behind it."""
+    root = str(tmp_path)
+    for version in range(1, 51):
+        parts = [snapshots.Part("t", f"v={version:06d}/x/t", version)]
+        removed = [f"v={version - 1:06d}/x/t"] if version % 10 == 0 else []
+        Path(root, f"v={version:06d}/x/t").mkdir(parents=True)
+        snapshots.commit(spark, root, version, f"b{version}", [f"r{version}"], parts, removed)
+        assert len(snapshots.log_files(spark, root)) <= snapshots.SNAPSHOT_EVERY + 1
+    read, plain = [], snapshots.read_text
+    monkeypatch.setattr(snapshots, "read_text", lambda s, path: read.append(path) or plain(s, path))
+    state = snapshots.state(spark, root)
+    assert 0 < len(read) <= snapshots.SNAPSHOT_EVERY + 1
+    assert (state.version, snapshots.current_version(spark, root)) == (50, 50)
+    shown = [v for v in range(1, 51) if (v + 1) % 10 or v == 50]
+    assert sorted(part.rows for part in state.of("t")) == shown
+    assert sorted(p.rows for p in snapshots.state(spark, root, 23).of("t")) == [v for v in shown if v < 23] + [23]
+    found = snapshots.commits(spark, root).collect()
+    assert sorted((r["version"], r["batch_id"], r["runs"]) for r in found) == [(v, f"b{v}", [f"r{v}"]) for v in range(1, 51)]
+    assert snapshots.version_of(spark, root, "b7") == 7 and not snapshots.committed(spark, root, "b70")
+    snapshots.expire(spark, root, 1)
+    assert len(list(Path(root, "_commits").glob("[!.]*.json"))) <= snapshots.SNAPSHOT_EVERY + 1
+    assert sorted(int(p.name[2:]) for p in Path(root).glob("v=*")) == shown
+    assert snapshots.state(spark, root).of("t") == state.of("t") and snapshots.commits(spark, root).count() == 50
+
+
+def test_of_two_loads_of_one_version_one_commits(warehouse, spark, batch, tmp_path, monkeypatch):
+    warehouse("a", MONDAY, {"OBJECTID": 1})
+    for name in ("x", "y"):
+        batch({"OBJECTID": 2, "Case_Status": name}).write.parquet(str(tmp_path / name))
+    meet, outcome = threading.Barrier(2), {}
+    create = snapshots.create_exclusively
+
+    def together(session, path, text):
+        if path.endswith("entry-00000002.json"):
+            meet.wait(60)
+        return create(session, path, text)
+
+    monkeypatch.setattr(snapshots, "create_exclusively", together)
+
+    def go(name):
+        try:
+            outcome[name] = load.load_star(spark, spark.read.parquet(str(tmp_path / name)), warehouse.root, batch_id=name)
+        except snapshots.StaleVersionError:
+            outcome[name] = "refused"
+
+    threads = [threading.Thread(target=go, args=(name,)) for name in ("x", "y")]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(map(str, outcome.values())) == ["2", "refused"]
+    winner = next(name for name, result in outcome.items() if result == 2)
+    fact = load.read_table(spark, warehouse.root, "fact_service_request")
+    assert {r["object_id"]: r["case_status"] for r in fact.collect()} == {1: "Open", 2: winner}
+    assert len(list(Path(warehouse.root, "v=000002").iterdir())) == 1
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = f"{tmp_path}/log/one.json"
+    assert create_exclusively(spark, path, "first") and not create_exclusively(spark, path, "second")
+    assert Path(path).read_text() == "first" and len(list(Path(path).parent.glob("[!.]*"))) == 1
+
+
 def test_a_small_first_batch_does_not_fix_the_tasks_of_later_ones(warehouse, spark):
     warehouse("a", MONDAY, {"OBJECTID": 1})
     current = load.read_table(spark, warehouse.root, "fact_service_request")
@@ -242,7 +387,7 @@ def test_old_parts_are_deleted_on_request(warehouse, spark):
     for number in range(5):
         warehouse(f"b{number}", MONDAY, {"OBJECTID": 1, "Case_Status": str(number)}, {"OBJECTID": 10 + number})
     load.expire(spark, warehouse.root, 2)
-    assert len(list(Path(warehouse.root).glob("v=*/fact_service_request/created_month=*"))) == 2
+    assert len(list(Path(warehouse.root).glob("v=*/*/fact_service_request/*.parquet"))) == 2
     assert load.read_table(spark, warehouse.root, "fact_service_request").count() == 6
     assert load.read_table(spark, warehouse.root, "fact_service_request", 4).count() == 5
 

@@ -87,7 +87,7 @@ def test_with_quarantine_the_bad_rows_stay_out_and_the_rest_goes_on(spark, land,
     root = land(1, *numbered(3), {"OBJECTID": None}, {"OBJECTID": None}, {"OBJECTID": 9, "Case_Closed_Date": 0})
     summary = transform(spark, root, out, batch_id="b", quarantine=True)
     assert (summary["clean_rows"], summary["quarantined_rows"], summary["duplicates_removed"]) == (3, 3, 0)
-    bad = quarantined_rows(spark, snapshots.version_path(out, 1, "requests"))
+    bad = quarantined_rows(spark, snapshots.table_path(spark, out, "requests", 1))
     assert sorted(r["problems"] for r in bad.collect()) == [["closed_before_created"]] + [["key_not_null"]] * 2
 
 

@@ -130,11 +130,9 @@ union all select 'coordinate_rate', 'warning', v, 0.9e0, v < 0.9e0,
 
 
 def surrogate(natural: list[str], base: str = "0") -> str:
-    """Keys by hash bucket of the natural key: residue is the bucket, multiple the rank in it."""
+    """Dense keys in the order of the natural key's digest."""
     joined = " || chr(1) || ".join(natural)
-    bucket = f"(('0x' || substr(md5({joined}),1,4))::integer % 256)"
-    rank = f"row_number() over (partition by {bucket} order by {', '.join(natural)})"
-    return f"cast({base} + ({rank} - 1)*256 + {bucket} + 1 as integer)"
+    return f"cast({base} + row_number() over (order by md5({joined}), {', '.join(natural)}) as integer)"
 
 
 SERVICE_TYPES = "select distinct Type as type_name, Topic as topic_name from {0} where Type is not null and Topic is not null"

@@ -495,8 +495,7 @@ def published_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantined_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that transform held back, with the checks they break."""
     root, _ = stored.transformed(spark, sf_dir)
-    path = snapshots.version_path(root, snapshots.current_version(spark, root), "requests")
-    bad = quarantined_rows(spark, path)
+    bad = quarantined_rows(spark, snapshots.table_path(spark, root, "requests"))
     return bad.select("OBJECTID", F.array_join("problems", ",").alias("problems"))
 
 
