@@ -7,9 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicflow.operators.quality import QualityGateError
+from civicflow.plans import holding
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import load_star
-from civicflow.plans.transform import read_clean, transform
+from civicflow.plans.transform import REQUESTS, accepted_rows, quarantined_rows, transform
 from civicflow.sources import landing, snapshots
 
 
@@ -25,6 +27,7 @@ def run(
     run_id: str,
     run_at: datetime,
     incremental: bool = False,
+    park_failures: bool = False,
     transform_options: dict | None = None,
     load_options: dict | None = None,
     **ingest_options,
@@ -35,6 +38,14 @@ def run(
     the complete runs that no committed load holds yet: this one, and earlier ones whose
     transform or load failed. The mark has passed those, so nothing else would read them again.
     Runs that came up short are never among them. A run without new rows changes nothing.
+
+    With ``park_failures`` (and ``incremental``) every waiting run is judged and loaded alone, in
+    the order of landing. One that fails a hard check is parked with its reason and holds up no
+    other; later calls leave it out until :func:`civicflow.plans.holding.release` lets it in again.
+    The result names the runs that this call parked.
+
+    Rows that an incremental run sets apart are committed with its load, see
+    :func:`civicflow.plans.load.read_quarantine`.
     """
     manifest = ingest(spark, source, f"{root}/raw", run_id=run_id, run_at=run_at, **ingest_options)
     if manifest["status"] != "ok":
@@ -43,24 +54,54 @@ def run(
             f"landed {manifest['actual_record_count']}"
         )
     waiting = unloaded_runs(spark, root)
-    nothing = {"manifest": manifest, "summary": None, "version": None}
-    if incremental and not waiting:
+    result = {"manifest": manifest, "summary": None, "version": None, "parked": []}
+    if not incremental:
+        return result | _carry(spark, root, run_id, run_at, None, sorted(waiting), transform_options, load_options)
+    if not park_failures:
+        return result | _carry(spark, root, run_id, run_at, waiting, sorted(waiting), transform_options, load_options)
+
+    held = {row["run_id"] for row in holding.parked_runs(spark, root).collect()}
+    for waiting_id, path in sorted(waiting.items(), key=lambda item: item[1]):
+        if waiting_id in held:
+            continue
+        try:
+            one = {waiting_id: path}
+            done = _carry(spark, root, waiting_id, run_at, one, [waiting_id], transform_options, load_options)
+        except QualityGateError as failure:
+            holding.park(spark, root, waiting_id, str(failure))
+            result["parked"].append(waiting_id)
+        else:
+            result |= {key: value for key, value in done.items() if value is not None}
+    return result
+
+
+def _carry(
+    spark: SparkSession,
+    root: str,
+    batch_id: str,
+    run_at: datetime,
+    only: dict[str, str] | None,
+    runs: list[str],
+    transform_options: dict | None,
+    load_options: dict | None,
+) -> dict:
+    """Transform and load landed runs as one batch: those of ``only``, or all there are."""
+    nothing = {"summary": None, "version": None}
+    if only is not None and not only:
         return nothing
-    summary = transform(
-        spark,
-        f"{root}/raw",
-        f"{root}/processed",
-        batch_id=run_id,
-        directories=sorted(waiting.values()) if incremental else None,
-        **(transform_options or {}),
-    )
+    directories = None if only is None else sorted(only.values())
+    options = transform_options or {}
+    summary = transform(spark, f"{root}/raw", f"{root}/processed", batch_id=batch_id, directories=directories, **options)
     if summary is None:
         return nothing
-    clean = read_clean(spark, f"{root}/processed")
+    path = snapshots.table_path(spark, f"{root}/processed", REQUESTS)
+    # A transform of everything has all such rows in its published version.
+    apart = quarantined_rows(spark, path) if only is not None and options.get("quarantine") else None
     version = load_star(
-        spark, clean, f"{root}/warehouse", batch_id=run_id, loaded_at=run_at, runs=sorted(waiting), **(load_options or {})
-    )
-    return {"manifest": manifest, "summary": summary, "version": version}
+        spark, accepted_rows(spark, path), f"{root}/warehouse", batch_id=batch_id, loaded_at=run_at, runs=runs,
+        quarantined=apart, **(load_options or {}),
+    )
+    return {"summary": summary, "version": version}
 
 
 def unloaded_runs(spark: SparkSession, root: str) -> dict[str, str]:

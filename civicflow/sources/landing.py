@@ -26,6 +26,7 @@ from civicflow.functions import text, time
 from civicflow.sources.tables import each_file, path_exists, read_json_log, run_paths
 
 ROW_ID = "_row_id"
+FILE_PATH = "_file_path"
 RAW_FILES = "*.{json,jsonl}.gz"
 ROWS_PER_FILE = 1_000_000
 
@@ -96,14 +97,20 @@ def landing_schema(corrupt: bool = True) -> str:
 
 
 def read_landed(
-    spark: SparkSession, root: str, *, row_id: bool = False, paths: list[str] | None = None
+    spark: SparkSession,
+    root: str,
+    *,
+    row_id: bool = False,
+    file_path: bool = False,
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """All landed rows under the declared schema, with partition columns and damaged lines.
 
     Unknown fields are dropped, missing and mistyped ones NULL; a line that does not fit
     keeps its text in ``_corrupt_record``. Underscore directories are not read. Partition
     filters prune directories. ``row_id`` adds a number per row that is the same whenever
-    a scan task is repeated (it counts within the task's fixed file range).
+    a scan task is repeated (it counts within the task's fixed file range), ``file_path`` the
+    file that a row comes from.
     """
     landed = (
         spark.read.schema(landing_schema())
@@ -113,6 +120,8 @@ def read_landed(
         .option("basePath", root)
         .json(paths if paths is not None else root)
     )
+    if file_path:
+        landed = landed.withColumn(FILE_PATH, F.col("_metadata.file_path"))
     return landed.withColumn(ROW_ID, scan_position()) if row_id else landed
 
 
@@ -203,15 +212,24 @@ def read_file_lists(spark: SparkSession, root: str, run_id: str | None = None) -
     return files.select(F.lit(run_id).alias("run_id"), "path", "length")
 
 
-def read_complete_runs(spark: SparkSession, root: str, *, row_id: bool = False) -> DataFrame:
+def read_complete_runs(
+    spark: SparkSession, root: str, *, row_id: bool = False, file_path: bool = False
+) -> DataFrame:
     """Landed rows of the runs whose manifest says ``ok``.
 
-    A manifest names its run's directory, so the driver handles one path per run; files of
-    short or unfinished runs are never listed.
+    One scan of the root whose run partitions are pruned by a join with the manifests while the
+    query runs: the driver handles no path of a run, and files of short or unfinished runs are not
+    opened. Rows landed without a manifest (see :func:`append_history`) are not read.
     """
-    runs = read_manifests(spark, root).where("status = 'ok'").select(F.explode("files").alias("path"))
-    paths = sorted(f"{root}/{row['path']}" for row in runs.distinct().collect())
-    return read_landed(spark, root, row_id=row_id, paths=paths) if paths else empty_landing(spark)
+    if not path_exists(spark, f"{root}/_manifests"):
+        return empty_landing(spark)
+    complete = read_manifests(spark, root).where("status = 'ok' and not dry_run and size(files) > 0")
+    # A manifest names its run's directory, level by level: ``ingest_year=2024/...``.
+    levels = contracts.names(contracts.LANDING_PARTITIONS)
+    named = complete.select(F.explode("files").alias("path")).select(F.split("path", "/").alias("levels"))
+    complete = named.select(*(F.split(F.get("levels", F.lit(i)), "=")[1].alias(n) for i, n in enumerate(levels))).distinct()
+    landed = read_landed(spark, root, row_id=row_id, file_path=file_path)
+    return landed.join(complete, levels, "left_semi").select(*landed.columns)
 
 
 def read_mark(spark: SparkSession, root: str, slice_name: str = "") -> datetime | None:

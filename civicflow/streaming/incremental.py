@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from civicflow import contracts
 from civicflow.operators import quality
 from civicflow.plans.load import load_star
-from civicflow.plans.transform import ACCEPTED, judge, stage_clean
+from civicflow.plans.transform import ACCEPTED, QUARANTINED, judge, stage_clean
 from civicflow.session import configure
 from civicflow.sources import landing, snapshots, tables
 
@@ -53,8 +53,10 @@ def process_batch(
     """Clean, check and merge one micro-batch; running it again under its name changes nothing.
 
     The clean rows are written under the batch's own path, where a repeat replaces them and
-    which goes after the load; the load skips a batch it has committed. A hard failure raises,
-    which stops the stream with the batch unread. A batch without rows is not loaded.
+    which goes after the load; the load skips a batch it has committed. With ``quarantine`` the rows
+    set apart are committed with the batch, to a table that no later load or expiry takes them from
+    (:func:`civicflow.plans.load.read_quarantine`). A hard failure raises, which stops the stream
+    with the batch unread. A batch without rows is not loaded; one that was set apart whole is.
     """
     spark = batch.sparkSession
     if snapshots.committed(spark, warehouse_root, name):
@@ -65,9 +67,10 @@ def process_batch(
     checks = [*quality.default_checks(), quality.corrupt_rate()]
     result = judge(staged, checks, quarantine, max_corrupt, max_quarantined)
     quality.require_pass(result)
-    if result.row_count:
+    apart = staged.where(F.col("disposition") == QUARANTINED).drop("disposition") if quarantine else None
+    if result.row_count or (apart is not None and not apart.isEmpty()):
         accepted = staged.where(F.col("disposition") == ACCEPTED).select(*tables.PROCESSED_COLUMNS)
-        load_star(spark, accepted, warehouse_root, batch_id=name, keep_versions=keep_versions)
+        load_star(spark, accepted, warehouse_root, batch_id=name, keep_versions=keep_versions, quarantined=apart)
     tables.delete_path(spark, path)
 
 

@@ -6,14 +6,16 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
+from conftest import executed_plan
 from pyspark.sql import functions as F
 
 from civicflow import contracts
 from civicflow.operators import clean
+from civicflow.plans import holding, load
 from civicflow.plans.end_to_end import ShortReadError, run
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import read_star
-from civicflow.sources import extract, landing, tables
+from civicflow.sources import extract, landing, snapshots, tables
 
 UTC = timezone.utc
 NOW = datetime(2024, 7, 4, 9, 30, tzinfo=UTC)
@@ -330,3 +332,36 @@ def test_a_short_read_keeps_later_stages_from_running(spark, source, tmp_path):
     with pytest.raises(ShortReadError):
         run(spark, source(1), str(tmp_path / "all"), run_id="r1", run_at=NOW, expected=50)
     assert not (tmp_path / "all" / "processed").exists()
+
+
+def test_a_failing_run_is_parked_and_later_ones_load(spark, source, tmp_path):
+    root = str(tmp_path / "all")
+    options = {"incremental": True, "park_failures": True, "full_refresh": True}
+    bad = source(1, 2).withColumn("Case_Closed_Date", F.col("Case_Created_Date") - 1)
+    first = run(spark, bad, root, run_id="r1", run_at=NOW, **options)
+    assert (first["parked"], first["version"]) == (["r1"], None)
+    second = run(spark, source(5, 3), root, run_id="r2", run_at=NOW, **options)
+    third = run(spark, source(5, 3, 1), root, run_id="r3", run_at=NOW, **options)
+    assert (second["parked"], second["version"], third["version"]) == ([], 1, 2)
+    held = holding.parked_runs(spark, root).collect()
+    assert [r["run_id"] for r in held] == ["r1"] and "closed_at before created_at" in held[0]["reason"]
+    assert snapshots.commits(spark, f"{root}/warehouse").where(F.array_contains("runs", "r1")).isEmpty()
+    holding.release(spark, root, "r1")
+    assert holding.parked_runs(spark, root).isEmpty()
+    again = run(spark, source(5), root, run_id="r4", run_at=NOW, **options)  # still fails, is parked again
+    assert again["parked"] == ["r1"] and again["version"] == 3
+    holding.release(spark, root, "r1")
+    mended = {"quarantine": True, "max_quarantined": 1.0}
+    last = run(spark, source(5), root, run_id="r5", run_at=NOW, transform_options=mended, **options)
+    assert last["parked"] == [] and holding.parked_runs(spark, root).isEmpty()
+    assert load.read_quarantine(spark, f"{root}/warehouse").count() == 2
+
+
+def test_complete_runs_are_one_scan_pruned_by_their_manifests(spark, source, root):
+    for number, expected in ((1, None), (2, 10**6), (3, None)):
+        ingest(spark, source(number), root, run_id=f"r{number}", run_at=NOW, full_refresh=True, expected=expected)
+    rows = landing.read_complete_runs(spark, root)
+    assert sorted({r["run_id"] for r in rows.collect()}) == ["r1", "r3"]
+    plan = executed_plan(rows)
+    assert "dynamicpruning" in plan
+    assert landing.read_complete_runs(spark, f"{root}/none").count() == 0

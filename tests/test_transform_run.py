@@ -6,6 +6,7 @@ import pytest
 
 from civicflow import contracts
 from civicflow.operators import clean, quality, summaries
+from civicflow.plans import load
 from civicflow.plans.load import read_star
 from civicflow.plans.transform import quarantined_rows, read_clean, transform
 from civicflow.sources import landing, snapshots, tables
@@ -161,3 +162,29 @@ def test_a_split_backlog_gives_the_same_keys(spark, land, tmp_path, limit):
     fact = stream(spark, root, tmp_path, **limit)
     assert snapshots.current_version(spark, f"{tmp_path}/star") == 2
     assert sorted(r["object_id"] for r in fact.collect()) == list(range(8))
+
+
+def test_set_apart_rows_outlive_their_batch(spark, land, tmp_path):
+    """Rows a stream sets apart are kept with the batch; a replay, later loads and expiry change nothing."""
+    star, work = f"{tmp_path}/star", f"{tmp_path}/work"
+    bad = {"Case_Closed_Date": START - DAY}
+    first = landing.read_landed(spark, land(1, *numbered(3), {"OBJECTID": 50, **bad}, {"OBJECTID": None}))
+    options = {"quarantine": True, "max_quarantined": 1.0, "keep_versions": 1}
+    for _ in range(2):
+        incremental.process_batch(first, "s-0", work, star, **options)
+    only_bad = landing.read_landed(spark, land(2, {"OBJECTID": 51, **bad})).where("OBJECTID = 51")
+    incremental.process_batch(only_bad, "s-1", work, star, **options)
+    good = landing.read_landed(spark, land(3, {"OBJECTID": 60})).where("OBJECTID = 60")
+    for name in ("s-2", "s-3", "s-4"):
+        incremental.process_batch(good, name, work, star, **options)
+    held = load.read_quarantine(spark, star)
+    rows = sorted((r["batch_id"], r["OBJECTID"] or 0, r["problems"]) for r in held.collect())
+    assert rows == [("s-0", 0, ["key_not_null"]), ("s-0", 50, ["closed_before_created"]), ("s-1", 51, ["closed_before_created"])]
+    assert snapshots.current_version(spark, star) == 5 and read_star(spark, star)["fact_service_request"].count() == 4
+    assert not list(Path(work).glob("s-*"))
+
+
+def test_nothing_is_set_apart_in_a_clean_warehouse(spark, land, tmp_path):
+    batch = landing.read_landed(spark, land(1, *numbered(2)))
+    incremental.process_batch(batch, "b", f"{tmp_path}/work", f"{tmp_path}/star", quarantine=True)
+    assert load.read_quarantine(spark, f"{tmp_path}/star") is None

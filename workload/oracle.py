@@ -404,6 +404,10 @@ def oracle() -> dict[str, str]:
         "quarantined_requests": f"""{landed} select OBJECTID, 'closed_before_created' as problems from clean
           where closed_ms < created_ms""",
         "stream_upsert": f"select * exclude (loaded_ms) from ({upsert(TWO_LANDED)})",
+        "stream_quarantine": f"""{TWO_LANDED} select OBJECTID, 'closed_before_created' as problems, 1 as delivery
+          from first_clean where closed_ms < created_ms
+          union all select OBJECTID, 'closed_before_created', 2 from second_clean where closed_ms < created_ms""",
+        "parked_run": f"select *, 'run-1' as parked from ({upsert(TWO)})",
         "recovered_runs": f"{BOTH} {fact_rows('valid', SECOND_MS)}",
         "stream_restart": f"select * exclude (loaded_ms) from ({upsert(THEN_BOTH)})",
         "empty_run": f"""{TWO_LANDED} select cast(2 as bigint) as n_runs,

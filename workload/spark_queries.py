@@ -24,7 +24,7 @@ from civicflow.operators import (
     quality,
     summaries,
 )
-from civicflow.plans import dashboard, load
+from civicflow.plans import dashboard, holding, load
 from civicflow.plans.ingest import ingest
 from civicflow.plans.transform import quarantined_rows, rate_checks, read_clean
 from civicflow.session import scratch_dir
@@ -503,6 +503,21 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.named_facts(stored.streamed(spark, sf_dir)).drop("loaded_ms")
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream's batches set apart, after loads and expiries that came later."""
+    held = load.read_quarantine(spark, stored.streamed_root(spark, sf_dir))
+    number = F.regexp_extract("batch_id", "-([0-9]+)$", 1).cast("int") + 1
+    return held.select("OBJECTID", F.array_join("problems", ",").alias("problems"), number.alias("delivery"))
+
+
+def parked_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that never passes is parked, and the later ones are loaded."""
+    root = stored.parked(spark, sf_dir)
+    facts = stored.named_facts(load.read_star(spark, f"{root}/warehouse"))
+    held = holding.parked_runs(spark, root).agg(F.array_join(F.sort_array(F.collect_list("run_id")), ","))
+    return facts.withColumn("parked", held.scalar())
+
+
 def recovered_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A failed run's rows come with the next run that succeeds."""
     return stored.named_facts(stored.recovered(spark, sf_dir))
@@ -535,7 +550,8 @@ def preview_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_key_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the delivery that landed in key order, and files that reach into the next one."""
     root = stored.landed_with_short_run(spark, sf_dir)
-    rows = landing.read_complete_runs(spark, root).select("OBJECTID", F.input_file_name().alias("file"))
+    rows = landing.read_complete_runs(spark, root, file_path=True)
+    rows = rows.select("OBJECTID", F.col(landing.FILE_PATH).alias("file"))
     files = rows.groupBy("file").agg(
         F.min("OBJECTID").alias("low"), F.max("OBJECTID").alias("high"), F.count(F.lit(1)).alias("n")
     )
@@ -681,6 +697,8 @@ def registered() -> dict:
             published_requests,
             quarantined_requests,
             stream_upsert,
+            stream_quarantine,
+            parked_run,
             recovered_runs,
             stream_restart,
             empty_run,

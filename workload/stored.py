@@ -161,19 +161,41 @@ def transformed(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
     return once(spark, sf_dir, "transformed", build)
 
 
-def streamed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star schema after a stream picked up two deliveries, each as it landed."""
+def streamed_root(spark: SparkSession, sf_dir: str) -> str:
+    """Warehouse of a stream that picked up two deliveries, each as it landed, and keeps one version."""
 
     def build(path: str) -> str:
         for number, day in ((1, FIRST_DAY), (2, SECOND_DAY)):
             source = feed.delivery(spark, sf_dir, number).select(*RAW_COLUMNS)
             target = f"{path}/raw/{landing.run_directory(f'run-{number}', day)}"
             landing.write_landing(source, target)
-            query = incremental.start(spark, f"{path}/raw", f"{path}/star", f"{path}/work", **DIRTY)
+            options = DIRTY | {"keep_versions": 1}
+            query = incremental.start(spark, f"{path}/raw", f"{path}/star", f"{path}/work", **options)
             query.awaitTermination()
         return f"{path}/star"
 
-    return read_star(spark, once(spark, sf_dir, "streamed", build))
+    return once(spark, sf_dir, "streamed", build)
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return read_star(spark, streamed_root(spark, sf_dir))
+
+
+def parked(spark: SparkSession, sf_dir: str) -> str:
+    """Root after three incremental runs: one whose rows always fail the gate, and the valid cases
+    of both deliveries."""
+
+    def build(path: str) -> str:
+        valid = [feed.valid(feed.delivery(spark, sf_dir, number)) for number in (1, 2)]
+        sources = [(feed.delivery(spark, sf_dir, 1), FIRST_DAY), (valid[0], FIRST_DAY), (valid[1], SECOND_DAY)]
+        for number, (source, day) in enumerate(sources, 1):
+            end_to_end.run(
+                spark, source.select(*RAW_COLUMNS), path, run_id=f"run-{number}", run_at=day, full_refresh=True,
+                incremental=True, park_failures=True,
+            )
+        return path
+
+    return once(spark, sf_dir, "parked", build)
 
 
 def recovered(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
