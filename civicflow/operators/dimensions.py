@@ -35,7 +35,12 @@ def with_new(existing: DataFrame | None, fresh: DataFrame) -> DataFrame:
 
 
 def assign_keys(
-    members: DataFrame, key: str, natural: Sequence[str], base: Column | None = None, ranges: int | None = None
+    members: DataFrame,
+    key: str,
+    natural: Sequence[str],
+    base: Column | None = None,
+    ranges: int | None = None,
+    kind: str = "int",
 ) -> DataFrame:
     """Number distinct members densely from ``base`` + 1 on, without putting them all in one task.
 
@@ -54,7 +59,7 @@ def assign_keys(
     starts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
     rank = F.row_number().over(Window.partitionBy("_range").orderBy("_digest", *natural))
     numbered = dealt.withColumn("_rank", rank).join(starts, "_range")
-    number = (base + F.col("_start") + F.col("_rank")).cast("int")
+    number = (base + F.col("_start") + F.col("_rank")).cast(kind)
     return numbered.withColumn(key, number).drop("_digest", "_range", "_rank", "_start")
 
 
