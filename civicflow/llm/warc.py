@@ -27,6 +27,8 @@ MIN_REVISIT_BYTES = 1000
 ARCHIVE_RECORDS = 20_000
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+# Longer numbers are no lengths of anything.
+LENGTH = re.compile("[0-9]{1,18}")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -123,14 +125,14 @@ def _parse(record: bytes) -> tuple[dict[str, str], bytes] | str:
         return "no version line"
     headers = {}
     for line in head[version.end() :].split(b"\r\n"):
-        name, _, value = line.partition(b":")
-        headers[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
-    try:
-        length = int(headers.get("content-length", ""))
-    except ValueError:
+        name, _, value = (part.strip().decode("utf-8", "replace") for part in line.partition(b":"))
+        # Headers that come several times keep all their values.
+        headers[name.lower()] = f"{headers[name.lower()]}, {value}" if name.lower() in headers else value
+    if not LENGTH.fullmatch(headers.get("content-length", "")):
         return "no content length"
+    length = int(headers["content-length"])
     block = rest[:length]
-    if length < 0 or len(block) < length or rest[length:] != b"\r\n\r\n":
+    if len(block) < length or rest[length:] != b"\r\n\r\n":
         return "content length does not fit"
     algorithm, _, digest = headers.get("warc-block-digest", "").partition(":")
     if algorithm.lower() == "sha1" and digest.upper() != base64.b32encode(hashlib.sha1(block).digest()).decode():
@@ -162,6 +164,17 @@ def _gzip_records(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes |
         if not isinstance(found, str):
             content, end = found
             record = found = _parse(content) if content else ({}, b"")
+            if isinstance(record, str) and (several := [r for r in _plain_records(content) if r[2]]):
+                # Several records in one member: they all lie where the member does.
+                if gap is not None:
+                    yield gap, at, None, None, problem
+                    gap = None
+                yield from ((at, end, *r[2:]) for r in several)
+                missing = len(content) - sum(r[1] - r[0] for r in several)
+                if missing:
+                    yield at, end, None, None, f"{missing} bytes of the member's content: {record}"
+                at = end
+                continue
         if isinstance(found, str):
             if gap is None:
                 gap, problem = at, found
@@ -183,12 +196,14 @@ def _plain_records(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes |
     at, gap, problem = 0, None, None
     while at < len(data):
         head = data.find(b"\r\n\r\n", at)
-        length = re.search(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", data[at : head + 2], re.I) if head >= 0 else None
+        length = re.search(rb"\r\ncontent-length:[ \t]*(\d{1,18})[ \t]*\r\n", data[at : head + 2], re.I) if head >= 0 else None
         found: tuple | str = "no version line"
         end = at
         if VERSION.match(data, at):
             found = "no content length"
-            if length:
+            if VERSION.search(data, at + 1, max(head, at)):
+                found = "headers are cut off"  # those of the next record follow
+            elif length:
                 end = head + 4 + int(length[1]) + 4
                 found = _parse(data[at:end])
         if isinstance(found, tuple):
@@ -239,8 +254,9 @@ def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records and gaps of all archives in ``path``: file, start, end, problem, headers (names in
-    lower case), block. A gap has a problem and no headers; a record has headers and no problem.
-    Empty files have neither."""
+    lower case; values of repeated ones are joined by commas), block. A gap has a problem and no headers;
+    a record has headers and no problem. Records of a member that holds several have its place; what
+    is damaged inside it is a gap of the same place. Empty files have neither."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(_read_files, _FOUND)
 

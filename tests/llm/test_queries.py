@@ -120,3 +120,18 @@ def test_pipeline_stages_survive_nulls_and_empty_tables(spark, tmp_path):
         found = spark.read.parquet(f"{tmp_path}/{name}-minhash_near_dedup").collect()
         ids = sorted((r.doc_id is None, r.doc_id or 0) for r in found)
         assert ids == ([(False, 1), (False, 3), (False, 4), (True, 0), (True, 0)] if data else [])
+
+
+def test_texts_under_one_id_are_judged_alone(spark, tmp_path):
+    """A clean text stays when another one under its id is a copy; clashing columns stay as given."""
+    schema = "doc_id long, text string, whole string, digest string, own long, score double, predicted string"
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [(1, base), (2, base + " tail"), (2, " ".join(f"v{i}" for i in range(50))), (3, "z " * 30), (3, "y " * 30), (2, base + " tail"), (3, base)]
+    rows = [(i, t, "a", "b", n, -7.0 - n, "given") for n, (i, t) in enumerate(texts)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    kept = stages.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(rows[i] for i in (0, 2, 3, 4))
+    clean = stages.toxicity(spark, docs, SF_DIR)
+    assert clean.dtypes == docs.dtypes and sorted(tuple(r) for r in clean.collect()) == sorted(rows)
