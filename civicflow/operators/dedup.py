@@ -78,10 +78,13 @@ def drop_probable_copies(
     df: DataFrame,
     parts: Sequence[str] = ("created_at", "Incident_Address_1", "Type"),
     order: Sequence[Column] | None = None,
+    row_key: str | None = None,
 ) -> DataFrame:
     """Second pass for feeds whose keys were reissued: one row per same time, place and kind.
 
-    Rows with a missing part cannot be told apart and all stay.
+    Rows with a missing part cannot be told apart and all stay. With a ``row_key``, a column that
+    is unique and never NULL as it is behind the quality gate, they pass through the same scan and
+    exchange as the others, each as a group of its own; without one a second branch reads them.
     """
     order = list(order) if order is not None else [F.col("OBJECTID").desc_nulls_last()]
-    return keep_latest(df, parts, order, null_keys="keep")
+    return keep_latest(df, parts, order, null_keys="keep", row_id=row_key)

@@ -47,6 +47,15 @@ def agencies_represented(fact: DataFrame, agency: DataFrame) -> DataFrame:
     return present.join(agency, "agency_key").agg(F.count(F.lit(1)).alias("agencies"))
 
 
+def volume_figures(fact: DataFrame, agency: DataFrame) -> DataFrame:
+    """One row: public cases, and agencies with at least one; one scan of the facts for both."""
+    per_key = public_facts(fact).groupBy("agency_key").agg(F.count(F.lit(1)).alias("n"))
+    known = agency.select("agency_key", F.lit(1).alias("known"))
+    return per_key.join(known, "agency_key", "left").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_requests"), F.count("known").alias("agencies")
+    )
+
+
 def by_day(fact: DataFrame, date: DataFrame) -> DataFrame:
     """Cases per creation day, in date order."""
     per_key = (

@@ -13,11 +13,13 @@ from civicflow.operators import distribution, metrics
 def headline(star: dict[str, DataFrame]) -> DataFrame:
     """The four figures on top of the dashboard as they are shown (one row)."""
     fact = star["fact_service_request"]
-    total = metrics.total_requests(fact).scalar()
+    volume = metrics.volume_figures(fact, star["dim_agency"])
+    stats = distribution.resolution_stats(metrics.resolution_hours(fact))
     median = F.col("median_hours")
-    return distribution.resolution_stats(metrics.resolution_hours(fact)).select(
-        F.format_number(total, 0).alias("total_requests"),
-        metrics.agencies_represented(fact, star["dim_agency"]).scalar().alias("agencies"),
+    # Two tables of one row each.
+    return stats.withColumn("_row", F.lit(1)).join(volume.withColumn("_row", F.lit(1)), "_row").select(
+        F.format_number("total_requests", 0).alias("total_requests"),
+        "agencies",
         text.percent_text(F.col("zero_hour_rate")).alias("same_call_share"),
         F.when(median.isNull(), "N/A")
         .otherwise(F.format_string("%.1f hrs", F.bround(median, 1)))

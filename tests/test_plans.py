@@ -136,6 +136,17 @@ def test_statistics_scan_the_facts_once(spark):
         assert executed_plan(df).count("FileScan") == 1
 
 
+def test_probable_copies_and_headline_scan_once_each(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(60).selectExpr("id as OBJECTID", "if(id % 5 = 0, null, id % 7) as a", "id % 3 as b").write.parquet(path)
+    kept = dedup.drop_probable_copies(spark.read.parquet(path), ["a", "b"], row_key="OBJECTID")
+    plan = executed_plan(kept)
+    assert plan.count("FileScan") == 1 and limits_around_exchange(plan)
+    assert kept.where("a is null").count() == 12 and kept.where("a is not null").count() == 21
+    plan = executed_plan(spark_queries.headline_figures(spark, SF_DIR))
+    assert plan.count("fact_service_request") <= plan.count("FileScan") == 3  # facts twice, agencies once
+
+
 def test_previews_and_map_points_are_top_k(spark):
     for query in (spark_queries.map_points, spark_queries.preview_latest):
         assert "TakeOrderedAndProject" in executed_plan(query(spark, SF_DIR))

@@ -125,7 +125,7 @@ def clean_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probable_copies_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedup.drop_probable_copies(feed.valid_requests(spark, sf_dir))
+    kept = dedup.drop_probable_copies(feed.valid_requests(spark, sf_dir), row_key="OBJECTID")
     return as_numbers(kept).select("OBJECTID", "created_ms", "Incident_Address_1", "Type")
 
 
