@@ -294,7 +294,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     doc_id or text are scored, and learned from, one by one. Without rows to learn from every symbol
     is equally likely. An empty table gives an empty result.
     """
-    units = U.units_for(docs)
+    docs, units = U.units_for(docs)
     doc_id = F.col("doc_id").cast("long")
     learned = F.coalesce(learn, F.lit(False)).alias("learn")
     rows = docs.select(U.unit_of(doc_id, units).alias("unit"), doc_id.alias("doc_id"), "text", learned)

@@ -14,16 +14,25 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicflow.llm.components import stored
+
 UNIT_BYTES = 5 << 19
 
 
-def units_for(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> int:
-    """Number of units, by the stored size of the largest table that ``docs`` reads. Input of unknown
-    size is one unit: write it to a table first."""
+def units_for(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame, int]:
+    """``docs`` and its number of units, by the stored size of the largest table that it reads. Input
+    of unknown size is written to a table first and read from there."""
     unknown = int(docs.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
-    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return max([1, *(size // unit_bytes + 1 for size in sizes if size < unknown)])
+
+    def sizes(rows: DataFrame) -> list[int]:
+        leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+
+    found = sizes(docs)
+    if not found or max(found) >= unknown:
+        docs = stored(docs, "documents")
+        found = sizes(docs)
+    return docs, max(size // unit_bytes + 1 for size in found)
 
 
 def unit_of(doc_id: Column, units: int) -> Column:

@@ -365,7 +365,7 @@ def test_ppm_matches_a_plain_version(spark, docs):
 def test_ppm_keeps_all_contexts(spark, monkeypatch):
     """More contexts than any one task takes, and texts of many pieces."""
     monkeypatch.setattr(ppm, "TASK_GRAMS", 1 << 13)
-    monkeypatch.setattr(ppm.U, "units_for", lambda docs: 9)
+    monkeypatch.setattr(ppm.U, "units_for", lambda docs: (docs, 9))
     chance = random.Random(8)
     letters = "abcdefghijklmnopqrstuvwxyz0123456789 "
     texts = ["".join(chance.choices(letters, k=chance.randrange(3000))) for _ in range(40)]
@@ -537,3 +537,17 @@ def test_digests_of_packed_ids(spark):
     text = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id = 3").first().text
     ids = ids_by("word_bpe_49k.json", text, 1)
     assert [r.ids_crc32 for r in rows] == [zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in rows]
+
+
+def test_input_of_unknown_size_is_dealt_to_as_many_units(spark, docs):
+    """Rows that come from no stored table are stored first, so they are not one unit and one task."""
+    from civicflow.llm import units
+
+    rows = docs.select("doc_id", "text")
+    stored_docs, plain = units.units_for(rows, 4096)
+    assert stored_docs is rows and plain > 3
+    loose = spark.createDataFrame(rows.collect(), rows.schema)
+    read, number = units.units_for(loose, 4096)
+    assert number > 3 and sorted(map(str, read.collect())) == sorted(map(str, rows.collect()))
+    found = {r.id: r.n_words for r in substring_dedup.remove_repeats(loose).collect() if r.id != 20}
+    assert found == {r.id: r.n_words for r in substring_dedup.remove_repeats(rows).collect() if r.id != 20}
