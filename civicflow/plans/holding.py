@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from civicflow.sources.tables import read_json_log
+from civicflow.sources import entry_log
 
 HOLD_SCHEMA = "run_id string, parked boolean, reason string, at timestamp"
 
 
 def _append(spark: SparkSession, root: str, run_id: str, parked: bool, reason: str | None) -> None:
-    row = spark.createDataFrame([(run_id, parked, reason)], "run_id string, parked boolean, reason string")
-    row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").json(f"{root}/_parked")
+    line = {"run_id": run_id, "parked": parked, "reason": reason, "at": datetime.now(timezone.utc).isoformat()}
+    entry_log.append(spark, f"{root}/_parked", [line], entry_log.newest_of("run_id"))
 
 
 def park(spark: SparkSession, root: str, run_id: str, reason: str) -> None:
@@ -26,7 +27,6 @@ def release(spark: SparkSession, root: str, run_id: str) -> None:
 
 
 def parked_runs(spark: SparkSession, root: str) -> DataFrame:
-    """The runs that are parked now: run_id, reason, at. The newest row of a run counts."""
-    log = read_json_log(spark, f"{root}/_parked", HOLD_SCHEMA)
-    newest = log.groupBy("run_id").agg(F.max_by(F.struct("parked", "reason", "at"), "at").alias("last"))
-    return newest.where("last.parked").select("run_id", "last.reason", "last.at")
+    """The runs that are parked now: run_id, reason, at. The newest line of a run counts."""
+    found = entry_log.latest(spark, f"{root}/_parked", HOLD_SCHEMA, "run_id")
+    return found.where("parked").select("run_id", "reason", "at")

@@ -3,9 +3,9 @@
 Layout below a root::
 
     ingest_year=2024/ingest_month=07/ingest_day=04/run_id=<run>/part-*.json.gz
-    _manifests/run_id=<run>/   one summary row
+    _manifests/                a log of one summary row per run
     _files/run_id=<run>/       one row per landed file
-    _state/                    one row per advance of the high-water mark
+    _state/                    a log of the advances of the high-water mark
 
 A run has a directory of its own, so repeating a run replaces its files and never those
 of another run.
@@ -16,13 +16,14 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow import contracts
 from civicflow.functions import text, time
+from civicflow.sources import entry_log
 from civicflow.sources.tables import each_file, path_exists, read_json_log, run_paths
 
 ROW_ID = "_row_id"
@@ -30,7 +31,8 @@ FILE_PATH = "_file_path"
 RAW_FILES = "*.{json,jsonl}.gz"
 ROWS_PER_FILE = 1_000_000
 
-MANIFEST_SCHEMA, STATE_SCHEMA = contracts.MANIFEST_SCHEMA, contracts.STATE_SCHEMA
+MANIFEST_SCHEMA = contracts.MANIFEST_SCHEMA
+_MANIFEST = [column.split(" ", 1) for column in MANIFEST_SCHEMA.split(", ")]
 FILE_SCHEMA = "run_id string, path string, length bigint"
 
 
@@ -184,24 +186,19 @@ def inventory_totals(files: DataFrame) -> DataFrame:
 
 
 def write_manifest(spark: SparkSession, root: str, run_id: str, manifest: dict) -> None:
-    """The summary row of a run, replacing an earlier attempt's."""
-    columns = [c for c in MANIFEST_SCHEMA.split(", ") if not c.startswith("run_id ")]
-    row = tuple(manifest[c.split(" ")[0]] for c in columns)
-    _write_json(spark.createDataFrame([row], ", ".join(columns)), f"{root}/_manifests/run_id={run_id}")
+    """The summary row of a run; it replaces an earlier attempt's."""
+    line = {"run_id": run_id} | {name: manifest[name] for name, _ in _MANIFEST if name != "run_id"}
+    entry_log.append(spark, f"{root}/_manifests", [line], entry_log.newest_of("run_id"))
 
 
 def write_file_list(files: DataFrame, root: str, run_id: str) -> None:
     """The landed files of a run, one row each."""
-    listing = files.select("path", "length")
-    _write_json(listing, f"{root}/_files/run_id={run_id}")
-
-
-def _write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    files.select("path", "length").write.mode("overwrite").json(f"{root}/_files/run_id={run_id}")
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
-    return read_json_log(spark, f"{root}/_manifests", MANIFEST_SCHEMA)
+    """The newest manifest of every run."""
+    return entry_log.latest(spark, f"{root}/_manifests", MANIFEST_SCHEMA, "run_id")
 
 
 def read_file_lists(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
@@ -221,7 +218,7 @@ def read_complete_runs(
     query runs: the driver handles no path of a run, and files of short or unfinished runs are not
     opened. Rows landed without a manifest (see :func:`append_history`) are not read.
     """
-    if not path_exists(spark, f"{root}/_manifests"):
+    if not entry_log.newest(spark, f"{root}/_manifests"):
         return empty_landing(spark)
     complete = read_manifests(spark, root).where("status = 'ok' and not dry_run and size(files) > 0")
     # A manifest names its run's directory, level by level: ``ingest_year=2024/...``.
@@ -234,17 +231,29 @@ def read_complete_runs(
 
 def read_mark(spark: SparkSession, root: str, slice_name: str = "") -> datetime | None:
     """The stored high-water mark of a slice, or ``None`` before the first complete run."""
-    state = read_json_log(spark, f"{root}/_state", STATE_SCHEMA)
-    newest = state.where(F.col("slice") == slice_name).agg(F.max("watermark").alias("m")).first()
-    return datetime.fromisoformat(newest["m"]) if newest["m"] else None
+    known = entry_log.lines(spark, entry_log.files(spark, f"{root}/_state"))
+    newest = max((line["watermark"] for line in known if line["slice"] == slice_name), default=None)
+    return datetime.fromisoformat(newest) if newest else None
+
+
+def read_marks(spark: SparkSession, root: str) -> DataFrame:
+    """The highest mark of every slice: slice, watermark, updated_by_run, updated_at."""
+    return entry_log.latest(spark, f"{root}/_state", contracts.STATE_SCHEMA, "slice", by="watermark")
 
 
 def append_mark(spark: SparkSession, root: str, mark_ms: int, run_id: str, slice_name: str = "") -> None:
-    """Record an advance of the mark; earlier ones stay as history."""
-    row = spark.range(1).select(
-        F.lit(slice_name).alias("slice"),
-        time.utc_iso(F.timestamp_millis(F.lit(mark_ms))).alias("watermark"),
-        F.lit(run_id).alias("updated_by_run"),
-        time.utc_iso(F.current_timestamp()).alias("updated_at"),
-    )
-    row.coalesce(1).write.mode("append").json(f"{root}/_state")
+    """Record an advance of the mark; earlier ones stay as history until a snapshot of the log, which
+    keeps the newest of every slice."""
+    mark = datetime.fromtimestamp(0, timezone.utc) + timedelta(milliseconds=mark_ms)
+    line = {
+        "slice": slice_name,
+        "watermark": mark.isoformat(timespec="microseconds"),
+        "updated_by_run": run_id,
+        "updated_at": datetime.now(timezone.utc).isoformat(timespec="microseconds"),
+    }
+    entry_log.append(spark, f"{root}/_state", [line], _highest)
+
+
+def _highest(lines: list[dict]) -> list[dict]:
+    """The line with the highest mark of every slice."""
+    return entry_log.newest_of("slice")(sorted(lines, key=lambda line: line["watermark"]))

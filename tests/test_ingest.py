@@ -15,7 +15,7 @@ from civicflow.plans import holding, load
 from civicflow.plans.end_to_end import ShortReadError, run
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import read_star
-from civicflow.sources import extract, landing, snapshots, tables
+from civicflow.sources import entry_log, extract, landing, snapshots, tables
 
 UTC = timezone.utc
 NOW = datetime(2024, 7, 4, 9, 30, tzinfo=UTC)
@@ -365,3 +365,30 @@ def test_complete_runs_are_one_scan_pruned_by_their_manifests(spark, source, roo
     plan = executed_plan(rows)
     assert "dynamicpruning" in plan
     assert landing.read_complete_runs(spark, f"{root}/none").count() == 0
+
+
+def test_fifty_runs_leave_short_logs(spark, root, monkeypatch):
+    """Marks and manifests are read from one snapshot and the entries behind it."""
+    blank = {name: None for name, _ in landing._MANIFEST}
+    for number in range(50):
+        landing.append_mark(spark, root, NOW_MS + (number % 40) * 1000, f"r{number}", f"s{number % 2}")
+        landing.write_manifest(spark, root, f"r{number % 45}", blank | {"status": "ok", "actual_record_count": number})
+    read, plain = [], entry_log.read_text
+    monkeypatch.setattr(entry_log, "read_text", lambda s, path: read.append(path) or plain(s, path))
+    assert landing.read_mark(spark, root, "s1") == NOW.replace(microsecond=0) + timedelta(seconds=39)
+    assert landing.read_mark(spark, root, "s0") == NOW.replace(microsecond=0) + timedelta(seconds=38)
+    assert 0 < len(read) <= 2 * (entry_log.SNAPSHOT_EVERY + 1)
+    assert len(entry_log.files(spark, f"{root}/_manifests")) <= entry_log.SNAPSHOT_EVERY + 1
+    marks = {r["slice"]: (r["updated_by_run"], datetime.fromisoformat(r["watermark"]).second) for r in landing.read_marks(spark, root).collect()}
+    assert marks == {"s0": ("r38", (NOW + timedelta(seconds=38)).second), "s1": ("r39", (NOW + timedelta(seconds=39)).second)}
+    found = {r["run_id"]: r["actual_record_count"] for r in landing.read_manifests(spark, root).collect()}
+    assert found == {f"r{i}": i + 45 if i < 5 else i for i in range(45)}
+
+
+def test_writers_at_the_same_moment_lose_no_entry(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: entry_log.append(spark, f"{root}/log", [{"i": i}]), range(40)))
+    assert sorted(numbers) == list(range(1, 41))
+    assert sorted(line["i"] for line in entry_log.lines(spark, entry_log.files(spark, f"{root}/log"))) == list(range(40))

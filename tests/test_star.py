@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from civicflow import contracts
 from civicflow.operators import clean, dimensions, facts, key_sketch
 from civicflow.plans import load
-from civicflow.sources import snapshots
+from civicflow.sources import entry_log, snapshots
 from civicflow.sources.tables import create_exclusively
 
 DAY = 86_400_000
@@ -289,11 +289,11 @@ def test_the_log_stays_short(spark, tmp_path, monkeypatch):
         removed = [f"v={version - 1:06d}/x/t"] if version % 10 == 0 else []
         Path(root, f"v={version:06d}/x/t").mkdir(parents=True)
         snapshots.commit(spark, root, version, f"b{version}", [f"r{version}"], parts, removed)
-        assert len(snapshots.log_files(spark, root)) <= snapshots.SNAPSHOT_EVERY + 1
-    read, plain = [], snapshots.read_text
-    monkeypatch.setattr(snapshots, "read_text", lambda s, path: read.append(path) or plain(s, path))
+        assert len(entry_log.files(spark, f"{root}/_commits")) <= entry_log.SNAPSHOT_EVERY + 1
+    read, plain = [], entry_log.read_text
+    monkeypatch.setattr(entry_log, "read_text", lambda s, path: read.append(path) or plain(s, path))
     state = snapshots.state(spark, root)
-    assert 0 < len(read) <= snapshots.SNAPSHOT_EVERY + 1
+    assert 0 < len(read) <= entry_log.SNAPSHOT_EVERY + 1
     assert (state.version, snapshots.current_version(spark, root)) == (50, 50)
     shown = [v for v in range(1, 51) if (v + 1) % 10 or v == 50]
     assert sorted(part.rows for part in state.of("t")) == shown
@@ -302,7 +302,7 @@ def test_the_log_stays_short(spark, tmp_path, monkeypatch):
     assert sorted((r["version"], r["batch_id"], r["runs"]) for r in found) == [(v, f"b{v}", [f"r{v}"]) for v in range(1, 51)]
     assert snapshots.version_of(spark, root, "b7") == 7 and not snapshots.committed(spark, root, "b70")
     snapshots.expire(spark, root, 1)
-    assert len(list(Path(root, "_commits").glob("[!.]*.json"))) <= snapshots.SNAPSHOT_EVERY + 1
+    assert len(list(Path(root, "_commits").glob("[!.]*.json"))) <= entry_log.SNAPSHOT_EVERY + 1
     assert sorted(int(p.name[2:]) for p in Path(root).glob("v=*")) == shown
     assert snapshots.state(spark, root).of("t") == state.of("t") and snapshots.commits(spark, root).count() == 50
 
@@ -312,14 +312,14 @@ def test_of_two_loads_of_one_version_one_commits(warehouse, spark, batch, tmp_pa
     for name in ("x", "y"):
         batch({"OBJECTID": 2, "Case_Status": name}).write.parquet(str(tmp_path / name))
     meet, outcome = threading.Barrier(2), {}
-    create = snapshots.create_exclusively
+    create = entry_log.create_exclusively
 
     def together(session, path, text):
         if path.endswith("entry-00000002.json"):
             meet.wait(60)
         return create(session, path, text)
 
-    monkeypatch.setattr(snapshots, "create_exclusively", together)
+    monkeypatch.setattr(entry_log, "create_exclusively", together)
 
     def go(name):
         try:
