@@ -29,6 +29,7 @@ def ingest(
     rows_per_file: int = landing.ROWS_PER_FILE,
     sort_key: str | None = None,
     expected: int | None = None,
+    count_first: bool = False,
     slice_name: str = "",
     source_name: str = "",
 ) -> dict:
@@ -37,9 +38,11 @@ def ingest(
     ``update_columns`` (a closing or modification time) add rows that changed after their
     creation was passed; each column has a mark of its own.
 
-    ``expected`` is the source's own row count if it reports one, otherwise the extract is
-    counted first. A run that lands less is a ``short_read``: its files stay, its manifest
-    says so, and the mark does not move, so the next run reads the window again.
+    ``expected`` is the source's own row count if it reports one; a whole Parquet or ORC table is
+    asked for it by its file footers. A run that lands less is a ``short_read``: its files stay, its
+    manifest says so, and the mark does not move, so the next run reads the window again. Of a
+    source that states no count the rows are read once, and what the writing tasks saw is all there
+    is to expect; ``count_first`` reads such a source twice, to compare two readings of it.
     """
     configure(spark)
     columns = {mark_column: slice_name, **{c: f"{slice_name}/{c}" for c in update_columns}}
@@ -51,7 +54,7 @@ def ingest(
 
     wanted = extract.extract(source, since, overlap)
     if expected is None:
-        expected = wanted.count()
+        expected = wanted.count() if count_first else extract.announced_rows(wanted)
 
     directory = landing.run_directory(run_id, run_at)
     totals = [F.count(F.lit(1)).alias("rows")]
@@ -75,6 +78,7 @@ def ingest(
         listed = landing.read_file_lists(spark, root, run_id)
         written = landing.inventory_totals(listed).first().asDict()
 
+    expected = seen["rows"] if expected is None else expected
     marks = {column: seen[f"mark_{column}"] for column in columns}
     status = "short_read" if seen["rows"] < expected else "ok"
     manifest = {

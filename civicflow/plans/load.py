@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
@@ -180,8 +181,13 @@ def _write_facts(
     ranged = _sized(merged.withColumn(facts.MONTH, month), size, facts.MONTH, "object_id", part_bytes=part_bytes)
     path = f"{folder}/{facts.FACT}"
     ranged.sortWithinPartitions(facts.MONTH, "object_id").drop(facts.MONTH).write.parquet(f"{root}/{path}")
-    added = _write_sketches(spark, root, folder, _written(spark, root, facts.FACT, path))
-    return added, [part.path for part in replaced]
+    keys = (rows + sum(part.rows for part in replaced)) / max(1, math.ceil(size / part_bytes))
+    buckets = key_sketch.buckets_for(math.ceil(keys))
+    with ThreadPoolExecutor(1) as pool:
+        sketched = pool.submit(inheritable_thread_target(spark)(_write_sketches), spark, root, folder, buckets)
+        added = _written(spark, root, facts.FACT, path)
+        sketched.result()
+    return [replace(part, buckets=buckets) for part in added], [part.path for part in replaced]
 
 
 def _checked(staged: DataFrame) -> tuple[int, int, int]:
@@ -236,14 +242,12 @@ def touched_parts(
     return [part for path, part in sorted(by_path.items()) if path.rsplit("/", 1)[1] in names]
 
 
-def _write_sketches(spark: SparkSession, root: str, folder: str, parts: list[Part]) -> list[Part]:
-    """The parts, with sketches of their keys beside them."""
-    buckets = key_sketch.buckets_for(max(part.rows for part in parts))
-    stored = _read_parts(spark, root, facts.FACT, parts)
+def _write_sketches(spark: SparkSession, root: str, folder: str, buckets: int) -> None:
+    """Sketches of the keys of the parts that were just written, beside them."""
+    stored = spark.read.schema("object_id bigint").parquet(f"{root}/{folder}/{facts.FACT}")
     place = F.concat(F.lit(f"{folder}/{facts.FACT}/"), F.col("_metadata.file_name"))
     keys = stored.select(place.alias("part"), F.col("object_id").alias("key"))
     key_sketch.sketches(keys, buckets).sortWithinPartitions("bucket").write.parquet(f"{root}/{folder}/{SKETCHES}")
-    return [Part(p.table, p.path, p.rows, p.bytes, p.low, p.high, buckets) for p in parts]
 
 
 def _write_quarantine(

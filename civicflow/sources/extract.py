@@ -53,6 +53,21 @@ def extract(
     return df.where(wanted)
 
 
+def announced_rows(wanted: DataFrame) -> int | None:
+    """The row count of an extract whose source states it without giving its rows: a whole Parquet or
+    ORC table, by its file footers. ``None`` for any other, filtered ones included."""
+    plan = wanted._jdf.queryExecution().optimizedPlan()
+    while plan.getClass().getSimpleName() == "Project":
+        plan = plan.child()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return None
+    relation = plan.relation()
+    if relation.getClass().getSimpleName() != "HadoopFsRelation":
+        return None
+    kind = relation.fileFormat().getClass().getSimpleName()
+    return wanted.count() if kind in ("ParquetFileFormat", "OrcFileFormat") else None
+
+
 def as_epoch_ms(df: DataFrame, column: str) -> Column:
     kind = dict(df.dtypes)[column]
     return F.col(column) if kind == "bigint" else time.to_epoch_ms(F.col(column))

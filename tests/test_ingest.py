@@ -392,3 +392,23 @@ def test_writers_at_the_same_moment_lose_no_entry(spark, root):
         numbers = list(pool.map(lambda i: entry_log.append(spark, f"{root}/log", [{"i": i}]), range(40)))
     assert sorted(numbers) == list(range(1, 41))
     assert sorted(line["i"] for line in entry_log.lines(spark, entry_log.files(spark, f"{root}/log"))) == list(range(40))
+
+
+def test_a_source_is_read_once(spark, source, root, tmp_path, monkeypatch):
+    """Without a count of its own only footers are asked, or nothing at all."""
+    source(*range(7)).write.parquet(str(tmp_path / "table"))
+    whole = spark.read.parquet(str(tmp_path / "table"))
+    recent = whole.where(F.col("OBJECTID") > 3)
+    assert extract.announced_rows(whole.drop("Topic")) == 7
+    assert extract.announced_rows(recent) is None and extract.announced_rows(whole.limit(2)) is None
+    assert extract.announced_rows(spark.range(3)) is None
+    footers = whole.groupBy().count()
+    assert "ReadSchema: struct<>" in executed_plan(footers)
+    manifest = ingest(spark, whole, root, run_id="r1", run_at=NOW, full_refresh=True, sort_key="OBJECTID")
+    assert (manifest["expected_record_count"], manifest["actual_record_count"], manifest["status"]) == (7, 7, "ok")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(whole), "count", lambda df: pytest.fail("counted"))
+        manifest = ingest(spark, recent, root, run_id="r2", run_at=NOW, full_refresh=True)
+        assert (manifest["expected_record_count"], manifest["status"]) == (4, "ok")
+    manifest = ingest(spark, recent, root, run_id="r3", run_at=NOW, full_refresh=True, count_first=True)
+    assert (manifest["expected_record_count"], manifest["status"]) == (4, "ok")
