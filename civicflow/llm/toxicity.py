@@ -29,8 +29,8 @@ from civicflow.llm.near_dup import shingle_sets
 from civicflow.llm.tokens import slices
 from civicflow.llm.words import mix, word_hashes
 
-# Documented bounds: labelled rows that terms are learned from, rows the classifier is fitted to,
-# and terms it can have. Vote counts cover all rows.
+# Bounds that ``train`` takes: labelled rows that terms are learned from, rows the classifier is
+# fitted to, and terms it can have. Vote counts cover all rows.
 LABELLED_ROWS = 20_000
 FITTED_ROWS = 20_000
 MAX_TERMS = 4_096
@@ -107,81 +107,72 @@ def _count_terms(batches):
                 )
 
 
+def _fixed_words() -> np.ndarray:
+    """Hashes of the fixed lexicon, as whole words have them."""
+    return np.unique(mix(word_hashes([INSULTS.encode()], between=_BETWEEN)[1]))
+
+
+def _patterns(texts: list[bytes]) -> np.ndarray:
+    """Of each text, whether it shouts and whether it has marks that stand for shouting."""
+    fired = np.zeros((len(texts), 2), bool)
+    for i, text in enumerate(texts):
+        upper = len(text) - len(text.translate(None, _UPPER))
+        fired[i] = upper * 2 > len(text), b"!!" in text or b"***" in text
+    return fired
+
+
 @dataclass
 class Terms:
-    """Learned terms in ascending order of their hashes, with the lexicon voter of each."""
+    """Terms in ascending order of their hashes, with the lexicon voter of each: learned ones, and
+    the words of the fixed lexicon, whose voter is 0 where they were not learned too."""
 
     hashes: np.ndarray
     voter: np.ndarray
 
-    def present(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(text, term) of all terms that a text has, without repeats."""
+    def present(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term) of all terms that a text has, without repeats, and whether each text has a
+        word of the fixed lexicon."""
         counts, kinds = term_hashes(texts)
         doc = np.repeat(np.arange(len(counts)), counts)
         found = []
-        for hashes in kinds if len(self.hashes) else ():
+        for hashes in kinds:
             at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
             hit = np.flatnonzero(self.hashes[at] == hashes)
             found.append(doc[hit] * len(self.hashes) + at[hit])
-        pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        return pairs // max(1, len(self.hashes)), pairs % max(1, len(self.hashes))
+        pairs = np.unique(np.concatenate(found))
+        insults = np.bincount(doc[np.isin(kinds[0], _fixed_words())], minlength=len(texts)) > 0
+        return pairs // len(self.hashes), pairs % len(self.hashes), insults
 
     @property
     def size(self) -> int:
-        return len(self.hashes)
+        return len(self.hashes) + 2
 
     def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(text, feature) of the classifier, by text; features are below ``size``."""
-        return self.present(texts)
+        """(text, feature) of the classifier, by text: the terms, and behind them the two patterns."""
+        doc, term, _ = self.present(texts)
+        text, pattern = np.nonzero(_patterns(texts))
+        doc, term = np.append(doc, text), np.append(term, len(self.hashes) + pattern)
+        order = np.argsort(doc, kind="stable")
+        return doc[order], term[order]
 
     def votes(self, texts: list[bytes]) -> np.ndarray:
         """A bit for each voter that fires."""
-        doc, term = self.present(texts)
+        doc, term, insults = self.present(texts)
         votes = np.zeros(len(texts), np.int64)
         np.bitwise_or.at(votes, doc, np.int64(1) << self.voter[term])
-        counts, (words, *_) = term_hashes(texts)
-        _, insults = word_hashes([INSULTS.encode()], between=_BETWEEN)
-        fixed = np.isin(words, mix(insults))
-        past = np.concatenate([[0], np.cumsum(fixed)])
-        ends = np.cumsum(counts)
-        votes |= (past[ends] > past[ends - counts]).astype(np.int64)
+        votes |= insults.astype(np.int64)
         votes = np.where(votes & (votes - 1), votes, np.where(votes, votes << ALONE, 1 << NONE))
-        for i, text in enumerate(texts):
-            upper = len(text) - len(text.translate(None, _UPPER))
-            if upper * 2 > len(text):
-                votes[i] |= 1 << SHOUTING
-            if b"!!" in text or b"***" in text:
-                votes[i] |= 1 << MARKS
-        return votes
-
-
-class FixedTerms(Terms):
-    """The words of the fixed lexicon, and as features the patterns too."""
-
-    def __init__(self):
-        _, insults = word_hashes([INSULTS.encode()], between=_BETWEEN)
-        super().__init__(np.unique(mix(insults)), np.zeros(len(insults), np.int64))
-
-    @property
-    def size(self) -> int:
-        return len(self.hashes) + 2
-
-    def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        doc, term = self.present(texts)
-        votes = self.votes(texts)
-        for feature, voter in enumerate((SHOUTING, MARKS), len(self.hashes)):
-            fired = np.flatnonzero(votes >> voter & 1)
-            doc, term = np.append(doc, fired), np.append(term, np.full(len(fired), feature))
-        order = np.argsort(doc, kind="stable")
-        return doc[order], term[order]
+        shouting, marks = _patterns(texts).T.astype(np.int64)
+        return votes | shouting << SHOUTING | marks << MARKS
 
 
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 
 
-def learn_terms(labelled: DataFrame) -> Terms:
+def learn_terms(labelled: DataFrame, max_terms: int = MAX_TERMS) -> Terms:
     """Terms of ``labelled`` (text, toxic) whose documents are toxic more often than not, at two
-    standard errors; at most MAX_TERMS, those of most toxic documents first."""
+    standard errors; at most ``max_terms``, those of most toxic documents first. The words of the
+    fixed lexicon are always among the terms, learned or not."""
     least = max(MIN_DOCS, MIN_SHARE * labelled.where("toxic = 1").count())
     counts = labelled.select("text", "toxic").mapInArrow(_count_terms, "kind int, term long, bad long, docs long")
     counts = counts.groupBy("kind", "term").agg(F.sum("bad").alias("bad"), F.sum("docs").alias("docs"))
@@ -190,10 +181,12 @@ def learn_terms(labelled: DataFrame) -> Terms:
     spread = F.sqrt((share * (1 - share) + z2 / (4 * F.col("docs"))) * z2 / F.col("docs"))
     low = (share + z2 / (2 * F.col("docs")) - spread) / (1 + z2 / F.col("docs"))
     best = counts.where((F.col("bad") >= least) & (low > 0.5)).orderBy(F.desc("bad"), "kind", "term")
-    rows = sorted((r.term % 2**64, r.kind) for r in best.limit(MAX_TERMS).collect())
-    hashes = np.array([h for h, _ in rows], np.uint64)
-    voter = np.array([1 + kind * LEXICONS_PER_KIND + h % LEXICONS_PER_KIND for h, kind in rows], np.int64)
-    return Terms(hashes, voter)
+    voters = dict.fromkeys(_fixed_words().tolist(), 0)
+    for row in best.limit(max_terms).collect():
+        h = row.term % 2**64
+        voters[h] = 1 + row.kind * LEXICONS_PER_KIND + h % LEXICONS_PER_KIND
+    hashes = np.array(sorted(voters), np.uint64)
+    return Terms(hashes, np.array([voters[h] for h in hashes.tolist()], np.int64))
 
 
 class LabelModel:
@@ -271,27 +264,36 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    labelled_rows: int = LABELLED_ROWS,
+    fitted_rows: int = FITTED_ROWS,
+    max_terms: int = MAX_TERMS,
+) -> Classifier:
     """A classifier from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). Only rows selected
     by ``learn``, a condition on doc_id, are read. Labels other than 0 and 1 are left out; rows
-    with the same doc_id count once each. Where toxic labels teach no term the fixed lexicon and the
-    patterns are the features; without toxic labels nothing is toxic."""
+    with the same doc_id count once each. Its features are the fixed lexicon, the patterns and
+    whatever terms the labels teach, be it none; without toxic labels nothing is toxic.
+
+    Terms are learned from at most ``labelled_rows`` labelled rows, picked by a hash; there are at
+    most ``max_terms``; the linear classifier is fitted to at most ``fitted_rows`` rows. The votes
+    of all rows are counted."""
     docs = docs.select(F.col("doc_id").cast("long"), "text").where(learn)
     chosen = labels.select(F.col("doc_id").cast("long"), "toxic").where(learn & F.col("toxic").isin(0, 1))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     order = F.xxhash64("doc_id")
-    sample = stored(chosen.orderBy(order, "doc_id").limit(LABELLED_ROWS), "labelled")
+    sample = stored(chosen.orderBy(order, "doc_id").limit(labelled_rows), "labelled")
     labelled = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic")
     labelled = labelled.mapInArrow(_families, "text string, toxic long, low long, high long")
     for key in ("low", "high"):
         first = F.min(F.struct(F.xxhash64("text"), "toxic", "text", "low", "high")).alias("first")
         labelled = labelled.groupBy(key).agg(first).select("first.*")
     labelled = stored(labelled.select("text", "toxic"), "labelled")
-    terms = learn_terms(labelled)
-    if not len(terms.hashes):
-        if labelled.where("toxic = 1").isEmpty():
-            return Classifier(terms, np.zeros(0), -10.0)
-        terms = FixedTerms()
+    terms = learn_terms(labelled, max_terms)
+    if labelled.where("toxic = 1").isEmpty():
+        return Classifier(terms, np.zeros(terms.size), -10.0)
 
     def vote(batches):
         for batch in batches:
@@ -321,7 +323,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Classifier:
                 columns = [pa.array(terms.votes(texts)), pa.array(lists, pa.list_(pa.int64())), part.column(1)]
                 yield pa.record_batch(columns, names=["votes", "terms", "given"])
 
-    ids = docs.select("doc_id").distinct().orderBy(order, "doc_id").limit(FITTED_ROWS)
+    ids = docs.select("doc_id").distinct().orderBy(order, "doc_id").limit(fitted_rows)
     ids = ids.join(chosen, "doc_id", "left").select("doc_id", F.coalesce("toxic", F.lit(-1)).cast("long").alias("given"))
     fitted = docs.join(F.broadcast(ids), "doc_id").select("text", "given")
     rows = fitted.mapInArrow(present, "votes long, terms array<bigint>, given long").collect()
