@@ -8,9 +8,8 @@ weight 0 is the result, and the search splits at any place:
 * A document longer than ``CHUNK`` characters is cut into chunks at fixed places. The state at a cut
   is the last piece that ends at or before it, and where it ends; the next piece ends behind it.
 * Each chunk gives the matrix of weights from every state at its left to every state at its right.
-* One task sweeps a set of states over all matrices of a document, from the left and then from the
-  right, one after the other; no two matrices are multiplied. The state at a cut is the one that
-  both sweeps reach.
+* Matrices are multiplied in a tree, neighbours first, in rounds that give one matrix a document; its
+  ends are known, and each product's states are passed down to the cut between its two factors.
 * With the states at both its ends known, each chunk is traced back alone.
 
 Inside a chunk, a path passes every place that no piece of the vocabulary crosses (in front of a
@@ -24,13 +23,15 @@ Short documents are encoded where they are read. Results are those of the senten
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civicflow.llm.components import stored
 from civicflow.llm.tokens import _Cache, slices
 
 CHUNK = 1 << 15
@@ -234,30 +235,112 @@ def _cut(text: str, margin: int) -> Iterator[tuple[int, str, int]]:
         yield number, text[begin - before : begin + CHUNK], before
 
 
-def combine(matrices: list[tuple[list[State], dict[State, int], int]]) -> list[tuple[State, State]] | None:
-    """States at both ends of every chunk of a document, or None if they are not unique.
-
-    Each matrix comes with its entries and its own chunk's length; states are places relative to
-    the chunk's begin (entries) and end (exits), so they match from chunk to chunk.
+@dataclass(frozen=True)
+class Matrix:
+    """Weights of a stretch of chunks: 0 from the entries (bits) that an exit stands with, minus
+    infinity from all others. States are places relative to the stretch's begin (entries) and end
+    (exits), so they match from one stretch to the next."""
+
+    entries: list[State]
+    exits: dict[State, int]
+
+    def times(self, right: Matrix) -> Matrix:
+        """The matrix of both stretches; the product is associative."""
+        number = {e: 1 << i for i, e in enumerate(right.entries)}
+        exits = {}
+        for state, sources in right.exits.items():
+            bits = 0
+            for middle, own in self.exits.items():
+                if sources & number.get(middle, 0):
+                    bits |= own
+            if bits:
+                exits[state] = bits
+        return Matrix(self.entries, exits)
+
+    def middle(self, right: Matrix, entry: State, last: State) -> State | None:
+        """The state between both stretches on the way from ``entry`` to ``last``, if there is one."""
+        bit = 1 << self.entries.index(entry)
+        wanted = right.exits[last]
+        found = [e for i, e in enumerate(right.entries) if wanted >> i & 1 and self.exits.get(e, 0) & bit]
+        return found[0] if len(found) == 1 else None
+
+    def flat(self) -> dict[str, bytes]:
+        size = (len(self.entries) + 7) // 8
+        weights = b"".join(bits.to_bytes(size, "little") for bits in self.exits.values())
+        return {"entries": _flat(self.entries), "exits": _flat(self.exits), "weights": weights}
+
+    @staticmethod
+    def of(row: dict) -> Matrix:
+        entries, exits = _states(row["entries"]), _states(row["exits"])
+        size = (len(entries) + 7) // 8
+        bits = [int.from_bytes(row["weights"][i * size : (i + 1) * size], "little") for i in range(len(exits))]
+        return Matrix(entries, dict(zip(exits, bits)))
+
+
+_MATRIX = "row binary, node int, entries binary, exits binary, weights binary"
+_ENDS = "row binary, node int, ends binary"
+
+
+def _product(table: pa.Table) -> pa.Table:
+    """The matrix of a node from those of its two children, or of its only one."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["node"])
+    found = reduce(Matrix.times, map(Matrix.of, rows))
+    columns = {"row": rows[0]["row"], "node": rows[0]["node"] // 2} | found.flat()
+    return pa.table({name: pa.array([value], _kind(name)) for name, value in columns.items()})
+
+
+def _root_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """States at both ends of whole documents: the start, and the state that ends where the text does."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        ends = []
+        for row in rows:
+            whole = Matrix.of(row)
+            last = [s for s, bits in whole.exits.items() if s[0] == 0 and bits & 1]
+            ends.append(_flat([whole.entries[0], last[0]]) if len(last) == 1 else None)
+        columns = [batch.column("row"), batch.column("node"), pa.array(ends, pa.binary())]
+        yield pa.record_batch(columns, names=["row", "node", "ends"])
+
+
+def _child_ends(table: pa.Table) -> pa.Table:
+    """States at both ends of a node's children; none where the state between them is not unique."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["node"])
+    ends = _states(rows[0]["ends"]) if rows[0]["ends"] else None
+    if ends and len(rows) == 2:
+        between = Matrix.of(rows[0]).middle(Matrix.of(rows[1]), *ends)
+        pairs = [(ends[0], between), (between, ends[1])] if between else [None, None]
+    else:
+        pairs = [ends] * len(rows)
+    columns = {
+        "row": [r["row"] for r in rows],
+        "node": [r["node"] for r in rows],
+        "ends": [_flat(pair) if pair else None for pair in pairs],
+    }
+    return pa.table({name: pa.array(values, _kind(name)) for name, values in columns.items()})
+
+
+def _kind(name: str) -> pa.DataType:
+    return pa.int32() if name == "node" else pa.binary()
+
+
+def states_at_cuts(matrices: DataFrame) -> DataFrame:
+    """(row, node, ends) of every chunk: the states at its two ends, of ``matrices`` of chunks.
+
+    A scan over a binary tree: rounds of products of neighbours up to one matrix a document, then
+    the states at its ends passed down again. No task sees more than two matrices of a document, and
+    a document of n chunks takes log2(n) rounds each way.
     """
-    number = len(matrices)
-    ahead: list[set[State]] = [{matrices[0][0][0]}]
-    for entries, exits, _ in matrices:
-        bits = sum(1 << i for i, e in enumerate(entries) if e in ahead[-1])
-        ahead.append({s for s, sources in exits.items() if sources & bits})
-    back: list[set[State]] = [set()] * number + [{s for s in ahead[-1] if s[0] == 0}]
-    for k in range(number - 1, -1, -1):
-        entries, exits, _ = matrices[k]
-        bits = 0
-        for s, sources in exits.items():
-            if s in back[k + 1]:
-                bits |= sources
-        back[k] = {e for i, e in enumerate(entries) if bits >> i & 1}
-    states = [a & b for a, b in zip(ahead, back)]
-    if any(len(s) != 1 for s in states):
-        return None
-    found = [next(iter(s)) for s in states]
-    return list(zip(found[:-1], found[1:]))
+    levels = [stored(matrices, "matrices")]
+    while not levels[-1].where("node > 0").isEmpty():
+        pairs = levels[-1].groupBy("row", F.expr("node div 2"))
+        levels.append(stored(pairs.applyInArrow(_product, _MATRIX), "matrices"))
+    ends = stored(levels[-1].mapInArrow(_root_ends, _ENDS), "ends")
+    for level in reversed(levels[:-1]):
+        above = ends.select("row", F.col("node").alias("above"), "ends")
+        children = level.withColumn("above", F.expr("cast(node div 2 as int)")).join(above, ["row", "above"])
+        children = children.groupBy("row", "above").applyInArrow(_child_ends, _ENDS)
+        ends = stored(children, "ends")
+    return ends
 
 
 def _shift(states: Iterable[State], by: int) -> list[State]:
@@ -302,32 +385,10 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         for row in _rows(batches, "part"):
             chunk = Chunk(pieces(model), row["part"], row["margin"])
             exits = chunk.matrix()
-            size = (len(chunk.entries()) + 7) // 8
-            columns = {
-                "row": pa.array([row["row"]], pa.binary()),
-                "chunk": pa.array([row["chunk"]], pa.int32()),
-                "entries": pa.array([_flat(_shift(chunk.entries(), chunk.begin))], pa.binary()),
-                "exits": pa.array([_flat(_shift(exits, chunk.end))], pa.binary()),
-                "weights": pa.array([b"".join(b.to_bytes(size, "little") for b in exits.values())], pa.binary()),
-            }
-            yield pa.record_batch(list(columns.values()), names=list(columns))
-
-    def scan(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
-        matrices = []
-        for r in rows:
-            entries, exits = _states(r["entries"]), _states(r["exits"])
-            size = (len(entries) + 7) // 8
-            bits = [int.from_bytes(r["weights"][i * size : (i + 1) * size], "little") for i in range(len(exits))]
-            matrices.append((entries, dict(zip(exits, bits)), r["chunk"]))
-        found = combine(matrices)
-        ends = [_flat(pair) for pair in found] if found else [None] * len(rows)
-        columns = {
-            "row": pa.array([r["row"] for r in rows], pa.binary()),
-            "chunk": pa.array([r["chunk"] for r in rows], pa.int32()),
-            "ends": pa.array(ends, pa.binary()),
-        }
-        return pa.table(columns)
+            right = dict(zip(_shift(exits, chunk.end), exits.values()))
+            columns = {"row": row["row"], "node": row["chunk"]}
+            columns |= Matrix(_shift(chunk.entries(), chunk.begin), right).flat()
+            yield pa.record_batch([pa.array([v], _kind(c)) for c, v in columns.items()], names=list(columns))
 
     def trace(batches):
         for row in _rows(batches, "part"):
@@ -359,8 +420,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         cut, "doc_id long, row binary, chunk int, part string, margin int"
     )
     chunks = chunks.repartition("row", "chunk")
-    weights = chunks.mapInArrow(weigh, "row binary, chunk int, entries binary, exits binary, weights binary")
-    ends = weights.groupBy("row").applyInArrow(scan, "row binary, chunk int, ends binary")
+    ends = states_at_cuts(chunks.mapInArrow(weigh, _MATRIX)).withColumnRenamed("node", "chunk")
     traced = chunks.join(ends.where("ends is not null"), ["row", "chunk"]).select("doc_id", "row", "chunk", "part", "margin", "ends")
     traced = traced.mapInArrow(trace, "doc_id long, row binary, chunk int, ids binary").join(copies, "row")
     joined = traced.groupBy("row").applyInArrow(join, out)

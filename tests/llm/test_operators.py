@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import math
 import random
 import zlib
@@ -420,8 +421,28 @@ def test_chunks_combine_to_the_library_result(chunk, monkeypatch):
         for part in parts:
             exits = part.matrix()
             relative = dict(zip(pieces._shift(exits, part.end), exits.values()))
-            matrices.append((pieces._shift(part.entries(), part.begin), relative, 0))
-        ends = pieces.combine(matrices)
+            matrices.append(pieces.Matrix(pieces._shift(part.entries(), part.begin), relative))
+        whole = functools.reduce(pieces.Matrix.times, matrices)
+        (last,) = [s for s, bits in whole.exits.items() if s[0] == 0 and bits & 1]
+
+        def multiplied(low, high):
+            """The product of a stretch, grouped at random."""
+            if high - low == 1:
+                return matrices[low]
+            at = chance.randrange(low + 1, high)
+            return multiplied(low, at).times(multiplied(at, high))
+
+        def ends_of(low, high, entry, last):
+            if high - low == 1:
+                return [(entry, last)]
+            at = chance.randrange(low + 1, high)
+            between = multiplied(low, at).middle(multiplied(at, high), entry, last)
+            return ends_of(low, at, entry, between) + ends_of(at, high, between, last)
+
+        chance = random.Random(chunk)
+        for _ in range(3):
+            assert multiplied(0, len(matrices)) == whole
+        ends = ends_of(0, len(matrices), whole.entries[0], last)
         ids = [
             part.ids(*pieces._shift([a], -part.begin), *pieces._shift([b], -part.end)).tolist() for part, (a, b) in zip(parts, ends)
         ]
@@ -430,7 +451,7 @@ def test_chunks_combine_to_the_library_result(chunk, monkeypatch):
 
 def test_long_documents_take_the_scan(spark, monkeypatch):
     chance = random.Random(8)
-    long = "".join(chance.choice("theringato ") for _ in range(3 * pieces.CHUNK)) + "x" * 40
+    long = "".join(chance.choice("theringato ") for _ in range(6 * pieces.CHUNK)) + "x" * 40
     docs = spark.createDataFrame([(1, long), (1, long), (2, "short"), (None, long + " ")], "doc_id long, text string")
     model = public_tokenizers.path("piece_bpe_32k.model")
     library = sentencepiece.SentencePieceProcessor(model_file=model)
