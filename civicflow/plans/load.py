@@ -83,11 +83,16 @@ def load_star(
             if quarantined is not None:
                 added += _write_quarantine(spark, quarantined, root, folder, batch_id)
         tables.delete_path(spark, f"{root}/{folder}/{STAGED}")
-        added += [part for parts in members.values() for part in parts if part.path not in before.parts]
-        snapshots.commit(spark, root, version, batch_id, runs, added, [*removed, *compacted])
     except Exception:
         tables.delete_path(spark, f"{root}/{folder}")
         raise
+    added += [part for parts in members.values() for part in parts if part.path not in before.parts]
+    try:
+        snapshots.commit(spark, root, version, batch_id, runs, added, [*removed, *compacted])
+    except snapshots.StaleVersionError:
+        # Only then is it certain that the log does not name the folder.
+        tables.delete_path(spark, f"{root}/{folder}")
+        raise
     if keep_versions is not None:
         expire(spark, root, keep_versions)
     return version
