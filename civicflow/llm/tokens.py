@@ -8,6 +8,7 @@ than texts do; each is encoded once per worker and found again in a bounded cach
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -19,7 +20,9 @@ _RUNS = re.compile(r"\s*\S+|\s+")
 # A word, with a line feed before and marks behind it: three pre-tokens at most, of which the
 # word needs the model alone and the others are few.
 _WORD = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]{0,4})")
-CACHED_PIECES = 800_000
+# Marks that are never one token with the letters before them; an apostrophe may be.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+CACHED_PIECES = 650_000
 BATCH_BYTES = 1 << 22
 # Encoded at a time: the more, the fewer different pieces there are to look up for each text.
 ENCODED_BYTES = 1 << 23
@@ -41,17 +44,25 @@ class _Odd(Exception):
 
 
 class _Cache(dict):
-    """Ids of pieces, in two generations: the older one goes when the younger is full."""
+    """Ids of pieces, in two generations: the older one goes when the younger is full. With ``marks``
+    a word with marks behind it is not kept, but put together from the word and the marks."""
 
-    def __init__(self, encode, limit: int = CACHED_PIECES):
+    def __init__(self, encode, limit: int = CACHED_PIECES, marks=None):
         super().__init__()
         self._encode = encode
         self._limit = limit
+        self._marks = marks
         self._old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self._old.get(piece)
-        self[piece] = ids = self._encode(piece) if ids is None else ids
+        if ids is None:
+            if self._marks:
+                word = piece.rstrip(_MARKS)
+                if 0 < len(piece) - len(word) < 5 and word.isascii() and word.isalpha():
+                    return self[word] + self._marks(piece[len(word) :])
+            ids = self._encode(piece)
+        self[piece] = ids
         return ids
 
     def age(self) -> None:
@@ -74,12 +85,18 @@ class Encoder:
         self._plain.encode_special_tokens = True
         size = self._plain.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 2**16 else np.dtype("<u4")
+        self._format = "H" if size <= 2**16 else "I"
         normalizer = self._plain.normalizer
         self._lower = normalizer is not None and normalizer.normalize_str("A") == "a"
         self._blank = self._plain.pre_tokenizer.pre_tokenize_str(" a")[0][0] != "a"
         self._model = self._plain.model
-        self._marks = {"": b"", "\n": self._ids("\n")}
-        self._cache = _Cache(self._piece, cached)
+        self._known_marks = {"": b"", "\n": self._ids("\n")}
+        self._cache = _Cache(self._piece, cached, self._marks)
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self._known_marks:
+            self._known_marks[marks] = self._ids(marks)
+        return self._known_marks[marks]
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, each followed by ``end``, and the number of ids of each."""
@@ -89,7 +106,7 @@ class Encoder:
         found = lists.flatten().dictionary_encode()
         which = found.indices.to_numpy()
         first = lists.offsets.to_numpy()[:-1]
-        words = found.dictionary.to_pylist()
+        words = found.dictionary.to_numpy(zero_copy_only=False)
         ids, odd = [], np.zeros(len(words) + 1, bool)
         inner = np.ones(len(which), bool)
         inner[first] = False
@@ -101,7 +118,7 @@ class Encoder:
                 odd[i] = True
         odd_at = odd[which]
         # A NUL marks the start of a text; one that the text itself has there is odd elsewhere.
-        marked = np.fromiter((word[:1] == "\0" for word in words), bool, len(words))
+        marked = pc.starts_with(found.dictionary, "\0").to_numpy(zero_copy_only=False)
         if marked.sum() and (inner & marked[which]).any():
             odd_at |= inner & marked[which]
         width = self.dtype.itemsize
@@ -129,20 +146,22 @@ class Encoder:
         ids = self._plain.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, self.dtype).tobytes()
 
+    def _word(self, text: str, blank: bool) -> bytes:
+        """A word alone, with a blank in front of it where the model joins the two."""
+        if self._lower:
+            text = text.lower()
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(_SHOWN)
+        ids = [token.id for token in self._model.tokenize("Ġ" + text if self._blank and blank else text)]
+        return struct.pack(f"<{len(ids)}{self._format}", *ids)
+
     def _piece(self, piece: str) -> bytes:
         """A piece behind one blank, one that starts with its line feed, or one behind a NUL."""
+        if piece.isascii() and piece.isalpha():
+            return self._word(piece, True)
         if word := _WORD.fullmatch(piece):
             line, text, marks = word.groups()
-            if self._lower:
-                text = text.lower()
-            if not text.isascii():
-                text = text.encode().decode("latin-1").translate(_SHOWN)
-            found = self._model.tokenize("Ġ" + text if self._blank and not line else text)
-            if marks not in self._marks:
-                self._marks[marks] = self._ids(marks)
-            width = self.dtype.itemsize
-            ids = b"".join([token.id.to_bytes(width, "little") for token in found])
-            return self._marks[line] + ids + self._marks[marks]
+            return self._marks(line) + self._word(text, not line) + self._marks(marks)
         if piece[:1] == "\0":
             return self._ids(piece[1:])
         if piece[:1] == "\n" and len(piece) > 1:
