@@ -14,12 +14,12 @@ def headline(star: dict[str, DataFrame]) -> DataFrame:
     """The four figures on top of the dashboard as they are shown (one row)."""
     fact = star["fact_service_request"]
     volume = metrics.volume_figures(fact, star["dim_agency"])
-    stats = distribution.resolution_stats(metrics.resolution_hours(fact))
+    volume = volume.select(F.struct("total_requests", "agencies").alias("volume")).scalar()
     median = F.col("median_hours")
-    # Two tables of one row each.
-    return stats.withColumn("_row", F.lit(1)).join(volume.withColumn("_row", F.lit(1)), "_row").select(
-        F.format_number("total_requests", 0).alias("total_requests"),
-        "agencies",
+    stats = distribution.resolution_stats(metrics.resolution_hours(fact)).withColumn("volume", volume)
+    return stats.select(
+        F.format_number("volume.total_requests", 0).alias("total_requests"),
+        F.col("volume.agencies").alias("agencies"),
         text.percent_text(F.col("zero_hour_rate")).alias("same_call_share"),
         F.when(median.isNull(), "N/A")
         .otherwise(F.format_string("%.1f hrs", F.bround(median, 1)))
