@@ -13,7 +13,7 @@ from civicflow.operators.clean import clean_requests
 from civicflow.session import configure, sized_shuffles
 from civicflow.sources import landing, snapshots, tables
 
-# Rows in a shuffle against the gzip JSON they come from.
+# Rows in memory against the gzip JSON, or the staged Parquet, they come from.
 EXPANSION = 10.0
 
 REQUESTS = "requests"
@@ -120,7 +120,7 @@ def transform(
         *summary_measures(raw_rows),
         quality.info("staged_rows", staged.agg(F.count(F.lit(1))).scalar()),
     ]
-    with sized_shuffles(staged):
+    with sized_shuffles(staged, EXPANSION):
         result = judge(staged, all_checks, quarantine, max_corrupt, max_quarantined)
     if not result.measures.get("staged_rows", 1):
         tables.delete_path(spark, path)
