@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BUCKET_BITS = 32_768  # what bitmap_construct_agg makes
 BITS_PER_KEY = 12
 PROBES = 4
+# The positions of so many keys are sorted by one task.
+KEYS_PER_TASK = 250_000
 
 
 def buckets_for(keys: int) -> int:
@@ -30,9 +32,16 @@ def _positions(key: Column) -> Column:
     return F.array(*(F.pmod(F.xxhash64(key, F.lit(i)), F.lit(BUCKET_BITS)) for i in range(PROBES)))
 
 
-def sketches(keys: DataFrame, buckets: int) -> DataFrame:
-    """Sketch rows of ``keys`` (part, key), the parts having ``buckets`` buckets each."""
-    spread = keys.select("part", _bucket(F.col("key"), F.lit(buckets)).alias("bucket"), F.explode(_positions(F.col("key"))).alias("at"))
+def sketches(keys: DataFrame, buckets: int, rows: int | None = None) -> DataFrame:
+    """Sketch rows of ``keys`` (part, key), the parts having ``buckets`` buckets each.
+
+    The bitmaps come from a sort, so the keys are dealt out by bucket before they become positions:
+    no task sorts a whole part's. ``rows`` says how many keys there are, if that is known.
+    """
+    placed = keys.select("part", _bucket(F.col("key"), F.lit(buckets)).alias("bucket"), "key")
+    number = [] if rows is None else [max(1, math.ceil(rows / KEYS_PER_TASK))]
+    dealt = placed.repartition(*number, "part", "bucket")
+    spread = dealt.select("part", "bucket", F.explode(_positions(F.col("key"))).alias("at"))
     bits = F.bitmap_construct_agg("at").alias("bits")
     return spread.groupBy("part", "bucket").agg(bits).select("part", F.lit(buckets).alias("buckets"), "bucket", "bits")
 

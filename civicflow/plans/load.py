@@ -23,8 +23,10 @@ from civicflow.session import PARTITION_BYTES, configure, sized_shuffles
 from civicflow.sources import snapshots, tables
 from civicflow.sources.snapshots import Part, State
 
-# Rows in a shuffle against the Parquet files they come from.
-EXPANSION = 4.0
+# Rows in memory against the Parquet files they come from.
+EXPANSION = 16.0
+# A part is sorted by one task; this much in files is some hundred MB there.
+PART_BYTES = PARTITION_BYTES // 8
 # Parts below half the target size are small; so many of a table become one.
 SMALL_PARTS = 8
 
@@ -53,7 +55,7 @@ def load_star(
     keep_versions: int | None = None,
     runs: Sequence[str] = (),
     quarantined: DataFrame | None = None,
-    part_bytes: int = PARTITION_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> int:
     """Merge ``batch`` (clean cases, keys unique) and return the version that holds it.
 
@@ -186,10 +188,10 @@ def _write_facts(
     ranged = _sized(merged.withColumn(facts.MONTH, month), size, facts.MONTH, "object_id", part_bytes=part_bytes)
     path = f"{folder}/{facts.FACT}"
     ranged.sortWithinPartitions(facts.MONTH, "object_id").drop(facts.MONTH).write.parquet(f"{root}/{path}")
-    keys = (rows + sum(part.rows for part in replaced)) / max(1, math.ceil(size / part_bytes))
-    buckets = key_sketch.buckets_for(math.ceil(keys))
+    keys = rows + sum(part.rows for part in replaced)
+    buckets = key_sketch.buckets_for(math.ceil(keys / max(1, math.ceil(size / part_bytes))))
     with ThreadPoolExecutor(1) as pool:
-        sketched = pool.submit(inheritable_thread_target(spark)(_write_sketches), spark, root, folder, buckets)
+        sketched = pool.submit(inheritable_thread_target(spark)(_write_sketches), spark, root, folder, buckets, keys)
         added = _written(spark, root, facts.FACT, path)
         sketched.result()
     return [replace(part, buckets=buckets) for part in added], [part.path for part in replaced]
@@ -247,12 +249,13 @@ def touched_parts(
     return [part for path, part in sorted(by_path.items()) if path.rsplit("/", 1)[1] in names]
 
 
-def _write_sketches(spark: SparkSession, root: str, folder: str, buckets: int) -> None:
-    """Sketches of the keys of the parts that were just written, beside them."""
+def _write_sketches(spark: SparkSession, root: str, folder: str, buckets: int, rows: int) -> None:
+    """Sketches of the keys of the parts that were just written, so many ``rows``, beside them."""
     stored = spark.read.schema("object_id bigint").parquet(f"{root}/{folder}/{facts.FACT}")
-    place = F.concat(F.lit(f"{folder}/{facts.FACT}/"), F.col("_metadata.file_name"))
-    keys = stored.select(place.alias("part"), F.col("object_id").alias("key"))
-    key_sketch.sketches(keys, buckets).sortWithinPartitions("bucket").write.parquet(f"{root}/{folder}/{SKETCHES}")
+    keys = stored.select(F.col("_metadata.file_name").alias("part"), F.col("object_id").alias("key"))
+    sketch = key_sketch.sketches(keys, buckets, rows)
+    sketch = sketch.withColumn("part", F.concat(F.lit(f"{folder}/{facts.FACT}/"), "part"))
+    sketch.sortWithinPartitions("bucket").write.parquet(f"{root}/{folder}/{SKETCHES}")
 
 
 def _write_quarantine(
