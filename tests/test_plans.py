@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import inspect
 import re
 
 import pytest
@@ -10,7 +11,9 @@ from conftest import SF_DIR, executed_plan
 from pyspark.sql import functions as F
 
 from civicflow import session
-from civicflow.operators import dedup, distribution, metrics
+from civicflow.operators import dedup, distribution, key_sketch, metrics
+from civicflow.plans import ingest, load
+from civicflow.sources import landing, tables
 from workload import feed, spark_queries, stored
 
 
@@ -157,3 +160,58 @@ def test_no_query_needs_a_cross_join_or_python_rows(spark):
         plan = query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"):
             assert operator not in plan, (name, operator)
+
+
+def test_compressed_files_are_packed_by_what_they_expand_to(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "lines")
+    spark.range(8_000).repartition(8).write.option("compression", "gzip").json(path)
+    size = tables.stored_bytes(spark, path) // 8
+    monkeypatch.setattr(session, "PARTITION_BYTES", 20 * size)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(key) for key in keys]
+    with conf(spark, spark__sql__files__openCostInBytes="0", spark__sql__files__minPartitionNum="1"):
+        lines = spark.read.schema("id bigint").json(path)
+        assert spark.read.schema("id bigint").json(path).rdd.getNumPartitions() == 1
+        with session.sized_shuffles(lines, 10.0):
+            inside = spark.read.schema("id bigint").json(path)
+            assert inside.rdd.getNumPartitions() >= 4
+            assert [int(spark.conf.get(key)) for key in keys] == [2 * size] * 2
+    assert [spark.conf.get(key) for key in keys] == before
+
+
+def test_sketch_positions_are_made_behind_the_exchange(spark, monkeypatch):
+    """No task sorts the positions of a whole part's keys: keys are exchanged, and once."""
+    monkeypatch.setattr(key_sketch, "KEYS_PER_TASK", 100)
+    keys = spark.range(1000).select((F.col("id") % 2).cast("string").alias("part"), F.col("id").alias("key"))
+    sketch = key_sketch.sketches(keys, 4, 1000)
+    assert sketch.rdd.getNumPartitions() == 10
+    plan = executed_plan(sketch)
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
+
+
+def test_a_part_of_the_fact_fits_the_task_that_sorts_it():
+    size = inspect.signature(load.load_star).parameters["part_bytes"].default
+    assert size * load.EXPANSION <= 2 * session.PARTITION_BYTES
+
+
+def test_feed_tables_are_built_in_tasks_by_their_size(spark, tmp_path, monkeypatch):
+    used = {}
+
+    def record(name):
+        return lambda *rows, **options: used.update({name: session.shuffle_partitions(spark)})
+
+    monkeypatch.setattr(landing, "write_landing", record("landing"))
+    monkeypatch.setattr(feed, "EXPANSION", 10_000.0)
+    rows = feed.raw_requests(spark, SF_DIR)
+    stored.land(rows, str(tmp_path / "raw"))
+    assert used["landing"] == session.partitions_for(rows, 10_000.0) > 4
+    assert session.shuffle_partitions(spark) == 4
+
+
+def test_a_source_is_landed_in_tasks_by_its_size(spark, tmp_path, monkeypatch):
+    used, plain = [], landing.write_landing
+    monkeypatch.setattr(landing, "write_landing", lambda *a: used.append(session.shuffle_partitions(spark)) or plain(*a))
+    monkeypatch.setattr(ingest, "EXPANSION", 10_000.0)
+    source = feed.raw_requests(spark, SF_DIR).select(*stored.RAW_COLUMNS)
+    ingest.ingest(spark, source, str(tmp_path), run_id="r", run_at=stored.FIRST_DAY, full_refresh=True)
+    assert used[0] > 4

@@ -62,6 +62,8 @@ DELIVERY_ORDER = (
 )
 EXTRA_COLUMNS = ["ingest_year", "ingest_month", "ingest_day", "part_no", "tb1", "tb2", "tb3"]
 SPLIT_YEAR = 1998
+# Feed rows in memory against the Parquet files they are joined from.
+EXPANSION = 20.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ from civicflow.plans import end_to_end
 from civicflow.plans.ingest import ingest
 from civicflow.plans.load import load_star, read_star
 from civicflow.plans.transform import stage_clean, transform
-from civicflow.session import configure, scratch_dir
+from civicflow.session import configure, scratch_dir, sized_shuffles
 from civicflow.sources import landing
 from civicflow.streaming import incremental
 from workload import feed
@@ -107,10 +107,17 @@ def second_load(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 
 def load_batch(spark: SparkSession, cases: DataFrame, path: str, name: str, day: datetime) -> None:
     batch = f"{path}/batch-{name}"
-    cases.write.mode("overwrite").parquet(batch)
+    with sized_shuffles(cases, feed.EXPANSION):
+        cases.write.mode("overwrite").parquet(batch)
     load_star(spark, spark.read.parquet(batch), f"{path}/star", batch_id=name, loaded_at=day)
 
 
+def land(rows: DataFrame, path: str) -> None:
+    """A run's files alone, as a stream picks them up."""
+    with sized_shuffles(rows, feed.EXPANSION):
+        landing.write_landing(rows, path)
+
+
 def landed(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
     """Root and manifest of one run that landed every raw row."""
 
@@ -167,8 +174,7 @@ def streamed_root(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> str:
         for number, day in ((1, FIRST_DAY), (2, SECOND_DAY)):
             source = feed.delivery(spark, sf_dir, number).select(*RAW_COLUMNS)
-            target = f"{path}/raw/{landing.run_directory(f'run-{number}', day)}"
-            landing.write_landing(source, target)
+            land(source, f"{path}/raw/{landing.run_directory(f'run-{number}', day)}")
             options = DIRTY | {"keep_versions": 1}
             query = incremental.start(spark, f"{path}/raw", f"{path}/star", f"{path}/work", **options)
             query.awaitTermination()
@@ -222,7 +228,7 @@ def restarted(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def build(path: str) -> str:
         for number, day in ((1, FIRST_DAY), (2, SECOND_DAY)):
             source = feed.delivery(spark, sf_dir, number).select(*RAW_COLUMNS)
-            landing.write_landing(source, f"{path}/raw/{landing.run_directory(f'run-{number}', day)}")
+            land(source, f"{path}/raw/{landing.run_directory(f'run-{number}', day)}")
             work = f"{path}/work-{number}"
             incremental.start(spark, f"{path}/raw", f"{path}/star", work, **DIRTY).awaitTermination()
         return f"{path}/star"
