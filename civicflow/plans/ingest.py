@@ -12,6 +12,9 @@ from civicflow import contracts
 from civicflow.session import configure, sized_shuffles
 from civicflow.sources import extract, landing
 
+# Rows in memory against the files of the source.
+EXPANSION = 10.0
+
 
 def ingest(
     spark: SparkSession,
@@ -68,7 +71,7 @@ def ingest(
         # counts a finished result task once even if an executor is lost.
         figures = Observation()
         ordered = landing.in_key_order(wanted, sort_key) if sort_key else wanted
-        with sized_shuffles(wanted):
+        with sized_shuffles(wanted, EXPANSION):
             landing.write_landing(
                 ordered.observe(figures, *totals), f"{root}/{directory}", rows_per_file
             )
