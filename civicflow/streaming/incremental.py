@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from civicflow import contracts
 from civicflow.operators import quality
 from civicflow.plans.load import load_star
-from civicflow.plans.transform import ACCEPTED, QUARANTINED, judge, stage_clean
-from civicflow.session import configure
+from civicflow.plans.transform import ACCEPTED, EXPANSION, QUARANTINED, judge, stage_clean
+from civicflow.session import configure, copied, sized_shuffles, task_limits
 from civicflow.sources import landing, snapshots, tables
 
 
@@ -65,7 +65,8 @@ def process_batch(
     numbered = batch.withColumn(landing.ROW_ID, landing.scan_position())
     staged = stage_clean(numbered, path, landing.ROW_ID)
     checks = [*quality.default_checks(), quality.corrupt_rate()]
-    result = judge(staged, checks, quarantine, max_corrupt, max_quarantined)
+    with sized_shuffles(staged, EXPANSION):
+        result = judge(staged, checks, quarantine, max_corrupt, max_quarantined)
     quality.require_pass(result)
     apart = staged.where(F.col("disposition") == QUARANTINED).drop("disposition") if quarantine else None
     if result.row_count or (apart is not None and not apart.isEmpty()):
@@ -89,15 +90,18 @@ def start(
     ``work_root`` holds the checkpoint and the staged batches. A batch is named by the stream's
     identity and its number, so a stream with another checkpoint is another stream: it reads
     everything landed and merges it again, which neither skips nor repeats a case.
-    ``batch_options`` go to :func:`process_batch`.
+    ``batch_options`` go to :func:`process_batch`. The stream runs in a copy of the session, in which
+    a scan packs only so many of the compressed files into one task.
     """
-    configure(spark)
+    spark = configure(copied(spark))
     checkpoint = f"{work_root}/checkpoint"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         name = f"{stream_id(spark, checkpoint)}-{batch_id}"
         process_batch(batch, name, f"{work_root}/staged", warehouse_root, **batch_options)
 
+    for key, value in task_limits(spark, EXPANSION).items():
+        spark.conf.set(key, str(value))
     return (
         landed_stream(spark, raw_root, max_files, max_bytes)
         .writeStream.foreachBatch(handle)

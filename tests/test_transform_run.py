@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from civicflow import contracts
+from civicflow import contracts, session
 from civicflow.operators import clean, quality, summaries
 from civicflow.plans import load
 from civicflow.plans.load import read_star
@@ -138,6 +138,17 @@ def test_the_stream_takes_each_file_once_and_updates_known_cases(spark, land, tm
     assert snapshots.current_version(spark, f"{tmp_path}/star") == 2
 
 
+def test_a_stream_packs_compressed_files_by_what_they_expand_to(spark, land, tmp_path, monkeypatch):
+    for day in range(1, 7):
+        root = land(day, *numbered(4))
+    tasks, plain = [], incremental.process_batch
+    monkeypatch.setattr(incremental, "process_batch", lambda batch, *a, **k: tasks.append(batch.rdd.getNumPartitions()) or plain(batch, *a, **k))
+    monkeypatch.setattr(session, "PARTITION_BYTES", 10)  # each file is more than one task's
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert stream(spark, root, tmp_path).count() == 4
+    assert tasks == [6] and spark.conf.get("spark.sql.files.maxPartitionBytes") == limit
+
+
 def test_a_replayed_batch_changes_nothing(spark, land, tmp_path):
     root = land(1, *numbered(4), {"OBJECTID": 1, "Case_Status": "twice"})
     batch = landing.read_landed(spark, root)
