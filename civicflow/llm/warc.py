@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 MIN_REVISIT_BYTES = 1000
 # A reader holds one archive at a time.
 ARCHIVE_RECORDS = 20_000
+# Stored bytes of pages below which partitions share an archive.
+ARCHIVE_BYTES = 4 << 20
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 # Longer numbers are no lengths of anything.
@@ -88,6 +90,18 @@ def _write_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.record_batch([pa.array(members, pa.binary())], names=["member"])
 
 
+def _most_archives(pages: DataFrame) -> int | None:
+    """How many tasks ``pages`` are worth: two for each core, or more by their stored size; None if
+    that is unknown."""
+    spark = pages.sparkSession
+    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    leaves = pages._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if not sizes or max(sizes) >= unknown:
+        return None
+    return max(2 * spark.sparkContext.defaultParallelism, sum(sizes) // ARCHIVE_BYTES + 1)
+
+
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write ``pages`` (page_id, url, html; other columns are ignored) as archives to ``path``.
 
@@ -95,6 +109,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
     with the largest page_id holds it, the others refer to that one; payloads are equal when their
     SHA-1 and SHA-256 digests and lengths are. Rows with the same page_id all hold their payload if
     one does; a row without page_id always holds its own. An empty table gives an empty folder.
+    There are no more archives than the pages' stored size calls for, however many partitions the
+    session makes.
     """
     html = F.coalesce("html", F.lit(""))
     pages = pages.select(F.col("page_id").cast("long"), "url", html.alias("html"), F.sha1(html).alias("digest"))
@@ -113,6 +129,10 @@ def write_archives(pages: DataFrame, path: str) -> None:
     ).distinct()
     rows = pages.join(revisits, ["page_id", "digest"], "left")
     rows = rows.select("page_id", "url", "html", "digest", "refers_to", "refers_url")
+    # A file costs its folder, its checksum and, on local disks, a process for the mode of each; a
+    # process that is just being started counts as another copy of its executor.
+    most = _most_archives(pages)
+    rows = rows.coalesce(most) if most else rows
     members = rows.mapInArrow(_write_members, "member binary").select(F.col("member").cast("string").alias("value"))
     members.write.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
 

@@ -107,3 +107,28 @@ def test_odd_pages_come_back(spark):
     none = scratch_dir(spark, "none")
     warc.write_archives(spark.createDataFrame([], schema), none)
     assert warc.read_archives(spark, none).isEmpty()
+
+
+def test_many_small_partitions_share_archives(spark):
+    """One archive for each partition forked three processes for a few records on a local disk."""
+    path, out = scratch_dir(spark, "pages"), scratch_dir(spark, "archives")
+    rows = [(i, f"u{i}", f"{i % 50} " * 600) for i in range(400)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(path)
+    held = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        warc.write_archives(spark.read.parquet(path), out)
+        read = warc.read_archives(spark, out)
+        assert read.select("file").distinct().count() <= 2 * spark.sparkContext.defaultParallelism
+        pages = {r.page_id: r.refers_to for r in warc.pages_of(read).collect()}
+        assert read.where("problem is not null").isEmpty()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert pages == {i: None if i >= 350 else 350 + i % 50 for i in range(400)}
