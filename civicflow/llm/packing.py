@@ -18,10 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.tokens import BATCH_BYTES, encoded
+from civicflow.llm.tokens import encoded, release, slices
 
-# Less than the default: a packing task holds the ids of its batch as well.
-CACHED_PIECES = 400_000
+# Less than the defaults: a packing task holds the ids of its batch as well.
+CACHED_PIECES = 250_000
+ENCODED_BYTES = 1 << 21
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -125,20 +126,24 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, b
         held: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         size = 0
-        for doc_ids, ids, count in encoded(batches, tokenizer, end_id, BATCH_BYTES, CACHED_PIECES):
-            keys += doc_ids
-            held.append(ids)
-            counts.append(count)
-            size += len(ids)
-            if size >= batch_tokens:
-                out, used = flush(keys, np.concatenate(held), np.concatenate(counts), number)
-                yield from out
-                number += used
-                keys, held, counts, size = [], [], [], 0
+        release()
+        for batch in batches:
+            for part in slices(batch, 1):
+                for doc_ids, ids, count in encoded([part], tokenizer, end_id, ENCODED_BYTES, CACHED_PIECES):
+                    keys += doc_ids
+                    held.append(ids)
+                    counts.append(count)
+                    size += len(ids)
+                if size >= batch_tokens:
+                    out, used = flush(keys, np.concatenate(held), np.concatenate(counts), number)
+                    yield from out
+                    number += used
+                    keys, held, counts, size = [], [], [], 0
+            release()
         if keys:
             yield from flush(keys, np.concatenate(held), np.concatenate(counts), number)[0]
 
-    def flush(keys: list, held: np.ndarray, counts: np.ndarray, number: int) -> tuple[list, int]:
+    def flush(keys: list, held: np.ndarray, counts: np.ndarray, number: int) -> tuple[Iterator, int]:
         lengths, begin = counts.tolist(), (np.cumsum(counts) - counts).tolist()
         windows = place(lengths, window)
         rows = [
@@ -146,25 +151,23 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, b
             for w, pieces in enumerate(windows)
             for (doc, start, length), offset in zip(pieces, accumulate((p[2] for p in pieces), initial=0))
         ]
-        out = []
-        for at in range(0, len(rows), 2048):
-            part = rows[at : at + 2048]
+
+        def record(part: list) -> pa.RecordBatch:
             doc, start, length, seq, offset = zip(*part)
             cuts = [held[begin[d] + s : begin[d] + s + n].astype("<u4").tobytes() for d, s, n in zip(doc, start, length)]
-            out.append(
-                pa.record_batch(
-                    [
-                        pa.array([keys[d] for d in doc], pa.int64()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array(cuts, pa.binary()),
-                        pa.array([lengths[d] for d in doc], pa.int64()),
-                        pa.array(seq, pa.int64()),
-                        pa.array(offset, pa.int64()),
-                    ],
-                    names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-                )
+            return pa.record_batch(
+                [
+                    pa.array([keys[d] for d in doc], pa.int64()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array(cuts, pa.binary()),
+                    pa.array([lengths[d] for d in doc], pa.int64()),
+                    pa.array(seq, pa.int64()),
+                    pa.array(offset, pa.int64()),
+                ],
+                names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
             )
-        return out, len(windows)
+
+        return (record(rows[at : at + 2048]) for at in range(0, len(rows), 2048)), len(windows)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, PIECES)

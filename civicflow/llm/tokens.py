@@ -7,6 +7,7 @@ than texts do; each is encoded once per worker and found again in a bounded cach
 
 from __future__ import annotations
 
+import ctypes
 import re
 import struct
 from collections.abc import Iterable, Iterator
@@ -26,6 +27,8 @@ CACHED_PIECES = 650_000
 BATCH_BYTES = 1 << 22
 # Encoded at a time: the more, the fewer different pieces there are to look up for each text.
 ENCODED_BYTES = 1 << 23
+# Only glibc has it, and only glibc needs it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def _shown_bytes() -> dict[int, str]:
@@ -190,6 +193,14 @@ def encoded(
             yield part.column(0).to_pylist(), *enc.encode(part.column(1), end)
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers are reused, and what this and earlier tasks freed
+    would stay theirs beside what is held now."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in parts of about ``size`` bytes of one column, or one longer value."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -6,17 +6,30 @@ import collections
 import functools
 import math
 import random
+import types
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from civicflow.llm import near_dup, near_vectors, packing, pieces, ppm, substring_dedup, token_files, topk, toxicity
+from civicflow.llm import (
+    near_dup,
+    near_vectors,
+    packing,
+    pieces,
+    ppm,
+    substring_dedup,
+    token_files,
+    tokens,
+    topk,
+    toxicity,
+)
 from civicflow.llm.components import components
 from civicflow.session import scratch_dir
 
@@ -490,6 +503,51 @@ def test_packing_places_every_id_once(docs, empty):
     assert packing.pack(empty, public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def packing_task(spark, monkeypatch, batch_tokens):
+    """What a task of ``pack`` does with its Arrow batches."""
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, work, schema):  # noqa: N802
+            return work
+
+    context = types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0))
+    monkeypatch.setattr(packing, "TaskContext", context)
+    return packing.pack(Rows(), public_tokenizers.path("word_bpe_49k.json"), 256, 1, batch_tokens)
+
+
+def test_a_packing_task_holds_little_beside_its_batch(spark, monkeypatch):
+    """It encodes about 2 MB of text at a time, cuts ids for one record batch at a time, and gives
+    back what earlier tasks and each of its batches freed."""
+    encoded, released, cut = [], [], []
+    encode, record = tokens.Encoder.encode, pa.record_batch
+    monkeypatch.setattr(tokens.Encoder, "encode", lambda *a: encoded.append(a[1].nbytes) or encode(*a))
+    monkeypatch.setattr(packing, "release", lambda: released.append(len(encoded)), raising=False)
+    monkeypatch.setattr(packing.pa, "record_batch", lambda *a, **b: cut.append(1) or record(*a, **b))
+    texts = [" ".join(f"word{(i * j) % 900}" for j in range(1, 300)) for i in range(4000)]
+    batch = record([pa.array(range(4000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = packing_task(spark, monkeypatch, 1 << 22)(iter([batch, batch]))
+    next(out)
+    assert len(cut) == 1
+    rest = list(out)
+    assert len(cut) == 1 + len(rest) > 3
+    assert len(encoded) > 6 and max(encoded) < 1.2 * 2**21
+    assert released == [0, len(encoded) // 2, len(encoded)]
+
+
+def test_parts_that_are_encoded_do_not_change_the_packing(spark, monkeypatch):
+    """Batches of documents end where they did, however little is encoded at a time."""
+    texts = [" ".join(f"word{(i * j) % 900}" for j in range(1, 200)) for i in range(6000)]
+    batch = pa.record_batch([pa.array(range(6000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    work, found = packing_task(spark, monkeypatch, 5000), []
+    for size in (1 << 16, 1 << 20, 1 << 30):
+        monkeypatch.setattr(packing, "ENCODED_BYTES", size, raising=False)
+        found.append(pa.Table.from_batches(work(iter([batch]))))
+    assert found[0].equals(found[1]) and found[1].equals(found[2])
+
+
 def test_best_fit_takes_the_tightest_window():
     chance = random.Random(2)
     lengths = [chance.randrange(1, 100) for _ in range(300)]
